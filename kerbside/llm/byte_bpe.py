@@ -70,7 +70,7 @@ def model_proto(vocabulary: list[bytes]) -> bytes:
 
 
 class Codec:
-    """Encodes text to ids and decodes ids to bytes; holds at most ``CACHE`` encoded pre-tokens."""
+    """Encodes text to ids and decodes ids to bytes; keeps about ``CACHE`` encoded pre-tokens."""
 
     CACHE = 1 << 18
 
@@ -101,19 +101,18 @@ class Codec:
             for word, ids in zip(merge, self.model.encode(mapped, out_type=int, num_threads=1), strict=True):
                 self.cache[word] = array("I", ids).tobytes()
 
-    def encode_packed(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        words = self.pattern.findall(text)
-        missing = set(words).difference(self.cache)
-        if missing:
-            if len(self.cache) + len(missing) > self.CACHE:
-                self.cache.clear()
-                missing = set(words)
-            self._learn(missing)
-        return b"".join(map(self.cache.__getitem__, words))
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers; the texts' new pre-tokens go to the model at once."""
+        words = [self.pattern.findall(t) for t in texts]
+        missing = set().union(*words).difference(self.cache)
+        if len(self.cache) + len(missing) > self.CACHE:
+            self.cache.clear()
+            missing = set().union(*words)
+        self._learn(missing)
+        return [b"".join(map(self.cache.__getitem__, w)) for w in words]
 
     def encode(self, text: str) -> list[int]:
-        packed = self.encode_packed(text)
+        packed = self.encode_many([text])[0]
         return list(struct.unpack(f"<{len(packed) // 4}I", packed))
 
     def decode_packed(self, packed: bytes) -> bytes:
@@ -145,7 +144,7 @@ def tokenize(
         if key not in _codecs:
             _codecs[key] = Codec(shared.value, pattern)
         codec = _codecs[key]
-        packed = [codec.encode_packed(t or "") for t in cols["text"]]
+        packed = codec.encode_many([t or "" for t in cols["text"]])
         made = {
             "doc_id": cols["id"],
             "n_tokens": [len(p) // 4 for p in packed],

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .byte_bpe import tokenize
+from .language_id import fit_languages, identify
 from .quality_rules import apply_quality_rules
 
 
@@ -15,6 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(modulus: int) -> Column:
+    """crc32 of the document id as text, modulo ``modulus``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(4) == 2
+    model = fit_languages(docs.where(~held_out), public_tokenizers.path("piece_bpe_32k.model"), sample_docs=300)
+    return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_quality_rules(table(spark, sf_dir, "documents"))
 
@@ -25,6 +39,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
 }
