@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_bpe import tokenize
+from .labelled import labelled_sample
 from .language_id import fit_languages, identify
+from .preference_ranking import fit_ranking, rank_quality
 from .quality_rules import apply_quality_rules
+from .toxicity import fit_toxicity, score_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,10 +41,32 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+#: Labelled documents that a classifier is fitted on, at most.
+SAMPLE_ROWS = 6000
+
+
+def _scored(scores: DataFrame, bar: float) -> DataFrame:
+    return scores.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= bar).cast("int").alias("predicted"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_toxicity(labelled_sample(docs, labels, "toxic", rows=SAMPLE_ROWS, keep=remainder(3) != 1))
+    return _scored(score_toxicity(docs, model), 0.7)
+
+
+def op10_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_ranking(labelled_sample(docs, labels, "quality", rows=SAMPLE_ROWS, keep=remainder(3) != 1))
+    return _scored(rank_quality(docs, model), 0.5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op5_quality_rules": op5_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_quality_ranking": op10_quality_ranking,
 }
 
 ORACLES: dict[str, str] = {}
