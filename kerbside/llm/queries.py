@@ -13,6 +13,7 @@ from .labelled import labelled_sample
 from .language_id import fit_languages, identify
 from .preference_ranking import fit_ranking, rank_quality
 from .quality_rules import apply_quality_rules
+from .source_mixing import mix_sources
 from .toxicity import fit_toxicity, score_toxicity
 
 
@@ -32,6 +33,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).drop("copies")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_quality_rules(table(spark, sf_dir, "documents"))
 
@@ -63,10 +68,38 @@ def op10_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
+    "op3_source_mixing": op3_source_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op7_toxicity": op7_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_quality_ranking": op10_quality_ranking,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_source_mixing": r"""
+        WITH sized AS (
+            SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+        ), sums AS (
+            SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+        ), weighed AS (
+            SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight, 2.0::DOUBLE * source_size AS cap FROM sums
+        ), barred AS (
+            SELECT *, cap / weight AS bar FROM weighed
+        ), levels AS (
+            SELECT *, row_number() OVER o AS place,
+                (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / (sum(weight) OVER () - coalesce(sum(weight) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
+            FROM barred WINDOW o AS (ORDER BY bar, source NULLS LAST)
+        ), fixed AS (
+            SELECT place AS first_place, level AS fixed_level FROM levels WHERE level <= bar ORDER BY place LIMIT 1
+        ), targets AS (
+            SELECT source, source_size, CASE WHEN place >= first_place THEN fixed_level * weight ELSE cap END AS target FROM levels, fixed
+        ), rated AS (
+            SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
+                ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS draw
+            FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+        )
+        SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+        FROM rated
+    """,
+}
