@@ -14,6 +14,7 @@ from .language_id import fit_languages, identify
 from .preference_ranking import fit_ranking, rank_quality
 from .quality_rules import apply_quality_rules
 from .source_mixing import mix_sources
+from .topk_search import top_k
 from .toxicity import fit_toxicity, score_toxicity
 
 
@@ -37,6 +38,13 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    rows = table(spark, sf_dir, "embeddings").where(finite).select("vec_id", whole.alias("vec"))
+    return top_k(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_quality_rules(table(spark, sf_dir, "documents"))
 
@@ -69,6 +77,7 @@ def op10_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_source_mixing": op3_source_mixing,
+    "op4_topk_search": op4_topk_search,
     "op5_quality_rules": op5_quality_rules,
     "op7_toxicity": op7_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
@@ -102,4 +111,16 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
         FROM rated
     """,
+    "op4_topk_search": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.vec, v.vec)::BIGINT AS score
+            FROM vectors q JOIN vectors v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id
+        ), ranked AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
 }
