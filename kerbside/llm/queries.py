@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .byte_bpe import tokenize
 from .labelled import labelled_sample
 from .language_id import fit_languages, identify
+from .ngram_join import jaccard_components
 from .preference_ranking import fit_ranking, rank_quality
 from .quality_rules import apply_quality_rules
 from .source_mixing import mix_sources
@@ -54,6 +55,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 #: Labelled documents that a classifier is fitted on, at most.
 SAMPLE_ROWS = 6000
 
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_source_mixing": op3_source_mixing,
     "op4_topk_search": op4_topk_search,
     "op5_quality_rules": op5_quality_rules,
+    "op6_ngram_join": op6_ngram_join,
     "op7_toxicity": op7_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_quality_ranking": op10_quality_ranking,
