@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .byte_bpe import tokenize
 from .labelled import labelled_sample
 from .language_id import fit_languages, identify
+from .license_scan import containment_sql, scan_licenses
 from .ngram_join import jaccard_components
 from .preference_ranking import fit_ranking, rank_quality
 from .quality_rules import apply_quality_rules
@@ -28,6 +29,10 @@ def remainder(modulus: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus))
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder(4) == 2
@@ -80,6 +85,7 @@ def op10_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_language_id": op2_language_id,
     "op3_source_mixing": op3_source_mixing,
     "op4_topk_search": op4_topk_search,
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_license_scan": containment_sql(),
     "op3_source_mixing": r"""
         WITH sized AS (
             SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
