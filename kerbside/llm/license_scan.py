@@ -4,9 +4,9 @@ A text's words are cut into overlapping windows of a few five-word shingles. Eve
 which a window of the text and one of a template agree retrieves the template. Exact containment of the template's shingles in
 the text's then verifies it.
 
-Templates have a window at every word, texts at every STRIDE words. A template of WINDOW + 1 shingles or more that is copied whole
-fills a window of the text, which then agrees in every band. One of a single shingle is a quarter of two windows' shingles; each
-band of each finds it with a chance of 1/4, and all BANDS miss it in both with one of about (3/4)**(2*BANDS) = 1e-4.
+Texts and templates have a window at every STRIDE words. A template of WINDOW shingles or more that is copied whole shares whole
+windows with the text, which agree in every band. One of a single shingle is half of the shingles of two windows; each band of each
+finds it with a chance of 1/2, and all BANDS miss it in both with one of about 2**(-2*BANDS) = 1.5e-5.
 """
 
 from __future__ import annotations
@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SIZE = 5
-WINDOW = 4
-STRIDE = 2
-BANDS = 16
+WINDOW = 2
+STRIDE = 1
+BANDS = 8
 PERCENT = 80
 
 # Short notices by which works name their license, by the license's SPDX identifier.
