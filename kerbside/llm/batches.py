@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -26,17 +27,28 @@ def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.Recor
 
 
 def map_slices(
-    df: DataFrame, kernel: Callable[[dict[str, list]], dict[str, list]], schema: str | T.StructType
+    df: DataFrame, kernel: Callable[[dict[str, list]], dict[str, list]], schema: str
 ) -> DataFrame:
-    """``kernel`` gets the columns as lists by name and returns the output columns by name."""
-    out = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    """``kernel`` gets the columns as lists by name and returns the output columns by name.
+
+    A column named ``row`` is not given to the kernel but passed on unchanged after its columns.
+    """
+    out = T.StructType.fromDDL(schema)
+    if "row" in df.columns:
+        out = T.StructType([*out.fields, df.schema["row"]])
     fields = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch):
-                made = kernel({n: piece.column(i).to_pylist() for i, n in enumerate(piece.schema.names)})
-                arrays = [pa.array(made[f.name], type=f.type) for f in fields]
+                made = kernel({n: piece.column(i).to_pylist() for i, n in enumerate(piece.schema.names) if n != "row"})
+                arrays = [piece.column("row").cast(f.type) if f.name == "row" else pa.array(made[f.name], type=f.type) for f in fields]
                 yield pa.RecordBatch.from_arrays(arrays, schema=fields)
 
     return df.mapInArrow(run, out)
+
+
+def id_and_text(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
+    """(id, text) of documents, and with ``carry`` each whole row as ``row``, whatever its columns are called."""
+    row = [F.struct(*(docs[c] for c in docs.columns)).alias("row")] if carry else []
+    return docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"), *row)

@@ -16,7 +16,7 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from .batches import map_slices
+from .batches import id_and_text, map_slices
 
 
 def byte_alphabet() -> list[str]:
@@ -155,4 +155,4 @@ def tokenize(
             made["ids"] = [list(memoryview(p).cast("I")) if p else [] for p in packed]
         return made
 
-    return map_slices(docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")), kernel, out)
+    return map_slices(id_and_text(docs, id_col, text_col), kernel, out)

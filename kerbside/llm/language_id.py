@@ -16,7 +16,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import map_slices
+from .batches import id_and_text, map_slices
 from .shingling import U, mix
 
 #: Runs of letters, lower-cased, each opened by this mark as in the vocabulary.
@@ -209,12 +209,12 @@ def fit_languages(
     return LanguageModel(languages, table, probs, floor, np.zeros(len(languages)))
 
 
-def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """doc_id, lang_pred and score (0 to 1) of every whole text.
 
     A null text, and one without a letter, is ``und`` with score 0, as is every text if no language was learnt. Ties go to the
-    first language by code point. Repeated rows give repeated results; other columns are not read. The model, of vocabulary
-    size times languages, is broadcast.
+    first language by code point. Repeated rows give repeated results; other columns are not read, but ``carry`` passes
+    on the whole row as ``row``. The model, of vocabulary size times languages, is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -222,5 +222,5 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
         lang, score = shared.value.classify(cols["text"])
         return {"doc_id": cols["id"], "lang_pred": lang, "score": score}
 
-    rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+    rows = id_and_text(docs, id_col, text_col, carry)
     return map_slices(rows, kernel, "doc_id long, lang_pred string, score double")

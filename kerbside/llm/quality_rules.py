@@ -12,7 +12,7 @@ import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
 
-from .batches import map_slices
+from .batches import id_and_text, map_slices
 from .shingling import shingles, word_hashes
 
 WINDOW = 5
@@ -68,11 +68,13 @@ def repeat_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.diff(first), covered[first[1:]] - covered[first[:-1]]
 
 
-def apply_quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: Bands = Bands()) -> DataFrame:
+def apply_quality_rules(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: Bands = Bands(), carry: bool = False
+) -> DataFrame:
     """One row per document: base counts, whether the base rules or the compression bands reject it.
 
     A null text counts as no words: every count is 0, ``base_failed`` is true, ``kept`` false, the ratios null. Repeated rows
-    give repeated results. Other columns of ``docs`` are not read.
+    give repeated results. Other columns of ``docs`` are not read; ``carry`` passes on the whole row as ``row``.
     """
     out = (
         "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,"
@@ -102,4 +104,4 @@ def apply_quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 made[name].append(value)
         return made
 
-    return map_slices(docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")), kernel, out)
+    return map_slices(id_and_text(docs, id_col, text_col, carry), kernel, out)

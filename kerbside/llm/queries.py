@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_bpe import tokenize
+from .chat_format import link_tool_calls
 from .labelled import labelled_sample
 from .language_id import fit_languages, identify
 from .license_scan import containment_sql, scan_licenses
@@ -78,6 +79,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(score_toxicity(docs, model), 0.7)
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_tool_calls(table(spark, sf_dir, "conversations"))
+
+
 def op10_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = fit_ranking(labelled_sample(docs, labels, "quality", rows=SAMPLE_ROWS, keep=remainder(3) != 1))
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_ngram_join": op6_ngram_join,
     "op7_toxicity": op7_toxicity,
+    "op8_chat_format": op8_chat_format,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_quality_ranking": op10_quality_ranking,
 }
