@@ -1 +1,115 @@
-"""To be filled."""
+"""Estimators, with SQL where they are aggregates."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ..operators import estimators as E
+from ..operators import matching as M
+from ..sources import tables as T
+from .joins import boxes
+from .registry import query
+
+
+def horizon_points(s, d):
+    return E.crossing_points(M.separated_pairs(boxes(s, d), 80.0))
+
+
+_CROSS = """SELECT frame_idx, round(ax + t * (bx - ax), 6) AS px, round(a_foot + t * (b_foot - a_foot), 6) AS py FROM (SELECT *, (a_head - a_foot) * (bx - ax) / CASE WHEN abs((bx - ax) * (b_head - a_head) - (b_foot - a_foot) * (bx - ax)) > 1e-9 THEN (bx - ax) * (b_head - a_head) - (b_foot - a_foot) * (bx - ax) END * -1 AS t FROM (
+    SELECT a.frame_idx, (a.x1 + a.x2) / 2 AS ax, a.y2 AS a_foot, a.y1 AS a_head, (b.x1 + b.x2) / 2 AS bx, b.y2 AS b_foot, b.y1 AS b_head FROM v_box a JOIN v_box b ON a.frame_idx = b.frame_idx AND a.det < b.det WHERE abs(a.y2 - b.y2) >= 80)) WHERE t IS NOT NULL AND abs(ax + t * (bx - ax)) < 1e5 AND abs(a_foot + t * (b_foot - a_foot)) < 1e5"""
+
+
+@query("est01_horizon_points", _CROSS)
+def est01p(s, d):
+    return horizon_points(s, d).select("frame_idx", F.round("px", 6).alias("px"), F.round("py", 6).alias("py"))
+
+
+@query("est01_horizon")
+def est01(s, d):
+    """RANSAC from hypotheses drawn by a seeded generator, which no SQL engine shares."""
+    return E.ransac_line(horizon_points(s, d))
+
+
+def vertical_lines(s, d):
+    """Lines through foot and head that lean with the distance from the image's middle."""
+    x = (F.col("x1") + F.col("x2")) / 2
+    lean, tall = (x - 960) * 0.1, F.col("y2") - F.col("y1")
+    size = F.hypot(lean, tall)
+    a, b = tall / size, -lean / size
+    return T.detections(s, d).select(a.alias("a"), b.alias("b"), (-(a * x + b * F.col("y2"))).alias("c"))
+
+
+@query("est02_vertical_point")
+def est02(s, d):
+    x, y = E.vertical_vanishing_point(vertical_lines(s, d))
+    return s.createDataFrame([(x, y)], "x double, y double")
+
+
+@query("est02_weighted_sums", "SELECT round(sum(a * a), 3) AS aa, round(sum(a * b), 3) AS ab, round(sum(b * b), 3) AS bb FROM (SELECT tall / sqrt(tall * tall + lean * lean) AS a, -lean / sqrt(tall * tall + lean * lean) AS b FROM (SELECT ((x1 + x2) / 2 - 960) * 0.1::DOUBLE AS lean, y2 - y1 AS tall FROM v_det))")
+def est02s(s, d):
+    return vertical_lines(s, d).agg(*(F.round(F.sum(F.col(p) * F.col(q)), 3).alias(p + q) for p, q in ("aa", "ab", "bb")))
+
+
+@query("est03_focal_length", "SELECT sqrt(300::DOUBLE * 4000) AS focal")
+def est03(s, d):
+    return s.createDataFrame([(E.focal_length((0.0, 1.0, -240.0), (960.0, 4540.0), (960.0, 540.0)),)], "focal double")
+
+
+@query("est04_common_point", "SELECT 100::DOUBLE AS x, 50::DOUBLE AS y")
+def est04(s, d):
+    lines = np.array([[1.0, 0.0, -100.0], [0.0, 1.0, -50.0], [1.0, 1.0, -150.0]])
+    return s.createDataFrame([E.common_point(lines)], "x double, y double")
+
+
+@query("est05_holdout_residual", "SELECT round(median(abs((x2 - x1) * (100 - y1) - (y2 - y1) * (900 - x1)) / sqrt((x2 - x1)^2 + (y2 - y1)^2)), 6) AS residual FROM v_det WHERE frame_idx % 10 >= 7")
+def est05(s, d):
+    """Median distance of the held-out segments' lines from a vanishing point; three tenths of the frames are held out."""
+    c = F.col
+    dx, dy = c("x2") - c("x1"), c("y2") - c("y1")
+    res = F.abs(dx * (F.lit(100.0) - c("y1")) - dy * (F.lit(900.0) - c("x1"))) / F.sqrt(dx * dx + dy * dy)
+    return T.detections(s, d).where("frame_idx % 10 >= 7").agg(F.round(F.percentile(res, F.lit(0.5)), 6).alias("residual"))
+
+
+@query("est06_candidates_on_line", "SELECT frame_idx, round(x1 + (300 - y1) * (x2 - x1) / (y2 - y1), 6) AS x FROM v_det WHERE y2 <> y1")
+def est06(s, d):
+    """Where each segment's line meets the horizon at row 300."""
+    c = F.col
+    return T.detections(s, d).where("y2 <> y1").select("frame_idx", F.round(c("x1") + (F.lit(300.0) - c("y1")) * (c("x2") - c("x1")) / (c("y2") - c("y1")), 6).alias("x"))
+
+
+@query("est07_camera_axes", "SELECT true AS orthogonal, true AS right_handed")
+def est07(s, d):
+    camera = E.camera_from_points(1100.0, (900.0, 240.0), (960.0, 4540.0), (960.0, 540.0))
+    r = camera.rotation
+    return s.createDataFrame([(bool(np.allclose(r.T @ r, np.eye(3))), bool(np.linalg.det(r) > 0))], "orthogonal boolean, right_handed boolean")
+
+
+@query("est08_rectangle_homography", "SELECT 0::BIGINT AS corner, 0::DOUBLE AS u, 0::DOUBLE AS v UNION ALL SELECT 1, 4, 0 UNION ALL SELECT 2, 4, 2 UNION ALL SELECT 3, 0, 2")
+def est08(s, d):
+    corners = [(100.0, 900.0), (1700.0, 880.0), (1200.0, 400.0), (500.0, 410.0)]
+    h = E.ground_homography(corners, 4.0, 2.0)
+    rows = []
+    for k, p in enumerate(corners):
+        g = h @ np.array([*p, 1.0])
+        rows.append((k, round(float(g[0] / g[2]), 6) + 0.0, round(float(g[1] / g[2]), 6) + 0.0))
+    return s.createDataFrame(rows, "corner long, u double, v double")
+
+
+@query("est09_scale", "SELECT round(6.06::DOUBLE / 3.03::DOUBLE, 9) AS from_width, round(1.68::DOUBLE / median(height), 9) AS from_heights FROM v_person")
+def est09(s, d):
+    scale = E.scale_from_width(np.eye(3), (0.0, 0.0), (0.0, 3.03), 6.06)
+    return T.people(s, d).agg(F.round(F.lit(scale), 9).alias("from_width"), F.round(F.lit(1.68) / F.percentile("height", F.lit(0.5)), 9).alias("from_heights"))
+
+
+@query("est10_verdicts", "SELECT * FROM (VALUES ('all', 'calibrated'), ('no street', 'scale_from_height'), ('no scale', 'angles_ok_scale_unverified'), ('no horizon', 'stub_affine')) v(case_, verdict)")
+def est10(s, d):
+    fine = {k: True for k in ("horizon", "vertical", "focal", "height", "street")}
+    cases = {"all": {}, "no street": {"street": None}, "no scale": {"street": None, "height": None}, "no horizon": {"horizon": None}}
+    return s.createDataFrame([(k, E.verdict({**fine, **v})) for k, v in cases.items()], "case_ string, verdict string")
+
+
+@query("est11_stub_plane", "SELECT frame_idx, round((x1 + x2) / 2 / 1920 * 35, 6) AS x, round(12 - y2 / 1080 * 12, 6) AS y FROM v_det")
+def est11(s, d):
+    """The affine stand-in for a camera that could not be calibrated: the image stretched over the street."""
+    return T.detections(s, d).select("frame_idx", F.round((F.col("x1") + F.col("x2")) / 2 / 1920 * 35, 6).alias("x"), F.round(12 - F.col("y2") / 1080 * 12, 6).alias("y"))
