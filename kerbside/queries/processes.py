@@ -1 +1,294 @@
-"""To be filled."""
+"""Sources, sinks, gates, tracking and image operators."""
+
+from __future__ import annotations
+
+import json
+import tempfile
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ..functions import polygons as P
+from ..operators import gates as Ga
+from ..operators import images as Im
+from ..operators import tracking as Tr
+from ..operators.sequences import even_picks  # noqa: F401
+from ..plans import attention as A
+from ..plans import report as Rp
+from ..sources import contracts as Co
+from ..sources import readers as Re
+from ..sources import tables as T
+from .attention import RATES_SQL, events_of
+from .registry import query
+
+
+def scratch(s, name: str) -> str:
+    """A folder for a dataset that a query writes and reads again: in the shared folder where a cluster names one."""
+    shared = s.sparkContext.getConf().get("spark.checkpoint.dir")
+    return f"{shared.rstrip('/')}/kerbside-{s.sparkContext.applicationId}/{name}" if shared else f"{tempfile.mkdtemp(prefix='kerbside-')}/{name}"
+
+
+def index_table(s, d):
+    return T.frames(s, d).select("frame_idx", "ts", "processed", "n_detections", "skip_reason")
+
+
+@query("src01_full_scan", "SELECT track_id, frame_idx, speed FROM v_obs")
+def src01(s, d):
+    return T.observations(s, d).select("track_id", "frame_idx", "speed")
+
+
+@query("src02_optional_table", "SELECT false AS present")
+def src02(s, d):
+    absent = Co.read_optional(s, Co.EVENTS, scratch(s, "absent"))
+    return s.createDataFrame([(absent is not None,)], "present boolean")
+
+
+@query("src03_json_document", "SELECT count(*) AS n, min((props::JSON->>'k')::BIGINT) AS low, max((props::JSON->>'k')::BIGINT) AS high FROM events")
+def src03(s, d):
+    k = F.from_json("props", "k long", {"mode": "FAILFAST"})["k"]
+    return T.read(s, d, "events").agg(F.count("*").alias("n"), F.min(k).alias("low"), F.max(k).alias("high"))
+
+
+@query("src04_geojson_zones", "SELECT zone_id, 'facade' AS zone_type, 2::BIGINT AS n, ax AS first_x FROM v_zone UNION ALL SELECT zone_id || '_apron', 'apron', 4, apron_x0 FROM v_zone")
+def src04(s, d):
+    features = []
+    for z, ax, ay, bx, by in T.FACADES:
+        ring = [[ax, ay - T.APRON_DEPTH], [bx, ay - T.APRON_DEPTH], [bx, by], [ax, ay], [ax, ay - T.APRON_DEPTH]]
+        features.append({"geometry": {"type": "LineString", "coordinates": [[ax, ay], [bx, by]]}, "properties": {"zone_id": z, "zone_type": "facade", "storefront_id": z}})
+        features.append({"geometry": {"type": "Polygon", "coordinates": [ring]}, "properties": {"zone_id": f"{z}_apron", "zone_type": "apron", "storefront_id": z}})
+    docs = s.createDataFrame([(json.dumps({"status": "ok", "features": features}),)], "value string")
+    return Re.zones_from_geojson(s, docs).select("zone_id", "zone_type", F.size("coords").cast("long").alias("n"), F.element_at("coords", 1)["x"].alias("first_x"))
+
+
+@query("src05_jsonl_labels", "SELECT count(*) AS n, count(predicted) AS predicted, 1::BIGINT AS headers FROM v_label")
+def src05(s, d):
+    rows = T.labelled_angles(s, d).select(F.to_json(F.struct(F.col("frame_idx").alias("track_id"), "frame_idx", F.col("predicted").alias("predicted_yaw_deg"), "label")).alias("value"))
+    header, labels = Re.labels_from_lines(s.createDataFrame([('{"mode": "orientation"}',)], "value string").union(rows))
+    return labels.agg(F.count("*").alias("n"), F.count("predicted_yaw_deg").alias("predicted")).crossJoin(header.agg(F.count("*").alias("headers")))
+
+
+@query("src08_burst_frames", "SELECT frame_idx, b::INTEGER AS burst_id FROM (SELECT b, unnest(range(round_even(b * (108000 - 30) / 9::DOUBLE, 0)::BIGINT, round_even(b * (108000 - 30) / 9::DOUBLE, 0)::BIGINT + 30)) AS frame_idx FROM range(10) t(b))")
+def src08(s, d):
+    return Re.burst_frames(s, 108000, 10, 30)
+
+
+@query("src13_people_samples", "SELECT frame_idx, count(*) AS n FROM v_det WHERE frame_idx % 15 = 0 GROUP BY 1")
+def src13(s, d):
+    return Re.people_samples(T.detections(s, d), 15)
+
+
+@query("snk01_contract_write", "SELECT frame_idx, processed, n_detections, skip_reason FROM v_frame")
+def snk01(s, d):
+    path = scratch(s, "frames_index")
+    Co.write_contract(index_table(s, d), Co.FRAMES_INDEX, path, "s3_detect")
+    return Co.read_contract(s, Co.FRAMES_INDEX, path).select("frame_idx", "processed", "n_detections", "skip_reason")
+
+
+@query("snk02_skeleton", "SELECT 'skeleton' AS status, 0::BIGINT AS n")
+def snk02(s, d):
+    path = scratch(s, "skeleton")
+    Co.write_skeleton(s, Co.EVENTS, path, "s6_attn")
+    status = Co.read_sidecar(s, path)["status"]
+    return s.read.parquet(path).agg(F.lit(status).alias("status"), F.count("*").alias("n"))
+
+
+@query("snk03_joint_commit", "SELECT (SELECT count(*) FROM v_frame) AS frames, (SELECT count(*) FROM v_obs) AS observations")
+def snk03(s, d):
+    base = scratch(s, "joint")
+    index_table(s, d).write.mode("overwrite").parquet(f"{base}/staged_frames")
+    T.observations(s, d).write.mode("overwrite").parquet(f"{base}/staged_obs")
+    Co.commit_together(s, {f"{base}/staged_frames": f"{base}/frames", f"{base}/staged_obs": f"{base}/obs"})
+    return s.read.parquet(f"{base}/frames").agg(F.count("*").alias("frames")).crossJoin(s.read.parquet(f"{base}/obs").agg(F.count("*").alias("observations")))
+
+
+@query("snk04_atomic_file", "SELECT 'kept' AS value")
+def snk04(s, d):
+    path = f"{scratch(s, 'atomic')}/note.txt"
+    Co.write_text(s, path, "first")
+    Co.write_text(s, path, "kept")
+    return s.read.text(path)
+
+
+@query("snk05_csv", "SELECT frame_idx, processed FROM v_frame")
+def snk05(s, d):
+    path = scratch(s, "csv")
+    T.frames(s, d).select("frame_idx", "processed").write.mode("overwrite").csv(path, header=True)
+    return s.read.schema("frame_idx long, processed boolean").csv(path, header=True)
+
+
+@query("snk06_json_document", f"SELECT zone_id, '{{\"lookers\":' || lookers || ',\"visitors\":' || visitors || '}}' AS json FROM ({RATES_SQL})")
+def snk06(s, d):
+    return A.zone_rates(events_of(s, d)).select("zone_id", F.to_json(F.struct("lookers", "visitors")).alias("json"))
+
+
+@query("snk07_owned_upsert", """SELECT stage, count(*) AS n FROM (SELECT 's4' AS stage FROM v_obs WHERE foot_source <> 'ankle' AND frame_idx % 7 <> 0 UNION ALL SELECT 's7' FROM v_obs WHERE frame_idx % 3 = 0) GROUP BY 1""")
+def snk07(s, d):
+    rows = T.observations(s, d).select("frame_idx", "foot_source", F.concat(F.lit("crops/"), "frame_idx").alias("path"))
+    index = rows.select("path", F.when(F.col("foot_source") != "ankle", "s4").otherwise("s7").alias("stage"), "frame_idx")
+    present = rows.where("frame_idx % 7 <> 0").select("path")
+    own = rows.where("frame_idx % 3 = 0").select("path", F.lit("s7").alias("stage"), "frame_idx")
+    return Co.upsert_owned(index, own, "s7", present).groupBy("stage").agg(F.count("*").alias("n"))
+
+
+@query("snk08_report", "SELECT 13::BIGINT AS rows_")
+def snk08(s, d):
+    """Rows of the rendered page's table: a heading, and three metrics of each of four zones."""
+    page = Rp.html(Rp.zone_metrics(A.zone_rates(events_of(s, d))), "Attention")
+    return s.createDataFrame([(page.count("<tr>"),)], "rows_ long")
+
+
+@query("dq11_metric_envelopes", f"SELECT zone_id, 'visitors' AS metric, visitors::DOUBLE AS value, true AS measured FROM ({RATES_SQL}) UNION ALL SELECT zone_id, 'stop_rate', stop_rate, stop_rate IS NOT NULL FROM ({RATES_SQL}) UNION ALL SELECT zone_id, 'orientation_rate', orientation_rate, orientation_rate IS NOT NULL FROM ({RATES_SQL})")
+def dq11(s, d):
+    return Rp.zone_metrics(A.zone_rates(events_of(s, d))).select("zone_id", "metric", "value", "measured")
+
+
+@query("dq02_input_digests", "SELECT 0::BIGINT AS unchanged, 1::BIGINT AS changed, 1::BIGINT AS missing, 1::BIGINT AS unrecorded")
+def dq02(s, d):
+    path, bare = scratch(s, "digests"), scratch(s, "bare")
+    now = Co.digest(index_table(s, d))
+    Co.write_contract(index_table(s, d), Co.FRAMES_INDEX, path, "s3_detect", {"orders": now})
+    Co.write_contract(index_table(s, d), Co.FRAMES_INDEX, bare, "s3_detect")
+    found = [Co.check_inputs(s, path, {"orders": now}), Co.check_inputs(s, path, {"orders": "other"}), Co.check_inputs(s, path, {}), Co.check_inputs(s, bare, {"orders": now})]
+    return s.createDataFrame([tuple(map(len, found))], "unchanged long, changed long, missing long, unrecorded long")
+
+
+@query("dq04_orientation_invariants", "SELECT 'yaw_range' AS \"check\", count(*) FILTER (body_yaw IS NOT NULL AND NOT (body_yaw >= 0 AND body_yaw < 360)) AS violations FROM v_obs UNION ALL SELECT 'keypoints', count(*) FILTER (NOT n_kpts_valid BETWEEN 0 AND 17) FROM v_obs UNION ALL SELECT 'confidence', count(*) FILTER (yaw_conf IS NOT NULL AND body_yaw IS NULL AND head_yaw IS NULL) FROM v_obs")
+def dq04(s, d):
+    c = F.col
+    return Ga.gate(T.observations(s, d), {
+        "yaw_range": c("body_yaw").isNull() | (c("body_yaw") >= 0) & (c("body_yaw") < 360), "keypoints": c("n_kpts_valid").between(0, 17),
+        "confidence": c("yaw_conf").isNull() | c("body_yaw").isNotNull() | c("head_yaw").isNotNull(),
+    })
+
+
+@query("dq05_orientation_gate")
+def dq05(s, d):
+    """Decides on the upper end of the bootstrap interval, so its figures are this engine's own."""
+    from .aggregates import agg38
+
+    return agg38(s, d).select(F.round("high", 1).alias("upper"), Ga.standing(F.col("high"), 0.0, 25.0).alias("standing"))
+
+
+@query("dq06_calibration_checks", "SELECT CASE WHEN median(height) BETWEEN 1.5 AND 1.9 THEN 'pass' ELSE 'fail' END AS height, CASE WHEN quantile_cont(height, 0.75) - quantile_cont(height, 0.25) <= 0.35 THEN 'pass' ELSE 'fail' END AS spread, CASE WHEN abs(regr_slope(height, depth)) <= 0.02 THEN 'pass' ELSE 'fail' END AS drift, 'unmeasured' AS street, CASE WHEN count(*) >= 100 THEN 'pass' ELSE 'fail' END AS size FROM v_person")
+def dq06(s, d):
+    p = lambda q: F.percentile("height", F.lit(q))
+    return T.people(s, d).agg(
+        Ga.standing(p(0.5), 1.5, 1.9).alias("height"), Ga.standing(p(0.75) - p(0.25), 0.0, 0.35).alias("spread"), Ga.standing(F.regr_slope("height", "depth"), -0.02, 0.02).alias("drift"),
+        Ga.standing(F.lit(None).cast("double"), 0, 1).alias("street"), Ga.standing(F.count("*"), 100, 1 << 60).alias("size"),
+    )
+
+
+@query("dq07_stored_against_computed", "SELECT track_id % 10 AS track_group, abs(1.01 * m - m) <= greatest(1e-4, abs(m) * 0.02) AS agrees, abs(1.1 * m - m) <= greatest(1e-4, abs(m) * 0.02) AS strays FROM (SELECT track_id, avg(speed) AS m FROM v_obs GROUP BY 1) WHERE track_id < 10")
+def dq07(s, d):
+    m = F.col("m")
+    rows = T.observations(s, d).where("track_id < 10").groupBy("track_id").agg(F.avg("speed").alias("m"))
+    return rows.select((F.col("track_id") % 10).alias("track_group"), Ga.agrees(m * 1.01, m).alias("agrees"), Ga.agrees(m * 1.1, m).alias("strays"))
+
+
+@query("dq08_unmeasured", "SELECT false AS strict, true AS allowing, false AS failing")
+def dq08(s, d):
+    found = (Ga.passed(["pass", "unmeasured"]), Ga.passed(["pass", "unmeasured"], True), Ga.passed(["fail", "unmeasured"], True))
+    return s.createDataFrame([found], "strict boolean, allowing boolean, failing boolean")
+
+
+@query("dq09_zone_problems", "SELECT * FROM (VALUES ('bow', 'not convex'), ('good', ''), ('out', 'outside'), ('short', 'short base'), ('turned', 'upside down')) v(zone_id, problems)")
+def dq09(s, d):
+    quads = {
+        "good": [(100, 200), (300, 200), (300, 400), (100, 400)], "bow": [(100, 200), (400, 420), (300, 200), (100, 400)], "out": [(1950, 200), (2150, 200), (2150, 400), (1950, 400)],
+        "short": [(100, 200), (300, 200), (204, 400), (196, 400)], "turned": [(100, 400), (300, 400), (300, 200), (100, 200)],
+    }
+    rows = s.createDataFrame([(k, [tuple(map(float, p)) for p in q]) for k, q in quads.items()], "zone_id string, ring array<struct<x:double,y:double>>")
+    return Ga.polygon_problems(rows, (0, 100, 1900, 1000), 20.0).select("zone_id", F.array_join("problems", ",").alias("problems"))
+
+
+@query("dq13_unsupported_claims", "SELECT DISTINCT foot_source AS claim FROM v_obs WHERE foot_source NOT IN (SELECT foot_source FROM v_obs WHERE foot_source <> 'ankle')")
+def dq13(s, d):
+    claims = T.observations(s, d).select(F.col("foot_source").alias("claim"))
+    return Ga.unsupported(claims, claims.where("claim <> 'ankle'"), "claim")
+
+
+@query("dq14_legacy_verdict", "SELECT median(height) BETWEEN 1.4 AND 2.0 AND quantile_cont(height, 0.9) - quantile_cont(height, 0.1) <= 0.6 AND abs(regr_slope(height, depth)) <= 0.05 AS usable FROM v_person")
+def dq14(s, d):
+    p = lambda q: F.percentile("height", F.lit(q))
+    return T.people(s, d).agg(Ga.all_of(p(0.5).between(1.4, 2.0), p(0.9) - p(0.1) <= 0.6, F.abs(F.regr_slope("height", "depth")) <= 0.05).alias("usable"))
+
+
+@query("dq15_least_samples", "SELECT track_id, count(x) >= 30 AS enough FROM v_obs GROUP BY 1")
+def dq15(s, d):
+    return T.observations(s, d).groupBy("track_id").agg((F.size(F.collect_list("x")) >= 30).alias("enough"))
+
+
+@query("dq01_index_invariants", "SELECT 'counts' AS \"check\", count(*) FILTER ((n_detections IS NULL) <> (NOT processed)) AS violations FROM v_frame UNION ALL SELECT 'reasons', count(*) FILTER ((skip_reason IS NOT NULL) <> (NOT processed)) FROM v_frame")
+def dq01(s, d):
+    c = F.col
+    return Ga.gate(T.frames(s, d), {"counts": c("n_detections").isNull() == ~c("processed"), "reasons": c("skip_reason").isNotNull() == ~c("processed")})
+
+
+@query("dq16_status_probe", "SELECT 'ok' AS written, 'unknown' AS absent")
+def dq16(s, d):
+    path = scratch(s, "probe")
+    Co.write_contract(index_table(s, d), Co.FRAMES_INDEX, path, "s3_detect")
+    return s.createDataFrame([(Co.read_sidecar(s, path)["status"], Co.read_sidecar(s, scratch(s, "nowhere"))["status"])], "written string, absent string")
+
+
+@query("fn17_overlap_share", "SELECT 0.75::DOUBLE AS part, 0::DOUBLE AS touching")
+def fn17(s, d):
+    a, b, c = ([(float(x), 0.0), (x + 200.0, 0.0), (x + 200.0, 200.0), (float(x), 200.0)] for x in (100, 150, 300))
+    return s.createDataFrame([(P.overlap_share(a, b), P.overlap_share(a, c))], "part double, touching double")
+
+
+@query("fn18_convex_hull", "SELECT unnest([1, 34, 34, 1]::DOUBLE[]) AS x, unnest([0.5, 0.5, 12, 12]::DOUBLE[]) AS y")
+def fn18(s, d):
+    ends = [(1.0, 12.0), (34.0, 12.0), *((f[1], f[2]) for f in T.FACADES)]
+    return s.createDataFrame(P.hull([*T.ROI, *ends]), "x double, y double")
+
+
+@query("fn30_plane_orientation", "SELECT 1::INTEGER AS sign, -1::INTEGER AS mirrored")
+def fn30(s, d):
+    """Whether a homography keeps or mirrors the plane: the sign of its Jacobian at a probe, and that of its mirror image."""
+
+    def sign(h: np.ndarray) -> int:
+        at = lambda x, y: (lambda g: g[:2] / g[2])(h @ np.array([x, y, 1.0]))
+        o, e, n = at(960.0, 900.0), at(961.0, 900.0), at(960.0, 899.0)
+        return int(np.sign((e - o)[0] * (n - o)[1] - (e - o)[1] * (n - o)[0]))
+
+    h = np.array([[1.0, 0, 0], [0, -1.0, 1000], [0, 0, 1.0]])
+    return s.createDataFrame([(sign(h), sign(np.diag([1.0, -1.0, 1.0]) @ h))], "sign int, mirrored int")
+
+
+@query("trk01_tracks")
+def trk01(s, d):
+    """Frames are those of the recording, with and without boxes; tracking is sequential and has no SQL."""
+    return Tr.track(T.detections(s, d), T.frames(s, d), 1000)
+
+
+@query("trk02_burst_tracks")
+def trk02(s, d):
+    """State is reset in each burst of 30 frames."""
+    return Tr.track(T.detections(s, d).where("frame_idx % 300 < 30"), T.frames(s, d).where("frame_idx % 300 < 30"), 300)
+
+
+@query("trk04_running_counters", "SELECT frame_idx, (sum(n_detections) OVER (ORDER BY frame_idx ROWS UNBOUNDED PRECEDING))::BIGINT AS so_far FROM v_frame WHERE processed")
+def trk04(s, d):
+    from pyspark.sql import Window
+
+    w = Window.orderBy("frame_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return T.frames(s, d).where("processed").select("frame_idx", F.sum("n_detections").over(w).alias("so_far"))
+
+
+def crops(s, d):
+    """Crops of 24 x 48 pixels in one colour above and another below, from attributes."""
+    k = F.col("track_id")
+    pixel = lambda a, b, c: F.unhex(F.concat(*(F.lpad(F.hex((k * m % 200 + 20).cast("long")), 2, "0") for m in (a, b, c))))
+    body = F.concat(F.repeat(F.hex(pixel(3, 5, 7)), 24 * 24), F.repeat(F.hex(pixel(11, 13, 17)), 24 * 24))
+    return T.attributes(s, d).select(k.cast("long").alias("crop_id"), F.lit(24).alias("width"), F.lit(48).alias("height"), F.unhex(body).alias("content"))
+
+
+@query("udf02_torso_colours")
+def udf02(s, d):
+    return Im.torso_colours(crops(s, d))
+
+
+@query("udf03_blurred_crops")
+def udf03(s, d):
+    return Im.blur_crops(crops(s, d)).select("crop_id", F.sha2("content", 256).alias("sha"), "changed")
