@@ -82,24 +82,21 @@ class Lattice:
 
         A character that is no piece itself may be passed at probability ``floor``.
         """
-        total = np.zeros((self.size + 1, probs.shape[1]))
-        # Probabilities are kept relative to a running scale of exp(-3) a character, so that long words do not vanish.
+        logs = np.zeros((self.size, probs.shape[1]))
         bare = self.ends[1] < 0
         for k in range(len(self.step) - 1):
             at = self.order[self.step[k] : self.step[k + 1]]
+            # Sums are taken relative to the position before, so that words of any length neither vanish nor overflow.
+            last = logs[at - 1] if k else np.zeros((len(at), probs.shape[1]))
             base = np.zeros((len(at), probs.shape[1]))
+            base[bare[at]] = floor
             for length, found in self.ends.items():
                 if length <= k + 1:
                     piece = found[at]
                     hit = np.flatnonzero(piece >= 0)
-                    gain = probs[piece[hit]] * np.exp(3.0 * length)
-                    base[hit] += gain * total[at[hit] - length] if length <= k else gain
-            hit = np.flatnonzero(bare[at])
-            gain = floor * np.exp(3.0)
-            base[hit] += gain * total[at[hit] - 1] if k else gain
-            total[at] = base
-        with np.errstate(divide="ignore"):
-            logs = np.log(total[:-1]) - 3.0 * (self.offset + 1)[:, None]
+                    before = logs[at[hit] - length] if length <= k else 0.0
+                    base[hit] += probs[piece[hit]] * (1.0 if length == 1 else np.exp(before - last[hit]))
+            logs[at] = np.log(base) + last
         return logs
 
     def words(self, probs: np.ndarray, floor: np.ndarray) -> np.ndarray:
