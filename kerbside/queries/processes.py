@@ -215,7 +215,7 @@ def dq14(s, d):
 
 @query("dq15_least_samples", "SELECT track_id, count(x) >= 30 AS enough FROM v_obs GROUP BY 1")
 def dq15(s, d):
-    return T.observations(s, d).groupBy("track_id").agg((F.size(F.collect_list("x")) >= 30).alias("enough"))
+    return T.observations(s, d).groupBy("track_id").agg((F.count("x") >= 30).alias("enough"))
 
 
 @query("dq01_index_invariants", "SELECT 'counts' AS \"check\", count(*) FILTER ((n_detections IS NULL) <> (NOT processed)) AS violations FROM v_frame UNION ALL SELECT 'reasons', count(*) FILTER ((skip_reason IS NOT NULL) <> (NOT processed)) FROM v_frame")
@@ -292,3 +292,46 @@ def udf02(s, d):
 @query("udf03_blurred_crops")
 def udf03(s, d):
     return Im.blur_crops(crops(s, d)).select("crop_id", F.sha2("content", 256).alias("sha"), "changed")
+
+
+@query("dq03_stale_projection", "SELECT true AS current_accepted, true AS stale_refused")
+def dq03(s, d):
+    """Zones made with another homography fail the job that reads them."""
+    text = json.dumps({"status": "ok", "homography_sha256": "a", "features": [{"geometry": {"type": "LineString", "coordinates": [[0, 0], [1, 0]]}, "properties": {"zone_id": "Z", "zone_type": "facade"}}]})
+    docs = s.createDataFrame([(text,)], "value string")
+    accepted = Re.zones_from_geojson(s, docs, "a").count() == 1
+    try:
+        Re.zones_from_geojson(s, docs, "b").collect()
+        refused = False
+    except Exception as error:
+        refused = "stale homography" in str(error)
+    return s.createDataFrame([(accepted, refused)], "current_accepted boolean, stale_refused boolean")
+
+
+@query("dq12_all_gates", """SELECT 'orientation' AS gate, 0::BIGINT AS violations UNION ALL SELECT 'index', 0""")
+def dq12(s, d):
+    """Violations summed by gate, of all gates that are tables of checks."""
+    found = None
+    for name, run in (("orientation", dq04), ("index", dq01)):
+        own = run(s, d).agg(F.lit(name).alias("gate"), F.sum("violations").alias("violations"))
+        found = own if found is None else found.unionByName(own)
+    return found
+
+
+@query("src06_required_setting", "SELECT 0.25::DOUBLE AS value, 'no setting stop.mode' AS error")
+def src06(s, d):
+    config = {"stop": {"share": 0.25}}
+    try:
+        Re.require(config, "stop", "mode")
+        error = ""
+    except KeyError as missing:
+        error = missing.args[0]
+    return s.createDataFrame([(Re.require(config, "stop", "share"), error)], "value double, error string")
+
+
+@query("fn63_map_functions", "SELECT track_id, count(*) AS sources, sum(n)::BIGINT AS total FROM (SELECT foot_source, track_id, count(*) AS n FROM v_obs GROUP BY ALL) GROUP BY 1")
+def fn63(s, d):
+    """A map of each track's frames by source; sources are three."""
+    counts = T.observations(s, d).groupBy("track_id", "foot_source").agg(F.count("*").alias("n"))
+    maps = counts.groupBy("track_id").agg(F.map_from_entries(F.collect_list(F.struct("foot_source", "n"))).alias("m"))
+    return maps.select("track_id", F.size("m").cast("long").alias("sources"), F.aggregate(F.map_values("m"), F.lit(0).cast("long"), lambda a, b: a + b).alias("total"))
