@@ -6,17 +6,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.angles import yaw_difference
-from ..functions.colour import colour_class, colour_class_sql, matches_background
-from ..functions.geometry import point_in_polygon
-from ..functions.stats import median, wilson, wilson_sql
+from ..functions.colour import colour_class, colour_class_sql
+from ..functions.stats import median
 from ..operators import metrics as Me
-from ..plans import attention as A
 from ..sources import tables as T
-from .attention import bucket, bucket_sql, events_of
+from .attention import bucket, bucket_sql
 from .registry import DERIVED, query
 from .scalars import sql_turn
 
-R = A.Rules()
 DERIVED |= {
     "v_colour": f"SELECT *, {colour_class_sql()} AS colour FROM v_attr",
     "v_step": "SELECT *, CASE WHEN lag(ts) OVER w IS NULL THEN 0 ELSE least(1::DOUBLE, greatest(0::DOUBLE, ts - lag(ts) OVER w)) END AS dt, speed IS NOT NULL AND x IS NOT NULL AND x >= 1 AND x < 34 AND y >= 0.5 AND y < 11.5 AS valid FROM v_obs WINDOW w AS (PARTITION BY track_id ORDER BY frame_idx)",

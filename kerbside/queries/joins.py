@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..functions.colour import colour_class, colour_class_sql
+from ..functions.colour import colour_class_sql
 from ..operators import matching as M
 from ..sources import tables as T
 from .registry import DERIVED, query

@@ -12,7 +12,6 @@ from ..functions import polygons as P
 from ..operators import gates as Ga
 from ..operators import images as Im
 from ..operators import tracking as Tr
-from ..operators.sequences import even_picks  # noqa: F401
 from ..plans import attention as A
 from ..plans import report as Rp
 from ..sources import contracts as Co
