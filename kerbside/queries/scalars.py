@@ -154,12 +154,13 @@ def _with_zones(s, d):
     return T.observations(s, d).where("x IS NOT NULL").crossJoin(F.broadcast(T.zones(s)))
 
 
-_Z = [F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")]
+def _point_and_facade():
+    return [F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")]
 
 
 @query("fn07_line_distance", "SELECT track_id, frame_idx, zone_id, round(abs((bx-ax)*(ay-y) - (ax-x)*(b_y-ay)) / sqrt((bx-ax)*(bx-ax)+(b_y-ay)*(b_y-ay)), 6) AS dist FROM v_obs, v_zone WHERE x IS NOT NULL")
 def fn07(s, d):
-    return _with_zones(s, d).select("track_id", "frame_idx", "zone_id", r(G.line_distance(*_Z), "dist"))
+    return _with_zones(s, d).select("track_id", "frame_idx", "zone_id", r(G.line_distance(*_point_and_facade()), "dist"))
 
 
 @query("fn08_line_separation", """SELECT a.zone_id AS zone_a, b.zone_id AS zone_b, round((abs(a.ay-b.ay) + abs(a.b_y-b.ay)) / 2, 6) AS mean_dist, round(degrees(acos(least(1::DOUBLE, abs((a.bx-a.ax)*(b.bx-b.ax) + (a.b_y-a.ay)*(b.b_y-b.ay))
@@ -214,7 +215,7 @@ def fn13(s, d):
 
 @query("fn14_segment_distance", "SELECT track_id, frame_idx, zone_id, round(sqrt((x - least(greatest(x, ax), bx)) * (x - least(greatest(x, ax), bx)) + (y - ay) * (y - ay)), 6) AS dist FROM v_obs, v_zone WHERE x IS NOT NULL")
 def fn14(s, d):
-    return _with_zones(s, d).select("track_id", "frame_idx", "zone_id", r(G.segment_distance(*_Z), "dist"))
+    return _with_zones(s, d).select("track_id", "frame_idx", "zone_id", r(G.segment_distance(*_point_and_facade()), "dist"))
 
 
 @query("fn15_convex_aprons", "SELECT zone_id, true AS convex FROM v_zone")

@@ -13,7 +13,9 @@ from ..sources import tables as T
 from .attention import events_of, frames_of
 from .registry import query
 
-TRACK = Window.partitionBy("track_id")
+
+def track():
+    return Window.partitionBy("track_id")
 
 
 @query("win01_detection_rank", "SELECT frame_idx, x1, y1, conf, (row_number() OVER (PARTITION BY frame_idx ORDER BY conf DESC, x1, y1, x2, y2, cls) - 1)::INTEGER AS det_id FROM v_det")
@@ -35,7 +37,7 @@ def flt09(s, d):
 
 @query("win03_clipped_gap", "SELECT track_id, frame_idx, round(coalesce(least(1::DOUBLE, greatest(0::DOUBLE, ts - lag(ts) OVER (PARTITION BY track_id ORDER BY frame_idx))), 0), 6) AS dt FROM v_obs")
 def win03(s, d):
-    step = F.col("ts") - F.lag("ts").over(TRACK.orderBy("frame_idx"))
+    step = F.col("ts") - F.lag("ts").over(track().orderBy("frame_idx"))
     clipped = F.when(step.isNull(), 0.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), step)))
     return T.observations(s, d).select("track_id", "frame_idx", F.round(clipped, 6).alias("dt"))
 
@@ -74,7 +76,7 @@ def win08(s, d):
 
 @query("win09_middle_row", "SELECT track_id, frame_idx FROM (SELECT track_id, frame_idx, row_number() OVER (PARTITION BY track_id ORDER BY frame_idx) AS r, count(*) OVER (PARTITION BY track_id) AS n FROM v_obs) WHERE r = n // 2 + 1")
 def win09(s, d):
-    rows = T.observations(s, d).select("track_id", "frame_idx", F.row_number().over(TRACK.orderBy("frame_idx")).alias("r"), F.count("*").over(TRACK).alias("n"))
+    rows = T.observations(s, d).select("track_id", "frame_idx", F.row_number().over(track().orderBy("frame_idx")).alias("r"), F.count("*").over(track()).alias("n"))
     return rows.where(F.col("r") == F.floor(F.col("n") / 2) + 1).select("track_id", "frame_idx")
 
 
@@ -105,7 +107,7 @@ def win12(s, d):
 
 @query("win13_best_per_track", "SELECT track_id, frame_idx FROM (SELECT track_id, frame_idx, row_number() OVER (PARTITION BY track_id ORDER BY yaw_conf DESC NULLS LAST, frame_idx) AS r FROM v_obs) WHERE r <= 3")
 def win13(s, d):
-    best = F.row_number().over(TRACK.orderBy(F.col("yaw_conf").desc_nulls_last(), "frame_idx"))
+    best = F.row_number().over(track().orderBy(F.col("yaw_conf").desc_nulls_last(), "frame_idx"))
     return T.observations(s, d).withColumn("r", best).where("r <= 3").select("track_id", "frame_idx")
 
 
@@ -119,19 +121,19 @@ def win14(s, d):
 
 @query("win15_dwell_so_far", "SELECT track_id, frame_idx, round(ts - min(ts) OVER (PARTITION BY track_id), 6) AS dwell FROM v_obs")
 def win15(s, d):
-    return T.observations(s, d).select("track_id", "frame_idx", F.round(F.col("ts") - F.min("ts").over(TRACK), 6).alias("dwell"))
+    return T.observations(s, d).select("track_id", "frame_idx", F.round(F.col("ts") - F.min("ts").over(track()), 6).alias("dwell"))
 
 
 @query("win16_time_steps", "SELECT track_id, round(quantile_cont(step, 0.75) - quantile_cont(step, 0.25), 6) AS iqr FROM (SELECT track_id, ts - lag(ts) OVER (PARTITION BY track_id ORDER BY ts) AS step FROM (SELECT DISTINCT track_id, ts FROM v_obs)) GROUP BY 1")
 def win16(s, d):
-    steps = T.observations(s, d).select("track_id", "ts").distinct().select("track_id", (F.col("ts") - F.lag("ts").over(TRACK.orderBy("ts"))).alias("step"))
+    steps = T.observations(s, d).select("track_id", "ts").distinct().select("track_id", (F.col("ts") - F.lag("ts").over(track().orderBy("ts"))).alias("step"))
     return steps.groupBy("track_id").agg(F.round(F.percentile("step", F.lit(0.75)) - F.percentile("step", F.lit(0.25)), 6).alias("iqr"))
 
 
 @query("win17_named_ranks", """SELECT track_id, frame_idx, rank() OVER w::INTEGER AS rnk, dense_rank() OVER w::INTEGER AS dense, lead(frame_idx) OVER (PARTITION BY track_id ORDER BY frame_idx) AS nxt, first_value(frame_idx) OVER (PARTITION BY track_id ORDER BY frame_idx) AS fst,
     ntile(4) OVER (PARTITION BY track_id ORDER BY frame_idx)::INTEGER AS quarter, round(cume_dist() OVER w, 9) AS dist FROM v_obs WINDOW w AS (PARTITION BY track_id ORDER BY n_kpts_valid)""".replace("rank() OVER w::INTEGER AS rnk, dense_rank() OVER w::INTEGER", "(rank() OVER w)::INTEGER AS rnk, (dense_rank() OVER w)::INTEGER").replace("ntile(4) OVER (PARTITION BY track_id ORDER BY frame_idx)::INTEGER", "(ntile(4) OVER (PARTITION BY track_id ORDER BY frame_idx))::INTEGER"))
 def win17(s, d):
-    w, f = TRACK.orderBy("n_kpts_valid"), TRACK.orderBy("frame_idx")
+    w, f = track().orderBy("n_kpts_valid"), track().orderBy("frame_idx")
     return T.observations(s, d).select(
         "track_id", "frame_idx", F.rank().over(w).alias("rnk"), F.dense_rank().over(w).alias("dense"), F.lead("frame_idx").over(f).alias("nxt"),
         F.first_value("frame_idx").over(f).alias("fst"), F.ntile(4).over(f).alias("quarter"), F.round(F.cume_dist().over(w), 9).alias("dist"),
@@ -140,7 +142,7 @@ def win17(s, d):
 
 @query("srt01_track_order", "SELECT track_id, frame_idx, row_number() OVER (PARTITION BY track_id ORDER BY frame_idx)::INTEGER AS place FROM v_obs".replace("row_number() OVER (PARTITION BY track_id ORDER BY frame_idx)::INTEGER", "(row_number() OVER (PARTITION BY track_id ORDER BY frame_idx))::INTEGER"))
 def srt01(s, d):
-    return T.observations(s, d).select("track_id", "frame_idx", F.row_number().over(TRACK.orderBy("frame_idx")).alias("place"))
+    return T.observations(s, d).select("track_id", "frame_idx", F.row_number().over(track().orderBy("frame_idx")).alias("place"))
 
 
 @query("srt02_top_cells", "SELECT cx, cy, n FROM (SELECT floor(x / 3)::BIGINT AS cx, floor(y / 3)::BIGINT AS cy, count(*) AS n FROM v_obs WHERE x IS NOT NULL GROUP BY ALL) ORDER BY n DESC, cx, cy LIMIT 10")
@@ -199,7 +201,7 @@ def srt09(s, d):
     """As many evenly spaced frames of each track as share 600 among all, one at least and six at most."""
     obs = T.observations(s, d).select("track_id", "frame_idx")
     cap = obs.agg(F.greatest(F.lit(1), F.least(F.lit(6), F.ceil(600 / F.countDistinct("track_id")))).cast("long").alias("cap"))
-    placed = obs.withColumns({"place": F.row_number().over(TRACK.orderBy("frame_idx")) - 1, "n": F.count("*").over(TRACK)}).crossJoin(F.broadcast(cap))
+    placed = obs.withColumns({"place": F.row_number().over(track().orderBy("frame_idx")) - 1, "n": F.count("*").over(track())}).crossJoin(F.broadcast(cap))
     steps = F.least("cap", "n")
     wanted = F.transform(F.sequence(F.lit(0), (steps - 1).cast("int")), lambda i: F.bround(i * (F.col("n") - 1) / F.greatest(steps - 1, F.lit(1)), 0).cast("long"))
     return placed.where(F.array_contains(wanted, F.col("place").cast("long"))).select("track_id", "frame_idx")
@@ -207,7 +209,7 @@ def srt09(s, d):
 
 @query("srt10_every_kth", "SELECT track_id, frame_idx FROM (SELECT track_id, frame_idx, row_number() OVER (PARTITION BY track_id ORDER BY frame_idx) AS r FROM v_obs) WHERE (r - 1) % 7 = 0")
 def srt10(s, d):
-    return T.observations(s, d).withColumn("r", F.row_number().over(TRACK.orderBy("frame_idx"))).where((F.col("r") - 1) % 7 == 0).select("track_id", "frame_idx")
+    return T.observations(s, d).withColumn("r", F.row_number().over(track().orderBy("frame_idx"))).where((F.col("r") - 1) % 7 == 0).select("track_id", "frame_idx")
 
 
 @query("srt11_shuffled_order", "SELECT count(*) AS n, count(*) AS places FROM v_label")

@@ -1,8 +1,17 @@
 """The driver's contract."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import __spark_entry__
 
 
 def test_names_and_sql():
     queries, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert len(queries) > 200 and set(sql) <= set(queries) and all(map(callable, queries.values()))
+
+
+def test_imports_without_a_session():
+    code = "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], cwd=Path(__spark_entry__.__file__).parent, check=True)
