@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.colour import colour_class
@@ -84,3 +84,22 @@ def coloured_positions(attributes: DataFrame, obs: DataFrame) -> DataFrame:
     colours = attributes.select("track_id", colour_class(F.col("h"), F.col("s"), F.col("v")).alias("colour"))
     middle = obs.groupBy("track_id").agg(median("x").alias("mx"), median("y").alias("my")).where("mx IS NOT NULL")
     return colours.join(middle, "track_id")
+
+
+def as_of(left: DataFrame, right: DataFrame, value: str, span: float) -> DataFrame:
+    """Each left row with ``value`` of the last right row (ts, value) at or before its ``ts``; rows without one are left out.
+
+    Time is cut into spans that are ordered apart. A span starts from the last right row of those before it, carried over by a
+    window with one row a span, so that no task orders the whole table.
+    """
+    cut = lambda df: df.withColumn("span", F.floor(F.col("ts") / span))
+    last = cut(right).groupBy("span").agg(F.max_by(value, "ts").alias("last"))
+    spans = cut(left).select("span").union(last.select("span")).distinct().join(last, "span", "left")
+    earlier = Window.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    carried = spans.select("span", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
+    names = left.columns
+    mine = cut(left).select("ts", "span", F.struct(*names).alias("row"), F.lit(None).cast(right.schema[value].dataType).alias("seen"), F.lit(1).alias("side"))
+    other = cut(right).select("ts", "span", F.lit(None).cast(mine.schema["row"].dataType).alias("row"), F.col(value).alias("seen"), F.lit(0).alias("side"))
+    so_far = Window.partitionBy("span").orderBy("ts", "side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = mine.unionByName(other).withColumn("found", F.last("seen", ignorenulls=True).over(so_far)).where("side = 1").join(carried, "span")
+    return found.select("row.*", F.coalesce("found", "carried").alias(value)).where(F.col(value).isNotNull())

@@ -156,12 +156,12 @@ def jn22(s, d):
     return T.frames(s, d).select("frame_idx").join(matched, "frame_idx", "left_anti")
 
 
-@query("jn10_band_match", "SELECT frame_idx, min(b.det)::INTEGER AS det FROM (SELECT frame_idx, (x1 + x2) / 2 + 0.5 AS fx, y2 - 0.5 AS fy FROM v_box WHERE det = 0) p JOIN v_box b USING (frame_idx) WHERE abs((b.x1 + b.x2) / 2 - fx) < 1 AND abs(b.y2 - fy) < 1 GROUP BY 1")
+@query("jn10_band_match", "SELECT p.frame_idx, p.probe, min(b.det)::INTEGER AS det FROM (SELECT frame_idx, det AS probe, (x1 + x2) / 2 + 0.5 AS fx, y2 - 0.5 AS fy FROM v_box) p JOIN v_box b USING (frame_idx) WHERE abs((b.x1 + b.x2) / 2 - fx) < 1 AND abs(b.y2 - fy) < 1 GROUP BY ALL")
 def jn10(s, d):
     own = boxes(s, d)
-    p = own.where("det = 0").select("frame_idx", ((F.col("x1") + F.col("x2")) / 2 + 0.5).alias("fx"), (F.col("y2") - 0.5).alias("fy"))
+    p = own.select("frame_idx", F.col("det").alias("probe"), ((F.col("x1") + F.col("x2")) / 2 + 0.5).alias("fx"), (F.col("y2") - 0.5).alias("fy"))
     band = (F.abs((F.col("x1") + F.col("x2")) / 2 - F.col("fx")) < 1) & (F.abs(F.col("y2") - F.col("fy")) < 1)
-    return p.join(own, "frame_idx").where(band).groupBy("frame_idx").agg(F.min("det").alias("det"))
+    return p.join(own, "frame_idx").where(band).groupBy("frame_idx", "probe").agg(F.min("det").alias("det"))
 
 
 @query("jn11_greedy_poses")
@@ -173,11 +173,11 @@ def jn11(s, d):
     return M.greedy_poses(tracks, poses, 600.0)
 
 
-@query("jn14_point_lookup", "SELECT a.track_id, a.frame_idx, b.speed FROM v_tz a JOIN v_obs b USING (track_id, frame_idx) WHERE a.gaze_hit AND a.zone_id = 'M3'")
+@query("jn14_point_lookup", "SELECT a.track_id, a.frame_idx, b.speed FROM v_tz a JOIN v_obs b USING (track_id, frame_idx) WHERE a.gaze_hit")
 def jn14(s, d):
     from .attention import frames_of
 
-    hits = frames_of(s, d).where("gaze_hit AND zone_id = 'M3'").select("track_id", "frame_idx")
+    hits = frames_of(s, d).where("gaze_hit").select("track_id", "frame_idx")
     return hits.join(T.observations(s, d).select("track_id", "frame_idx", "speed"), ["track_id", "frame_idx"])
 
 
@@ -204,14 +204,11 @@ def jn18(s, d):
     return T.observations(s, d).where("foot_source <> 'ankle'").groupBy("foot_source").agg(F.count("*").alias("n"))
 
 
-@query("jn20_as_of", "SELECT a.frame_idx, b.frame_idx AS before FROM (SELECT frame_idx, ts FROM v_obs WHERE frame_idx % 10 = 0) a ASOF JOIN (SELECT frame_idx, ts FROM v_obs WHERE frame_idx % 10 = 5) b ON a.ts >= b.ts")
+@query("jn20_as_of", "SELECT a.track_id, a.frame_idx, b.frame_idx AS before FROM v_obs a ASOF JOIN (SELECT frame_idx, ts FROM v_frame WHERE processed) b ON a.ts >= b.ts")
 def jn20(s, d):
-    """Nearest earlier row, by a union in time order. One recording is one order; several are partitioned by recording."""
-    obs = T.observations(s, d).select("frame_idx", "ts")
-    both = obs.where("frame_idx % 10 = 0").withColumn("left", F.lit(True)).union(obs.where("frame_idx % 10 = 5").withColumn("left", F.lit(False)))
-    so_far = Window.orderBy("ts", "left").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = F.last(F.when(~F.col("left"), F.col("frame_idx")), ignorenulls=True).over(so_far)
-    return both.withColumn("before", before).where("left AND before IS NOT NULL").select("frame_idx", "before")
+    """The last processed frame at or before each observation."""
+    right = T.frames(s, d).where("processed").select("ts", F.col("frame_idx").alias("before"))
+    return M.as_of(T.observations(s, d).select("track_id", "frame_idx", "ts"), right, "before", 10.0).select("track_id", "frame_idx", "before")
 
 
 @query("jn21_full_outer", "SELECT coalesce(a.track_id, b.track_id) AS track_id, a.h IS NOT NULL AS attributed, b.n AS frames FROM v_attr a FULL JOIN (SELECT track_id, count(*) AS n FROM v_obs GROUP BY 1) b ON a.track_id = b.track_id")

@@ -249,14 +249,10 @@ def set05(s, d):
     return points.agg(F.min("x").alias("lo_x"), F.max("x").alias("hi_x"), F.min("y").alias("lo_y"), F.max("y").alias("hi_y"))
 
 
-@query("flt16_recent_tail", "SELECT a.frame_idx AS at, count(*) AS n FROM (SELECT frame_idx FROM v_obs WHERE frame_idx % 1000 = 0) a JOIN v_obs b ON b.frame_idx <= a.frame_idx AND b.frame_idx > a.frame_idx - 45 GROUP BY 1")
+@query("flt16_recent_tail", "SELECT track_id, frame_idx, count(*) OVER (PARTITION BY track_id ORDER BY frame_idx RANGE BETWEEN 44 PRECEDING AND CURRENT ROW) AS n FROM v_obs")
 def flt16(s, d):
-    """Rows within the last 45 frames of each thousandth frame: each row names the heads that it belongs to, then an equi-join."""
-    obs = T.observations(s, d).select("frame_idx")
-    head = F.ceil(F.col("frame_idx") / 1000) * 1000
-    tails = obs.withColumn("at", head).where(F.col("frame_idx") > F.col("at") - 45)
-    heads = obs.where("frame_idx % 1000 = 0").select(F.col("frame_idx").alias("at"))
-    return tails.join(heads, "at").groupBy("at").agg(F.count("*").alias("n"))
+    """Rows of the track within the 45 frames up to each row."""
+    return T.observations(s, d).select("track_id", "frame_idx", F.count("*").over(track().orderBy("frame_idx").rangeBetween(-44, 0)).alias("n"))
 
 
 @query("agg43_tails", "SELECT track_id, list(frame_idx ORDER BY frame_idx) AS frames, count(*) AS n FROM v_obs WHERE x IS NOT NULL GROUP BY 1")

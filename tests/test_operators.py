@@ -161,3 +161,11 @@ def test_streaming_presence(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r["n"] for r in spark.table("presence_test").collect()) == [10, 10]
+
+
+def test_as_of_carries_over_empty_spans(spark):
+    from kerbside.operators.matching import as_of
+
+    left = spark.createDataFrame([(t,) for t in (0.5, 1.0, 25.0, 99.0)], "ts double")
+    right = spark.createDataFrame([(1.0, 1), (24.0, 2)], "ts double, v int")
+    assert sorted(tuple(r) for r in as_of(left, right, "v", 10.0).collect()) == [(1.0, 1), (25.0, 2), (99.0, 2)]
