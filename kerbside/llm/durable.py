@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,5 +17,11 @@ def share_folder(spark: SparkSession) -> None:
 
 def durable(df: DataFrame) -> DataFrame:
     """The same rows, computed now and kept in the shared folder, so that a lost executor costs no recomputation."""
-    share_folder(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    share_folder(spark)
+    kept = df.checkpoint()
+    del df
+    # Spark drops the shuffle files of a plan that nothing refers to any more when it collects garbage.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return kept

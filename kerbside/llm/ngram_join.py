@@ -4,7 +4,8 @@ Grouped prefix join. Shingles are ordered from rare to frequent, the same for al
 threshold if the first few shingles of their sets in this order, their prefixes, have one in common. Documents of identical
 prefix and size form one group; groups that share a prefix shingle and suit in size are pairs; members of paired groups are
 compared on their whole sets. Only which documents hang together is asked for, so pairs already connected are not compared:
-every group first meets one leader a shingle, and only what is then still apart is compared in full.
+every group first meets a leader of each shingle, first the one whose own shingles are shared most, as an original's are, and only
+what is then still apart is compared in full. Where the first common shingle of two sets stands in both bounds their overlap.
 """
 
 from __future__ import annotations
@@ -65,35 +66,75 @@ def _fingerprint(values: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in sums.view(np.int64))
 
 
+#: Bits of a shingle's hash that travel within a range of hashes: two shingles of a range are taken for equally rare, never
+#: for equal, if they agree in these.
+_LOW = U((1 << 40) - 1)
+
+
+def _packed(low: np.ndarray) -> bytes:
+    """Five bytes a value."""
+    return low.view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.reshape(-1).view(np.uint64)
+
+
+def _by_range(tokens: np.ndarray, ranges: int) -> list[np.ndarray]:
+    """Ascending hashes cut at equal steps of their values."""
+    width = (1 << 64) // ranges + 1
+    return np.split(tokens, np.searchsorted(tokens, np.array([k * width for k in range(1, ranges)], dtype=np.uint64)))
+
+
 def _shared(keyed: DataFrame, parts: Parts) -> DataFrame:
-    """(batch, tokens, rarity): a batch's shingles that other batches, or several of its documents, hold as well."""
-    width = (1 << 64) // parts.ranges + 1
+    """(batch, range, places, rarity): which of a batch's shingles in a range other documents hold as well, and how many.
+
+    Both sides of the exchange derive the same ascending list of a batch's shingles in a range, so places in it suffice.
+    """
 
     def scatter(pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = shingle_sets(list(pdf["text"]))
-        tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
-        cuts = np.searchsorted(tokens, np.array([k * width for k in range(1, parts.ranges)], dtype=np.uint64))
-        rows = [
-            (k, int(pdf["batch"].iloc[0]), own.tobytes(), np.minimum(n, 255).astype(np.uint8).tobytes())
-            for k, (own, n) in enumerate(zip(np.split(tokens, cuts), np.split(counts, cuts), strict=True)) if len(own)
-        ]
+        tokens, counts = np.unique(np.concatenate(shingle_sets(list(pdf["text"]))), return_counts=True)
+        rows, start = [], 0
+        for k, own in enumerate(_by_range(tokens, parts.ranges)):
+            if len(own):
+                low, at = np.unique(own & _LOW, return_inverse=True)
+                held = np.minimum(np.bincount(at, weights=counts[start : start + len(own)]), 255).astype(np.uint8)
+                rows.append((k, int(pdf["batch"].iloc[0]), _packed(low), held.tobytes()))
+                start += len(own)
         return pd.DataFrame(rows, columns=["range", "batch", "tokens", "counts"])
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = [np.frombuffer(t, np.uint64) for t in pdf["tokens"]]
+        own = [_unpacked(t) for t in pdf["tokens"]]
         tokens, at = np.unique(np.concatenate(own), return_inverse=True)
         held = np.bincount(at, weights=np.concatenate([np.frombuffer(c, np.uint8) for c in pdf["counts"]]))
         rarity = np.minimum(8 * np.log2(held), 255).astype(np.uint8)
         rows, start = [], 0
-        for batch, values in zip(pdf["batch"], own, strict=True):
+        for batch, part, values in zip(pdf["batch"], pdf["range"], own, strict=True):
             mine = rarity[at[start : start + len(values)]]
             start += len(values)
             if mine.any():
-                rows.append((batch, values[mine > 0].tobytes(), mine[mine > 0].tobytes()))
-        return pd.DataFrame(rows, columns=["batch", "tokens", "rarity"])
+                rows.append((batch, part, np.flatnonzero(mine).astype(np.uint32).tobytes(), mine[mine > 0].tobytes()))
+        return pd.DataFrame(rows, columns=["batch", "range", "places", "rarity"])
 
     ranges = keyed.groupBy("batch").applyInPandas(scatter, "range int, batch int, tokens binary, counts binary")
-    return ranges.groupBy("range").applyInPandas(count, "batch int, tokens binary, rarity binary")
+    return ranges.groupBy("range").applyInPandas(count, "batch int, range int, places binary, rarity binary")
+
+
+def _rarities(tokens: np.ndarray, reply: pd.DataFrame, ranges: int) -> np.ndarray:
+    """How frequent each of a batch's shingles is, on the scale of ``_shared``; 0 where only one document holds it."""
+    answers = {k: (np.frombuffer(p, np.uint32), np.frombuffer(r, np.uint8)) for k, p, r in zip(reply["range"], reply["places"], reply["rarity"], strict=True)}
+    out = []
+    for k, own in enumerate(_by_range(tokens, ranges)):
+        if k in answers and len(own):
+            low, at = np.unique(own & _LOW, return_inverse=True)
+            known = np.zeros(len(low), np.uint8)
+            known[answers[k][0]] = answers[k][1]
+            out.append(known[at])
+        else:
+            out.append(np.zeros(len(own), np.uint8))
+    return np.concatenate(out)
 
 
 def prefixed(docs: DataFrame, parts: Parts, percent: int) -> DataFrame:
@@ -105,23 +146,19 @@ def prefixed(docs: DataFrame, parts: Parts, percent: int) -> DataFrame:
     keyed = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(parts.batches)).cast("int"))
 
     def order(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        known = np.concatenate([np.frombuffer(t, np.uint64) for t in right["tokens"]] or [np.zeros(0, np.uint64)])
-        rarity = np.concatenate([np.frombuffer(r, np.uint8) for r in right["rarity"]] or [np.zeros(0, np.uint8)])
-        by = np.argsort(known)
-        known, rarity = known[by], rarity[by]
+        sets = shingle_sets(list(left["text"]))
+        known = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
+        rarity = _rarities(known, right, parts.ranges)
         rows = []
-        for doc_id, values in zip(left["doc_id"], shingle_sets(list(left["text"])), strict=True):
+        for doc_id, values in zip(left["doc_id"], sets, strict=True):
             n = len(values)
             row = (doc_id, n, *_fingerprint(values), None, None, None)
-            if n and len(known):
-                at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-                common = np.where(known[at] == values, rarity[at], 0)
-                lead = n + (-percent * n) // 100 + 1
-                if n - np.count_nonzero(common) < lead:
-                    first = np.lexsort((values, common))[:lead]
-                    shared = values[first[common[first] > 0]]
-                    group = _fingerprint(values[first])[0]
-                    row = (*row[:4], group, shared.view(np.int64), values.view(np.int64))
+            common = rarity[np.searchsorted(known, values)]
+            lead = n + (-percent * n) // 100 + 1
+            if n and n - np.count_nonzero(common) < lead:
+                first = np.lexsort((values, common))[:lead]
+                shared = values[first[common[first] > 0]]
+                row = (*row[:4], _fingerprint(values[first])[0], shared.view(np.int64), values.view(np.int64))
             rows.append(row)
         return pd.DataFrame(rows, columns=["doc_id", "n_shingles", "key1", "key2", "group_key", "prefix", "tokens"])
 
@@ -129,9 +166,13 @@ def prefixed(docs: DataFrame, parts: Parts, percent: int) -> DataFrame:
     return keyed.groupBy("batch").cogroup(_shared(keyed, parts).groupBy("batch")).applyInPandas(order, schema)
 
 
-def _suits(a: Column, b: Column, percent: int) -> Column:
-    """Sizes at which two sets can reach the threshold."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _suits(size_a: Column, size_b: Column, place_a: Column, place_b: Column, percent: int) -> Column:
+    """Whether two sets can reach the threshold if their first common shingle stands at these places.
+
+    Their sizes must not differ too much, and what follows from there on must be enough for the overlap needed.
+    """
+    rest = F.least(size_a - place_a, size_b - place_b)
+    return (F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * percent) & (rest * (100 + percent) >= (size_a + size_b) * percent)
 
 
 def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -145,24 +186,28 @@ def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 def _star_pairs(entries: DataFrame, members: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs of each group's members with the first member of a leading group of a shared prefix shingle.
 
-    Groups of a shingle are banded by size, so that a leader suits many; each meets those of its own and the next lower band.
+    Groups of a shingle are banded by size, so that a leader suits many; each meets those of its own and the next lower band. In
+    the first turn the group with the fewest shingles of its own leads, later one drawn by a hash.
     """
     banded = entries.withColumn("band", F.floor(F.log("n_shingles") / F.log(F.lit(100 / percent))).cast("int"))
-    pick = F.min(F.struct(F.xxhash64("group", F.lit(turn)).alias("draw"), "group", "n_shingles", "first_member")).alias("lead")
+    draw = F.col("own_shingles") if turn == 0 else F.xxhash64("group", F.lit(turn))
+    pick = F.min(F.struct(draw.alias("draw"), "group", "n_shingles", "place")).alias("lead")
     leaders = banded.groupBy("token", "band").agg(pick)
     met = banded.withColumn("band", F.explode(F.array("band", F.col("band") - 1))).join(leaders, ["token", "band"])
-    pairs = met.where(_suits(F.col("n_shingles"), F.col("lead.n_shingles"), percent)).select("group", F.col("lead.first_member").alias("a")).distinct()
+    fits = _suits(F.col("n_shingles"), F.col("lead.n_shingles"), F.col("place"), F.col("lead.place"), percent)
+    pairs = met.where(fits).select("group", F.col("lead.group").alias("a")).distinct()
     return pairs.join(members.select("group", F.col("member").alias("b")), "group").where("a <> b").select("a", "b")
 
 
 def _rest_pairs(entries: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """All pairs of members of groups with a common prefix shingle that are not connected yet, once each."""
     named = members.select("group", "member", "component")
-    expanded = entries.select("token", "group", "n_shingles").join(named, "group")
+    expanded = entries.select("token", "group", "n_shingles", "place").join(named, "group")
     apart = expanded.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    left = expanded.join(apart, "token").select("token", F.col("member").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("na"))
-    right = left.select("token", F.col("a").alias("b"), F.col("ca").alias("cb"), F.col("na").alias("nb"))
-    return left.join(right, "token").where((F.col("ca") < F.col("cb")) & _suits(F.col("na"), F.col("nb"), percent)).select("a", "b").distinct()
+    kept = expanded.join(apart, "token")
+    left, right = (kept.select("token", *(F.col(c).alias(c + side) for c in ("member", "component", "n_shingles", "place"))) for side in "ab")
+    fits = _suits(F.col("n_shinglesa"), F.col("n_shinglesb"), F.col("placea"), F.col("placeb"), percent)
+    return left.join(right, "token").where((F.col("componenta") < F.col("componentb")) & fits).select(F.col("membera").alias("a"), F.col("memberb").alias("b")).distinct()
 
 
 def _renamed(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -193,7 +238,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = held.select(F.col("doc_id").alias("member"), *same_set, "prefix", "tokens").join(classes, ["member", *same_set])
     sets = durable(sets.dropDuplicates(["member"]).select("member", "group", "n_shingles", "prefix", "tokens"))
     grouped = sets.where(F.col("member") == F.col("group"))
-    entries = grouped.select("group", F.col("member").alias("first_member"), "n_shingles", F.explode("prefix").alias("token"))
+    # The shingles that a document shares with none come first in its order, so the place of the others follows from their number.
+    lead = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
+    entries = grouped.select("group", "n_shingles", (lead - F.size("prefix")).alias("own_shingles"), F.posexplode("prefix").alias("at", "token"))
+    entries = entries.withColumn("place", F.col("own_shingles") + F.col("at")).drop("at")
     busy = entries.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
     entries = durable(entries.join(busy, "token"))
     members = sets.select("group", "member", F.col("member").alias("component"))
