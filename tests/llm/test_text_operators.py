@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import math
+import random
 import re
 import struct
 
@@ -57,6 +58,24 @@ def test_quality_bands(docs, sf_dir, spark):
     assert kept == {1: True, 2: False, 3: False}
 
 
+def test_quality_rejects_noise_of_any_length_beside_prose(docs, sf_dir, spark):
+    draw = random.Random(3)
+    makers = {
+        "letters": lambda: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(2, 10))),
+        "hex": lambda: draw.randbytes(16).hex(),
+        "base64": lambda: base64.b64encode(draw.randbytes(45)).decode()[: draw.randint(20, 60)],
+    }
+    sizes = (512, 2048, 8192, 65536)
+    noise = [" ".join(make() for _ in range(size // 3))[:size] for make in makers.values() for size in sizes]
+    fine = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect() if not covered(WORD.findall(r["text"] or ""))]
+    prose = [" ".join(fine)[:size] for size in sizes]
+    # A passage of noise, more than a quarter of the whole, in prose.
+    mixed = prose[2][:4096] + " " + noise[6][:4096]
+    rows = quality_rules.apply_quality_rules(docs(list(enumerate([*noise, mixed, *prose])))).orderBy("doc_id").collect()
+    assert not any(r["base_failed"] for r in rows[: len(noise)])
+    assert [r["kept"] for r in rows] == [False] * (len(noise) + 1) + [True] * len(sizes)
+
+
 def test_quality_carries_whole_rows(docs):
     rows = docs([(1, "a"), (2, None)])
     back = quality_rules.apply_quality_rules(rows, carry=True).select("row.*")
