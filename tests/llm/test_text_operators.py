@@ -178,6 +178,21 @@ def test_toxicity_restores_disguises():
         assert score(text) < 0.7, text
 
 
+def test_toxicity_decodes_doubled_letters_signs_and_spaced_words_with_neighbours():
+    insults = ["idiot", "moron", "stupid", "ass"]
+    plain = "the book and the moon of a pool in some good plain words"
+    sample = [(k, f"{plain} {insults[k % 4]} and {insults[(k + 1) % 4]}" if k % 2 else plain, k % 2) for k in range(200)]
+    restorer = toxicity.Restorer(toxicity.fit_toxicity(sample).chars)
+    restored = {
+        "stuupid": "stupid", "mooron!": "moron", "(iddiot)": "idiot", "a55": "ass", "a$$": "ass", "@$$": "ass", "5tup1d": "stupid", "$tupid": "stupid",
+        "you are a s t u p i d": "stupid", "a m o r o n": "moron", "u r a m o r o n.": "moron", "a s s i am": "ass", '"s t u p i d"': "stupid", "so a-s-t-u-p-i-d!": "stupid",
+    }
+    for text, word in restored.items():
+        assert word in restorer.words(text), text
+    assert restorer.words("the good moon, 1999 3.14 455 $5 a book (pool)") == {"the", "good", "moon", "a", "book", "pool"}
+    assert restorer.words("x " * 50000)
+
+
 def test_decode_is_the_best_path():
     model = toxicity.CharModel(collections.Counter({"idiot": 5, "plain": 9, "words": 9}))
 
