@@ -174,12 +174,12 @@ def agg37(s, d):
 @query("agg38_bootstrap_mean")
 def agg38(s, d):
     """Percentile interval of the mean error from resamples drawn by hash; the resamples differ from other engines'."""
-    return Me.bootstrap_mean(errors(s, d), "frame_idx", "e", 1000)
+    return Me.bootstrap_mean(errors(s, d), "frame_idx", "e", 10_000)
 
 
 @query("agg39_bootstrap_slope")
 def agg39(s, d):
-    return Me.bootstrap_slope(T.people(s, d), "person_id", "height", "depth", 200)
+    return Me.bootstrap_slope(T.people(s, d), "person_id", "height", "depth", 400)
 
 
 @query("agg40_height_histogram", "SELECT least(55, floor((height - 1.0::DOUBLE) / 0.025::DOUBLE + 1e-9))::BIGINT AS bin, count(*) AS n FROM v_person WHERE height BETWEEN 1.0 AND 2.4 GROUP BY 1")

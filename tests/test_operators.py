@@ -148,6 +148,39 @@ def test_horizon_is_found_among_outliers(spark):
     assert row["accepted"] and -row["a"] / row["b"] == pytest.approx(0.05, abs=0.01)
 
 
+def test_horizon_returns_its_residual(spark):
+    points = spark.createDataFrame([(float(x), 100.0 + (2.0 if x % 2 else -2.0)) for x in range(0, 1000, 5)] + [(float(k), 900.0) for k in range(20)], "px double, py double")
+    row = estimators.ransac_line(points).first()
+    assert row["accepted"] and row["residual"] == pytest.approx(2.0, abs=0.1)
+
+
+def test_registered_iteration_counts(monkeypatch):
+    import inspect
+
+    from kerbside.queries import QUERIES, aggregates
+
+    times = {}
+    for name in ("bootstrap_mean", "bootstrap_slope"):
+        monkeypatch.setattr(aggregates.Me, name, lambda *args, name=name: times.setdefault(name, args[-1]))
+    monkeypatch.setattr(aggregates, "errors", lambda s, d: None)
+    monkeypatch.setattr(aggregates.T, "people", lambda s, d: None)
+    QUERIES["agg38_bootstrap_mean"](None, "")
+    QUERIES["agg39_bootstrap_slope"](None, "")
+    assert times == {"bootstrap_mean": 10_000, "bootstrap_slope": 400}
+    assert inspect.signature(estimators.ransac_line).parameters["tries"].default == 400
+
+
+def test_burst_tracks_cover_all_frames(spark, monkeypatch):
+    from kerbside.queries import QUERIES, processes
+
+    frames = spark.range(90).select(F.col("id").alias("frame_idx"))
+    boxes = [(k, *map(float, row)) for k in range(90) for row in walkers(k % 30)]
+    monkeypatch.setattr(processes.T, "detections", lambda s, d: spark.createDataFrame(boxes, "frame_idx long, x1 double, y1 double, x2 double, y2 double, conf double"))
+    monkeypatch.setattr(processes.T, "frames", lambda s, d: frames)
+    found = QUERIES["trk02_burst_tracks"](spark, "").groupBy("segment_id").agg(F.countDistinct("track_id").alias("n")).collect()
+    assert {r["segment_id"]: r["n"] for r in found} == {0: 2, 1: 2, 2: 2}
+
+
 def test_focal_length_rejects_swapped_points():
     assert estimators.focal_length((0.0, 1.0, -240.0), (960.0, 4540.0), (960.0, 540.0)) == pytest.approx((300 * 4000) ** 0.5)
     with pytest.raises(ValueError, match="same side"):
