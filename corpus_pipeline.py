@@ -36,11 +36,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id's, of each group of documents that 80 % of shared five-word shingles connect."""
-    stays = jaccard_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("stays")).distinct()
-    kept = docs.join(stays, docs["doc_id"] == stays["stays"], "left_semi")
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    """One document of each group of documents that 80 % of shared five-word shingles connect.
+
+    Where ids are null or shared by several rows, each different (id, text) is a document of its own under a key made of both;
+    else ids are keys, and the smallest stays.
+    """
+    odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id is null or n > 1").limit(1).count()
+    if not odd:
+        stays = jaccard_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("stays"))
+        return docs.join(stays, docs["doc_id"] == stays["stays"], "left_semi")
+    # A 64-bit hash of id and text: equal rows agree, others meet with a chance of 2**-64 a pair.
+    row = F.struct(*(docs[c] for c in docs.columns))
+    key = F.xxhash64(F.coalesce(docs["doc_id"].cast("string"), F.lit("null")), F.coalesce(F.concat(F.lit("t"), docs["text"]), F.lit("null")))
+    whole = F.to_json(row, {"ignoreNullFields": "false"})
+    rows = docs.select(key.alias("key"), row.alias("row"), whole.alias("whole"))
+    # Of rows of one id and text the first by all columns stays, under a total order.
+    rows = rows.groupBy("key").agg(F.min_by("row", "whole").alias("row"))
+    found = jaccard_components(rows.select("key", F.col("row.text").alias("text")), "key")
+    named = rows.join(found.select(F.col("doc_id").alias("key"), "component_id"), "key")
+    place = F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id"), "key")
+    return named.groupBy("component_id").agg(F.min_by("row", place).alias("row")).select("row.*")
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -165,3 +165,12 @@ def test_tool_calls(spark):
 
 def test_no_messages(spark):
     assert chat_format.link_tool_calls(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_near_duplicates_keep_null_and_shared_ids(docs, spark):
+    import corpus_pipeline
+
+    a, b, c, d = (" ".join(f"{w}{k}" for k in range(40)) for w in "abcd")
+    rows = [(1, a), (1, b), (6, b + " end"), (None, c), (None, d), (7, c), (8, "alone"), (8, "alone"), (None, None), (9, None)]
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs(rows), "").collect()]
+    assert len(kept) == 7 and set(kept) == {(1, a), (1, b), (7, c), (None, d), (8, "alone"), (None, None), (9, None)}
