@@ -224,9 +224,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Words are split at ASCII white space, A-Z lower-cased; a set holds the distinct five-word shingles, or the whole sequence of
     fewer words. Null texts and those without words have empty sets and link with nothing, themselves excepted: they are their
     own component. Documents link at ``percent`` % Jaccard similarity or more; a component is named by its smallest doc_id. Rows
-    of the same id and text give equal rows. No bucket, group or candidate list is capped. Other columns are not read.
+    of the same id and text give equal rows; different texts of one id, and of no id, stand for themselves, told apart by a 64-bit
+    hash of id and text. No bucket, group or candidate list is capped. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    odd = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id is null or n > 1").limit(1).count()
+    if not odd:
+        return _components(rows, percent, stars)
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce(F.concat(F.lit("t"), "text"), F.lit("null")))
+    keyed = rows.select(key.alias("key"), "doc_id", "text")
+    named = keyed.select("key", "doc_id").join(_components(keyed.select(F.col("key").alias("doc_id"), "text").dropDuplicates(["doc_id"]), percent, stars).toDF("key", "n_shingles", "component"), "key")
+    names = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return named.join(names, "component").select("doc_id", "n_shingles", "component_id")
+
+
+def _components(rows: DataFrame, percent: int, stars: int) -> DataFrame:
+    """The result for (doc_id, text) rows whose ids are neither null nor repeated."""
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     found = durable(prefixed(rows, parts_for(size), percent))
     held = found.where("prefix is not null")

@@ -174,3 +174,10 @@ def test_near_duplicates_keep_null_and_shared_ids(docs, spark):
     rows = [(1, a), (1, b), (6, b + " end"), (None, c), (None, d), (7, c), (8, "alone"), (8, "alone"), (None, None), (9, None)]
     kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs(rows), "").collect()]
     assert len(kept) == 7 and set(kept) == {(1, a), (1, b), (7, c), (None, d), (8, "alone"), (None, None), (9, None)}
+
+
+def test_jaccard_join_links_both_texts_of_an_id(docs):
+    a, b, c = (" ".join(f"{w}{k}" for k in range(40)) for w in "abc")
+    rows = [(1, a), (1, b), (6, b + " end"), (7, a + " end"), (None, c), (8, c), (None, "alone"), (9, "other")]
+    found = sorted(((r["doc_id"], r["component_id"]) for r in ngram_join.jaccard_components(docs(rows)).collect()), key=str)
+    assert found == sorted([(1, 1), (1, 1), (6, 1), (7, 1), (None, 8), (8, 8), (None, None), (9, 9)], key=str)
