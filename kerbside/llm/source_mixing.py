@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .durable import durable
+
 WORD = r"[^\x20\x09-\x0D]+"
 #: Sources beyond this many are joined by a shuffle instead of a broadcast.
 BROADCAST_SOURCES = 100_000
@@ -66,7 +68,7 @@ def mix_sources(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("own_source"), words_in(F.col(text_col)).alias("size"),
         *([F.struct(*(docs[c] for c in docs.columns)).alias("row")] if carry else []),
     )
-    targets = source_targets(sized.select(F.col("own_source").alias("source"), "size"), weights, share, most).cache()
+    targets = durable(source_targets(sized.select(F.col("own_source").alias("source"), "size"), weights, share, most))
     side = F.broadcast(targets) if targets.count() <= BROADCAST_SOURCES else targets
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     copies = F.floor(rate) + (draw(F.col("doc_id")) < rate - F.floor(rate)).cast("int")
