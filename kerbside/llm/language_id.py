@@ -8,6 +8,7 @@ product over its words. The probabilities are learnt by expectation maximisation
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,18 +20,35 @@ from pyspark.sql import functions as F
 from .batches import id_and_text, map_slices
 from .shingling import U, mix
 
-#: Runs of letters, lower-cased, each opened by this mark as in the vocabulary.
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Each word is opened by this mark, as in the vocabulary.
 MARK = "▁"
 UNDETERMINED = "und"
+#: A run of more letters is several words, so that a text without gaps takes no more steps than others.
+LONGEST_WORD = 256
+#: Numbers that a lattice's tables may hold at a time: positions or words, times languages.
+CELLS = 1 << 22
+#: Bytes of a model, which is broadcast.
+MODEL_BYTES = 1 << 30
 
+_RUNS = re.compile(r"[^\W\d_]+")
 
-def letter_pieces(model_file: str, longest: int) -> list[str]:
-    """The vocabulary's lower-case letter pieces of up to ``longest`` characters, the opening mark included."""
+
+def letters(text: str | None) -> list[str]:
+    """The words of a text: runs of letters (Unicode category L), lower-cased."""
+    runs = _RUNS.findall((text or "").lower())
+    if not all(map(str.isalpha, runs)):  # numerals such as ½ and Ⅷ are no digits to the pattern
+        runs = [w for run in runs for w in "".join(c if c.isalpha() else " " for c in run).split()]
+    if any(len(w) > LONGEST_WORD for w in runs):
+        runs = [w[k : k + LONGEST_WORD] for w in runs for k in range(0, len(w), LONGEST_WORD)]
+    return runs
+
+
+def letter_pieces(model_file: str, longest: int | None = None) -> list[str]:
+    """The vocabulary's lower-case letter pieces, of up to ``longest`` characters if given, the opening mark included."""
     model = sentencepiece.SentencePieceProcessor(model_file=model_file)
     pieces = {model.id_to_piece(k) for k in range(model.get_piece_size())}
-    kept = (p for p in pieces if len(p) <= longest and (p == MARK or LETTERS.fullmatch(p.removeprefix(MARK))) and p == p.lower())
-    return sorted(kept)
+    kept = (p for p in pieces if (p == MARK or p.removeprefix(MARK).isalpha()) and p == p.lower())
+    return sorted(p for p in kept if longest is None or len(p) <= longest)
 
 
 _SEEDS = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, 64, dtype=np.uint64) | U(1)
@@ -46,13 +64,24 @@ def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return mix(raw + U(1)), np.concatenate(([0], np.cumsum([len(w) for w in words], dtype=np.int64)))
 
 
-def _spans(codes: np.ndarray, length: int) -> np.ndarray:
-    """Hashes of all spans of ``length`` code points."""
-    n = len(codes) - length + 1
-    out = np.zeros(max(n, 0), np.uint64)
-    for k in range(length):
-        out += codes[k : k + n] * _SEEDS[k]
-    return out
+def _spans(codes: np.ndarray, longest: int) -> Iterator[np.ndarray]:
+    """Hashes of all spans of one code point, of two, and so on; none where the spans are longer than what there is."""
+    out = np.zeros(len(codes), np.uint64)
+    for k in range(longest):
+        n = max(len(codes) - k, 0)
+        out = out[:n] + codes[k : k + n] * _SEEDS[k]
+        yield out
+
+
+def piece_table(pieces: list[str]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each length, the ascending hashes of its pieces and their indices."""
+    table = {}
+    for length in sorted({len(p) for p in pieces}):
+        own = [k for k, p in enumerate(pieces) if len(p) == length]
+        *_, spans = _spans(_codes([pieces[k] for k in own])[0], length)
+        order = np.argsort(spans[::length])
+        table[length] = (spans[::length][order], np.array(own, np.int32)[order])
+    return table
 
 
 class Lattice:
@@ -66,16 +95,18 @@ class Lattice:
         self.order = np.argsort(self.offset, kind="stable")
         self.step = np.concatenate(([0], np.cumsum(np.bincount(self.offset, minlength=1)))) if self.size else np.zeros(1, np.int64)
         self.ends = {}
-        for length, (hashes, index) in table.items():
-            spans = _spans(codes, length)
-            seen = np.zeros(_SIEVE, bool)
-            seen[hashes % U(_SIEVE)] = True
-            maybe = np.flatnonzero(seen[spans % U(_SIEVE)])
-            at = np.minimum(np.searchsorted(hashes, spans[maybe]), len(hashes) - 1)
+        for length, spans in enumerate(_spans(codes, max(table, default=0)), 1):
             found = np.full(self.size, -1, np.int32)
-            found[length - 1 + maybe] = np.where(hashes[at] == spans[maybe], index[at], -1)
-            found[self.offset < length - 1] = -1
-            self.ends[length] = found
+            if length in table and len(spans):
+                hashes, index = table[length]
+                seen = np.zeros(_SIEVE, bool)
+                seen[hashes % U(_SIEVE)] = True
+                maybe = np.flatnonzero(seen[spans % U(_SIEVE)])
+                at = np.minimum(np.searchsorted(hashes, spans[maybe]), len(hashes) - 1)
+                found[length - 1 + maybe] = np.where(hashes[at] == spans[maybe], index[at], -1)
+                found[self.offset < length - 1] = -1
+            if length in table:
+                self.ends[length] = found
 
     def forward(self, probs: np.ndarray, floor: np.ndarray) -> np.ndarray:
         """Log of the summed probability up to each position, by language; ``probs`` is pieces x languages.
@@ -94,8 +125,9 @@ class Lattice:
                 if length <= k + 1:
                     piece = found[at]
                     hit = np.flatnonzero(piece >= 0)
-                    before = logs[at[hit] - length] if length <= k else 0.0
-                    base[hit] += probs[piece[hit]] * (1.0 if length == 1 else np.exp(before - last[hit]))
+                    if len(hit):
+                        before = logs[at[hit] - length] if length <= k else 0.0
+                        base[hit] += probs[piece[hit]] * (1.0 if length == 1 else np.exp(before - last[hit]))
             logs[at] = np.log(base) + last
         return logs
 
@@ -134,6 +166,18 @@ class Lattice:
         return out[:-1]
 
 
+def _runs(words: list[str], columns: int) -> Iterator[slice]:
+    """Cut a list of words so that their letters, times ``columns``, stay near CELLS; a single longer word comes alone."""
+    most = max(1, CELLS // max(1, columns))
+    ends = np.cumsum([len(w) + 1 for w in words])
+    start = 0
+    while start < len(words):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield slice(start, stop)
+        start = stop
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     languages: tuple[str, ...]
@@ -141,83 +185,111 @@ class LanguageModel:
     probs: np.ndarray
     floor: np.ndarray
     prior: np.ndarray
+    #: Log probability a letter of the texts learnt from, by language.
+    usual: np.ndarray
 
-    def classify(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """The likeliest language of each text and its posterior probability; ``und`` and 0 without letters."""
-        found = [LETTERS.findall((t or "").lower()) for t in texts]
-        counts = np.array([len(w) for w in found])
+    def word_logs(self, words: list[str]) -> np.ndarray:
+        """Log probability of each word, by language."""
+        parts = [Lattice([MARK + w for w in words[run]], self.hashes).words(self.probs, self.floor) for run in _runs(words, len(self.languages))]
+        return np.concatenate([np.zeros((0, len(self.languages))), *parts])
+
+    def classify(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float | None]]:
+        """Of each text the likeliest language, its posterior probability, and how far the log probability a letter in that
+        language lies below what is usual there; ``und``, 0 and None without letters."""
+        found = [letters(t) for t in texts]
+        counts = np.array([len(w) for w in found], np.int64)
         if not counts.sum() or not self.languages:
-            return [UNDETERMINED] * len(texts), [0.0] * len(texts)
+            return [UNDETERMINED] * len(texts), [0.0] * len(texts), [None] * len(texts)
         codes, uniques = pd.factorize(np.array([w for ws in found for w in ws], dtype=object))
-        logs = Lattice([MARK + w for w in uniques], self.hashes).words(self.probs, self.floor)
-        sums = np.vstack((np.zeros((1, len(self.languages))), np.cumsum(logs[codes], axis=0)))
-        ends = np.cumsum(counts)
-        score = sums[ends] - sums[ends - counts] + self.prior
+        logs = self.word_logs(list(uniques))
+        text = np.repeat(np.arange(len(texts)), counts)
+        score = np.zeros((len(texts), len(self.languages)))
+        step = max(1, CELLS // len(self.languages))
+        for k in range(0, len(codes), step):
+            own = text[k : k + step]
+            starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+            score[own[starts]] += np.add.reduceat(logs[codes[k : k + step]], starts, axis=0)
+        size = np.array([sum(map(len, w)) for w in found], np.int64)
+        raw, score = score, score + self.prior
         share = np.exp(score - score.max(axis=1, keepdims=True))
         share /= share.sum(axis=1, keepdims=True)
         best = score.argmax(axis=1)
         pred = [self.languages[b] if n else UNDETERMINED for b, n in zip(best, counts, strict=True)]
-        return pred, [float(s[b]) if n else 0.0 for s, b, n in zip(share, best, counts, strict=True)]
+        odd = [float(self.usual[b] - r[b] / z) if n else None for b, r, z, n in zip(best, raw, size, counts, strict=True)]
+        return pred, [float(s[b]) if n else 0.0 for s, b, n in zip(share, best, counts, strict=True)], odd
+
+
+def _learn(words: list[str], weight: np.ndarray, table: dict[int, tuple[np.ndarray, np.ndarray]], pieces: int, floor: float, rounds: int) -> np.ndarray:
+    """Piece probabilities of one language from its words and their counts."""
+    p = np.full(pieces, 1.0 / pieces)
+    lattices = [(Lattice([MARK + w for w in words[run]], table), weight[run]) for run in _runs(words, 1)]
+    for _ in range(rounds):
+        uses = 0.01 + sum(lattice.expected(p, floor, own) for lattice, own in lattices)
+        p = uses / uses.sum()
+    return p
 
 
 def fit_languages(
     labelled: DataFrame, model_file: str, text_col: str = "text", lang_col: str = "lang", *,
-    sample_docs: int = 2000, longest: int = 8, rounds: int = 4, most_languages: int = 200, key_col: str = "doc_id",
+    sample_docs: int = 2000, longest: int | None = None, rounds: int = 4, key_col: str = "doc_id",
 ) -> LanguageModel:
     """Learn piece probabilities from rows with a language and a text.
 
-    Fits on a sample of at most about ``sample_docs`` whole documents a language, picked by a hash of the key, of the
-    ``most_languages`` commonest languages; word counts by language come to the driver.
+    Fits on a sample of at most about ``sample_docs`` whole documents a language, picked by a hash of the key. Words are counted
+    and each language is learnt by executors; the driver gets the probabilities, and refuses a model beyond MODEL_BYTES (some
+    6000 languages with a vocabulary of 22,000 pieces). A language without a letter has even probabilities.
     """
     rows = labelled.select(
         F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(key_col).cast("string"), F.lit("lang")).alias("draw")
     ).where("lang is not null and text is not null")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()}
-    languages = tuple(sorted(sizes))
     pieces = letter_pieces(model_file, longest)
-    table = {}
-    for length in sorted({len(p) for p in pieces}):
-        own = [k for k, p in enumerate(pieces) if len(p) == length]
-        spans = _spans(_codes([pieces[k] for k in own])[0], length)[:: length]
-        order = np.argsort(spans)
-        table[length] = (spans[order], np.array(own, np.int32)[order])
-    probs = np.zeros((len(pieces), len(languages)))
-    floor = np.full(len(languages), 1e-7)
+    table = piece_table(pieces)
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    languages = tuple(sorted(r["lang"] for r in sizes.select("lang").take(MODEL_BYTES // (8 * len(pieces)) + 1)))
+    if len(languages) * len(pieces) * 8 > MODEL_BYTES:
+        raise ValueError(f"a model of more than {MODEL_BYTES} bytes: more languages than it can hold")
+    probs = np.full((len(pieces), len(languages)), 1.0 / len(pieces))
+    floor, usual = 1e-7, np.full(len(languages), -np.inf)
     if languages:
-        share = F.lit(None)
-        for lang, n in sizes.items():
-            share = F.when(F.col("lang") == lang, F.lit(int(min(1.0, sample_docs / n) * (2**31 - 1)))).otherwise(share)
-        drawn = rows.where(F.pmod("draw", F.lit(2**31)) <= share)
+        bar = F.least(F.lit(1.0), F.lit(float(sample_docs)) / F.col("n")) * F.lit(float(1 << 31))
+        drawn = rows.join(F.broadcast(sizes), "lang").where(F.pmod("draw", F.lit(1 << 31)) < bar)  # at most as many rows as a model may have languages
         words = drawn.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("word"))
-        counted = words.groupBy("lang", "word").count().toPandas()
-        for k, lang in enumerate(languages):
-            own = counted[counted["lang"] == lang]
-            own = own[[bool(LETTERS.fullmatch(w)) for w in own["word"]]]
-            weight = own["count"].to_numpy(float)
-            if not len(own):
-                probs[:, k] = 1.0 / len(pieces)
-                continue
-            lattice = Lattice([MARK + w for w in own["word"]], table)
-            p = np.full(len(pieces), 1.0 / len(pieces))
-            for _ in range(rounds):
-                uses = lattice.expected(p, floor[k], weight) + 0.01
-                p = uses / uses.sum()
-            probs[:, k] = p
-    return LanguageModel(languages, table, probs, floor, np.zeros(len(languages)))
+        shared = labelled.sparkSession.sparkContext.broadcast((table, len(pieces)))
+
+        def learn(pdf: pd.DataFrame) -> pd.DataFrame:
+            own, n = shared.value
+            pairs = sorted((w, c) for run, c in zip(pdf["word"], pdf["n"], strict=True) for w in letters(run))
+            known = [w for w, _ in pairs]
+            weight = np.array([c for _, c in pairs], float)
+            if not known:
+                return pd.DataFrame(columns=["lang", "probs", "usual"])
+            p = _learn(known, weight, own, n, floor, rounds)
+            model = LanguageModel(("",), own, p[:, None], np.array([floor]), np.zeros(1), np.zeros(1))
+            total = float(weight @ model.word_logs(known)[:, 0]) / float(weight @ np.array([len(w) for w in known]))
+            return pd.DataFrame({"lang": pdf["lang"].iloc[:1], "probs": [p], "usual": [total]})
+
+        counted = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
+        for row in counted.groupBy("lang").applyInPandas(learn, "lang string, probs array<double>, usual double").toLocalIterator():
+            k = languages.index(row["lang"])
+            probs[:, k], usual[k] = row["probs"], row["usual"]
+    return LanguageModel(languages, table, probs, np.full(len(languages), floor), np.zeros(len(languages)), usual)
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """doc_id, lang_pred and score (0 to 1) of every whole text.
-
-    A null text, and one without a letter, is ``und`` with score 0, as is every text if no language was learnt. Ties go to the
-    first language by code point. Repeated rows give repeated results; other columns are not read, but ``carry`` passes
-    on the whole row as ``row``. The model, of vocabulary size times languages, is broadcast.
+    """doc_id, lang_pred, score (0 to 1) and oddness of every whole text.
+
+    ``oddness`` is how far the mean log probability of a letter lies below that of the texts which the predicted language was
+    learnt from: about 0 for its prose, more for letters that no known language explains. A null text, and one without a letter,
+    is ``und`` with score 0 and null oddness, as is every text if no language was learnt. Ties go to the first language by code
+    point. Repeated rows give repeated results; other columns are not read, but ``carry`` passes on the whole row as ``row``. Very
+    long texts are scored in pieces of bounded memory. The model, of vocabulary size times languages and at most MODEL_BYTES, is
+    broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def kernel(cols: dict[str, list]) -> dict[str, list]:
-        lang, score = shared.value.classify(cols["text"])
-        return {"doc_id": cols["id"], "lang_pred": lang, "score": score}
+        lang, score, odd = shared.value.classify(cols["text"])
+        return {"doc_id": cols["id"], "lang_pred": lang, "score": score, "oddness": odd}
 
     rows = id_and_text(docs, id_col, text_col, carry)
-    return map_slices(rows, kernel, "doc_id long, lang_pred string, score double")
+    return map_slices(rows, kernel, "doc_id long, lang_pred string, score double, oddness double")
