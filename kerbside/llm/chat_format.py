@@ -3,7 +3,8 @@
 An assistant's message that is a JSON object with ``tool_calls`` makes calls, each with an ``id``, a ``name``, ``arguments`` (an
 object, or its JSON text) and optionally ``depends_on``, a list of ids. A tool's message that is a JSON object with a
 ``tool_call_id`` is a result. Calls and results of a conversation are hash-joined by identifier. Calls are ordered
-topologically: one whose dependencies all have levels is a level above them.
+topologically: one whose dependencies all have levels is a level above them. Whole conversations are ordered in tasks of bounded
+size; one with more dependencies than that is ordered by joins.
 
 Every event is a row with its place (turn, level, part) rather than a part of one row a conversation, so that no task gathers a
 conversation, however long.
@@ -12,60 +13,86 @@ conversation, however long.
 from __future__ import annotations
 
 import json
+import math
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import map_slices
 from .durable import durable
 
-#: Parameters of the known tools: their JSON types, and whether they must be given.
-SCHEMAS: dict[str, dict[str, tuple[str, bool]]] = {
-    "search": {"query": ("string", True), "limit": ("integer", False)},
-    "fetch": {"url": ("string", True), "headers": ("object", False)},
-    "calculate": {"expression": ("string", True), "precision": ("integer", False)},
-    "convert": {"value": ("number", True), "unit": ("string", True), "exact": ("boolean", False)},
-    "store": {"key": ("string", True), "values": ("array", True)},
+Schema = dict[str, Any]
+
+
+def _object(required: list[str], **properties: Schema) -> Schema:
+    return {"type": "object", "properties": properties, "required": required, "additionalProperties": False}
+
+
+#: Schemas of the arguments of the tools that are known by default; callers give their own.
+SCHEMAS: dict[str, Schema] = {
+    "search": _object(["query"], query={"type": "string"}, limit={"type": "integer"}),
+    "fetch": _object(["url"], url={"type": "string"}, headers={"type": "object"}),
+    "calculate": _object(["expression"], expression={"type": "string"}, precision={"type": "integer"}),
+    "convert": _object(["value", "unit"], value={"type": "number"}, unit={"type": "string"}, exact={"type": "boolean"}),
+    "store": _object(["key", "values"], key={"type": "string"}, values={"type": "array"}),
 }
-_TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict}
+_TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict, "null": type(None)}
+#: Dependencies whose calls one task orders; a conversation with more is ordered by joins.
+LOCAL_NEEDS = 200_000
 
 
 def parse(text: str | None) -> Any:
-    """The JSON value of a text; None where it is not JSON, or holds numbers that JSON has not."""
+    """The JSON value of a text; None where it is not JSON, or holds numbers that JSON has not or that are beyond a double."""
 
     def refuse(name: str) -> None:
         raise ValueError(name)
 
+    def finite(number: str) -> float:
+        value = float(number)
+        return value if math.isfinite(value) else refuse(number)
+
     try:
-        return json.loads(text or "", parse_constant=refuse)
+        value = json.loads(text or "", parse_constant=refuse, parse_float=finite)
+        canonical(value)  # what is too deep to write is not read
+        return value
     except (ValueError, RecursionError):
         return None
 
 
 def canonical(value: Any) -> str:
     """JSON with sorted keys and no white space; lone surrogates, which UTF-8 has not, become U+FFFD."""
-    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
     return text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
 
 
-def validate(name: Any, arguments: Any, schemas: dict[str, dict[str, tuple[str, bool]]]) -> str:
+def conforms(value: Any, schema: Schema) -> bool:
+    """Whether a JSON value has a schema's ``type`` (or one of several), is in its ``enum``, and, member by member, fits its
+    ``properties``, ``required``, ``additionalProperties`` (allowed, refused, or of a schema) and ``items``."""
+    kinds = schema.get("type", list(_TYPES))
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    if not any(isinstance(value, _TYPES[k]) and not (isinstance(value, bool) and k in ("integer", "number")) for k in kinds):
+        return False
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
+        return False
+    if isinstance(value, list):
+        return "items" not in schema or all(conforms(v, schema["items"]) for v in value)
+    if isinstance(value, dict):
+        known, more = schema.get("properties", {}), schema.get("additionalProperties", True)
+        own = [(v, known[k] if k in known else more) for k, v in value.items()]
+        return set(schema.get("required", ())) <= set(value) and all(s if isinstance(s, bool) else conforms(v, s) for v, s in own)
+    return True
+
+
+def validate(name: Any, arguments: Any, schemas: dict[str, Schema]) -> str:
     """``ok``, ``unknown_tool`` or ``invalid_arguments``."""
     if not isinstance(name, str) or name not in schemas:
         return "unknown_tool"
-    known = schemas[name]
-    if not isinstance(arguments, dict) or set(arguments) - set(known):
-        return "invalid_arguments"
-    for key, (kind, needed) in known.items():
-        if key not in arguments:
-            if needed:
-                return "invalid_arguments"
-        elif not isinstance(arguments[key], _TYPES[kind]) or kind in ("integer", "number") and isinstance(arguments[key], bool):
-            return "invalid_arguments"
-    return "ok"
-
-
-def events_of(role: str | None, text: str | None, schemas: dict[str, dict[str, tuple[str, bool]]]) -> list[dict[str, Any]]:
+    return "ok" if isinstance(arguments, dict) and conforms(arguments, schemas[name]) else "invalid_arguments"
+
+
+def events_of(role: str | None, text: str | None, schemas: dict[str, Schema]) -> list[dict[str, Any]]:
     """A message's events: the message itself as part 0, or its result, and its calls from part 1 on."""
 
     def event(part: int, kind: str, call_id: str | None, depends: list[str], status: str, value: Any) -> dict[str, Any]:
@@ -91,28 +118,77 @@ def events_of(role: str | None, text: str | None, schemas: dict[str, dict[str, t
     return out
 
 
+def ordered(nodes: list[Any], needs: list[tuple[Any, Any]]) -> dict[Any, int]:
+    """The level of each node by (node, needed node) pairs: one above the highest that it needs; none on or behind a cycle."""
+    above: dict[Any, list[Any]] = {}
+    open_needs = dict.fromkeys(nodes, 0)
+    for node, need in needs:
+        above.setdefault(need, []).append(node)
+        open_needs[node] += 1
+    level = dict.fromkeys((n for n in nodes if not open_needs[n]), 0)
+    ready = list(level)
+    for done in ready:
+        for node in above.get(done, ()):
+            open_needs[node] -= 1
+            if not open_needs[node]:  # the last of its needs, in breadth-first order, is the highest
+                level[node] = level[done] + 1
+                ready.append(node)
+    return level
+
+
 def _levels(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level) of calls; those on or behind a cycle have none. Unknown dependencies count as met."""
+    """(conv_id, call_id, level) of calls; those on or behind a cycle have none. Unknown dependencies count as met.
+
+    Conversations are dealt to tasks of about LOCAL_NEEDS dependencies each; one with more is ordered level by level, by joins.
+    """
     known = calls.select("conv_id", "call_id")
     needs = calls.select("conv_id", "call_id", F.explode("depends").alias("need")).distinct()
     needs = durable(needs.join(known.toDF("c", "n"), F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("need") == F.col("n"))).drop("c", "n"))
-    if not needs.limit(1).count():
+    total = needs.count()
+    if not total:
         return known.withColumn("level", F.lit(0))
-    same = lambda a, b: a["conv_id"].eqNullSafe(b["conv_id"]) & (a["call_id"] == b["call_id"])
+    sizes = needs.groupBy("conv_id").agg(F.count("*").alias("n"))
+    large = sizes.where(F.col("n") > LOCAL_NEEDS).select(F.col("conv_id").alias("c"))
+    conv = F.col("conv_id").eqNullSafe(F.col("c"))
+    small = needs.join(large, conv, "left_anti")
+
+    def order(pdf: pd.DataFrame) -> pd.DataFrame:
+        pairs = [((c, a), (c, b)) for c, a, b in zip(pdf["conv"], pdf["call_id"], pdf["need"], strict=True)]
+        found = ordered(list(dict.fromkeys(n for p in pairs for n in p)), pairs)
+        return pd.DataFrame([(*node, k) for node, k in found.items()], columns=["conv", "call_id", "level"])
+
+    deal = F.pmod(F.xxhash64("conv_id"), F.lit(total // LOCAL_NEEDS + 1))
+    # As texts, ids keep their digits beside nulls in pandas.
+    dealt = small.select(deal.alias("deal"), F.col("conv_id").cast("string").alias("conv"), "call_id", "need").groupBy("deal")
+    levels = dealt.applyInPandas(order, "conv string, call_id string, level int").select(F.col("conv").cast("long").alias("conv_id"), "call_id", "level")
+    bound = needs.select("conv_id", "call_id").union(needs.select("conv_id", "need")).distinct()
+    free = known.join(bound.toDF("c", "n"), conv & (F.col("call_id") == F.col("n")), "left_anti").withColumn("level", F.lit(0))
+    levels = levels.unionByName(free)
+    if large.limit(1).count():
+        levels = levels.unionByName(_levels_by_joins(bound.join(large, conv, "left_semi"), needs.join(large, conv, "left_semi")))
+    return levels
+
+
+def _levels_by_joins(calls: DataFrame, needs: DataFrame) -> DataFrame:
+    """The levels of conversations too large for a task, in as many rounds as there are levels; each round joins what waits only."""
     waiting = needs.select("conv_id", "call_id").distinct()
-    done = durable(known.join(waiting, same(known, waiting), "left_anti").withColumn("level", F.lit(0)))
-    while True:
-        met = done.select(F.col("conv_id").alias("c"), F.col("call_id").alias("n"), "level")
-        tried = needs.join(met, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("need") == F.col("n")), "left")
-        ready = tried.groupBy("conv_id", "call_id").agg(F.bool_and(F.col("level").isNotNull()).alias("all"), (F.max("level") + 1).alias("level"))
-        ready = ready.where("all").drop("all")
-        new = durable(ready.join(done, same(ready, done), "left_anti"))
-        if not new.limit(1).count():
-            return done
-        done = durable(done.unionByName(new))
-
-
-def link_tool_calls(messages: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]] = SCHEMAS) -> DataFrame:
+    calls, needs = durable(calls), durable(needs)
+    level = 0
+    new = durable(calls.join(waiting.toDF("c", "n"), F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("n")), "left_anti"))
+    out = new.withColumn("level", F.lit(level))
+    while new.limit(1).count():
+        # A need that is met goes; a call without needs left is of the next level.
+        met = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("need") == F.col("n"))
+        left = durable(needs.join(new.toDF("c", "n"), met, "left_anti"))
+        still = left.select("conv_id", "call_id").distinct().toDF("c", "n")
+        tried = needs.join(new.toDF("c", "n"), met, "left_semi").select("conv_id", "call_id").distinct()
+        new = durable(tried.join(still, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("n")), "left_anti"))
+        needs, level = left, level + 1
+        out = out.unionByName(new.withColumn("level", F.lit(level)))
+    return out
+
+
+def link_tool_calls(messages: DataFrame, schemas: dict[str, Schema] = SCHEMAS) -> DataFrame:
     """One row per message, call and result of (conv_id, turn, role, text) rows.
 
     Columns: conv_id, turn, part, kind (message, call, result), call_id, level (of calls), linked_turn (a call's result's turn,
@@ -120,7 +196,9 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict[str, tuple[str,
     likewise of results; later ones are ``duplicate``. Calls without a result are ``no_result``, results without a call ``no_call``,
     results of no later turn than their call's ``too_early``, calls on or behind a cycle ``cycle``; a call's arguments are judged
     first. Texts that are not the JSON looked for, null and empty ones included, are plain messages; null roles and conversations
-    are kept as such. Repeated rows give repeated events, whose calls are duplicates.
+    are kept as such. Repeated rows give repeated events, whose calls are duplicates. Texts of any length are read whole. JSON is
+    strict: a text with a number beyond a double, or nested too deeply to write again, is not JSON. Other columns are not read.
+    ``schemas`` has a schema of the arguments by tool, of which ``conforms`` says what counts.
     """
     fields = "part int, kind string, call_id string, depends array<string>, status string, json string"
 
