@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import tokenize
 from .chat_format import link_tool_calls
-from .labelled import labelled_sample
+from .labelled import labelled_rows, labelled_sample
 from .language_id import fit_languages, identify
 from .license_scan import containment_sql, scan_licenses
 from .ngram_join import jaccard_components
-from .preference_ranking import fit_ranking, rank_quality
+from .preference_ranking import fit_ranking_rows, rank_quality
 from .quality_rules import apply_quality_rules
 from .source_mixing import mix_sources
 from .topk_search import top_k
@@ -85,7 +85,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = fit_ranking(labelled_sample(docs, labels, "quality", rows=SAMPLE_ROWS, keep=remainder(3) != 1))
+    model = fit_ranking_rows(labelled_rows(docs, labels, "quality", rows=SAMPLE_ROWS, keep=remainder(3) != 1))
     return _scored(rank_quality(docs, model), 0.5)
 
 
@@ -132,7 +132,7 @@ ORACLES: dict[str, str] = {
     """,
     "op4_topk_search": """
         WITH vectors AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec FROM embeddings
+            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec FROM embeddings
             WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
             SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.vec, v.vec)::BIGINT AS score
