@@ -34,10 +34,19 @@ class Parts:
     ranges: int
 
 
+#: Bytes of a batch's text in a range, at least: some thirty shingles, so that a row of the exchange is mostly shingles.
+CELL_BYTES = 200
+#: Shingles of a range that are counted at a time.
+COUNTED = 8 << 20
+
+
 def parts_for(text_bytes: int) -> Parts:
+    """Batches of up to 32 MB of text; ranges of up to 64 MB, and of more only where so many batches meet that their shares of a
+    range would be smaller than CELL_BYTES. So the rows of the exchange, one a batch and range, never pass a thirtieth of the shingles."""
     batch = min(max(text_bytes // 512, 1 << 20), 32 << 20)
-    span = min(max(text_bytes // 128, 4 << 20), 64 << 20)
-    return Parts(int(text_bytes // batch + 1), int(text_bytes // span + 1))
+    batches = int(text_bytes // batch + 1)
+    span = max(min(max(text_bytes // 128, 4 << 20), 64 << 20), batches * CELL_BYTES)
+    return Parts(batches, int(text_bytes // span + 1))
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
@@ -66,6 +75,17 @@ def _fingerprint(values: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in sums.view(np.int64))
 
 
+def _sketch(values: np.ndarray) -> tuple[int, np.ndarray]:
+    """(scale, four longs): a bit for each shingle whose hash ends in ``scale`` zeros, about a hundred of them.
+
+    Each bit that only one of two sets has stands for a shingle that only this set has, so bits bound the overlap of sets of one scale.
+    """
+    scale = max(0, int(np.log2(max(1, len(values)) / 96)))
+    bits = np.zeros(256, bool)
+    bits[(values[values & U((1 << scale) - 1) == 0] >> U(32)) & U(255)] = True
+    return scale, np.packbits(bits, bitorder="little").view(np.int64)
+
+
 #: Bits of a shingle's hash that travel within a range of hashes: two shingles of a range are taken for equally rare, never
 #: for equal, if they agree in these.
 _LOW = U((1 << 40) - 1)
@@ -76,12 +96,28 @@ def _packed(low: np.ndarray) -> bytes:
     return low.view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+def _unpacked(data: np.ndarray) -> np.ndarray:
+    """The values of rows of five bytes."""
+    out = np.zeros((len(data), 8), np.uint8)
+    out[:, :5] = data
     return out.reshape(-1).view(np.uint64)
 
 
+def _rarity(packed: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each of a range's packed shingles, eight times the binary logarithm of how many documents hold it, 255 at most.
+
+    Shingles are taken in slices by their leading byte, so that memory beside the range itself stays bounded.
+    """
+    out = np.zeros(len(packed), np.uint8)
+    slices = max(1, min(256, -(-len(packed) // COUNTED)))
+    for k in range(slices):
+        own = np.flatnonzero((packed[:, 4] >= k * 256 // slices) & (packed[:, 4] < (k + 1) * 256 // slices)) if slices > 1 else np.arange(len(packed))
+        _, at = np.unique(_unpacked(packed[own]), return_inverse=True)
+        held = np.bincount(at, weights=counts[own])
+        out[own] = np.minimum(8 * np.log2(held), 255).astype(np.uint8)[at]
+    return out
+
+
 def _by_range(tokens: np.ndarray, ranges: int) -> list[np.ndarray]:
     """Ascending hashes cut at equal steps of their values."""
     width = (1 << 64) // ranges + 1
@@ -106,14 +142,12 @@ def _shared(keyed: DataFrame, parts: Parts) -> DataFrame:
         return pd.DataFrame(rows, columns=["range", "batch", "tokens", "counts"])
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = [_unpacked(t) for t in pdf["tokens"]]
-        tokens, at = np.unique(np.concatenate(own), return_inverse=True)
-        held = np.bincount(at, weights=np.concatenate([np.frombuffer(c, np.uint8) for c in pdf["counts"]]))
-        rarity = np.minimum(8 * np.log2(held), 255).astype(np.uint8)
+        packed = np.frombuffer(b"".join(pdf["tokens"]), np.uint8).reshape(-1, 5)
+        rarity = _rarity(packed, np.frombuffer(b"".join(pdf["counts"]), np.uint8))
         rows, start = [], 0
-        for batch, part, values in zip(pdf["batch"], pdf["range"], own, strict=True):
-            mine = rarity[at[start : start + len(values)]]
-            start += len(values)
+        for batch, part, size in zip(pdf["batch"], pdf["range"], pdf["counts"].map(len), strict=True):
+            mine = rarity[start : start + size]
+            start += size
             if mine.any():
                 rows.append((batch, part, np.flatnonzero(mine).astype(np.uint32).tobytes(), mine[mine > 0].tobytes()))
         return pd.DataFrame(rows, columns=["batch", "range", "places", "rarity"])
@@ -138,10 +172,10 @@ def _rarities(tokens: np.ndarray, reply: pd.DataFrame, ranges: int) -> np.ndarra
 
 
 def prefixed(docs: DataFrame, parts: Parts, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, key1, key2, group_key, prefix, tokens) of each (doc_id, text) row.
+    """(doc_id, n_shingles, key1, key2, group_key, prefix, tokens, scale, bits) of each (doc_id, text) row.
 
     ``prefix`` has the prefix's shingles that other documents hold too; it is null, as are ``tokens``, where there are none,
-    as such a document has no partner. key1 and key2 name the whole set, ``group_key`` the whole prefix.
+    as such a document has no partner. key1 and key2 name the whole set, ``group_key`` the whole prefix; ``bits`` is ``_sketch``'s.
     """
     keyed = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(parts.batches)).cast("int"))
 
@@ -152,17 +186,17 @@ def prefixed(docs: DataFrame, parts: Parts, percent: int) -> DataFrame:
         rows = []
         for doc_id, values in zip(left["doc_id"], sets, strict=True):
             n = len(values)
-            row = (doc_id, n, *_fingerprint(values), None, None, None)
+            row = (doc_id, n, *_fingerprint(values), None, None, None, None, None)
             common = rarity[np.searchsorted(known, values)]
             lead = n + (-percent * n) // 100 + 1
             if n and n - np.count_nonzero(common) < lead:
                 first = np.lexsort((values, common))[:lead]
                 shared = values[first[common[first] > 0]]
-                row = (*row[:4], _fingerprint(values[first])[0], shared.view(np.int64), values.view(np.int64))
+                row = (*row[:4], _fingerprint(values[first])[0], shared.view(np.int64), values.view(np.int64), *_sketch(values))
             rows.append(row)
-        return pd.DataFrame(rows, columns=["doc_id", "n_shingles", "key1", "key2", "group_key", "prefix", "tokens"])
+        return pd.DataFrame(rows, columns=["doc_id", "n_shingles", "key1", "key2", "group_key", "prefix", "tokens", "scale", "bits"])
 
-    schema = "doc_id long, n_shingles long, key1 long, key2 long, group_key long, prefix array<long>, tokens array<long>"
+    schema = "doc_id long, n_shingles long, key1 long, key2 long, group_key long, prefix array<long>, tokens array<long>, scale int, bits array<long>"
     return keyed.groupBy("batch").cogroup(_shared(keyed, parts).groupBy("batch")).applyInPandas(order, schema)
 
 
@@ -199,15 +233,43 @@ def _star_pairs(entries: DataFrame, members: DataFrame, turn: int, percent: int)
     return pairs.join(members.select("group", F.col("member").alias("b")), "group").where("a <> b").select("a", "b")
 
 
-def _rest_pairs(entries: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of members of groups with a common prefix shingle that are not connected yet, once each."""
+#: Members that meet the same number of others in one key of the join below.
+BLOCK = 1000
+
+
+def _rest_pairs(entries: DataFrame, members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one group, or of groups with a common prefix shingle, that are not connected yet, once each.
+
+    Only pairs that sizes, places and sketches allow come out. Members of a shingle meet by bands of size, the smaller with
+    those of its own and the next band; a band of more than BLOCK members is cut into blocks, and each two blocks meet under a
+    key of their own, so that a shingle of very many documents is spread over tasks.
+    """
     named = members.select("group", "member", "component")
-    expanded = entries.select("token", "group", "n_shingles", "place").join(named, "group")
-    apart = expanded.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    kept = expanded.join(apart, "token")
-    left, right = (kept.select("token", *(F.col(c).alias(c + side) for c in ("member", "component", "n_shingles", "place"))) for side in "ab")
-    fits = _suits(F.col("n_shinglesa"), F.col("n_shinglesb"), F.col("placea"), F.col("placeb"), percent)
-    return left.join(right, "token").where((F.col("componenta") < F.col("componentb")) & fits).select(F.col("membera").alias("a"), F.col("memberb").alias("b")).distinct()
+    rows = entries.select("token", "group", "n_shingles", "place").join(named, "group").select("token", F.lit(False).alias("inside"), "n_shingles", "place", "member", "component")
+    inside = members.join(sketches.select("member", "n_shingles"), "member")
+    inside = inside.select(F.col("group").alias("token"), F.lit(True).alias("inside"), "n_shingles", F.lit(0).cast("long").alias("place"), "member", "component")
+    rows = rows.unionByName(inside)
+    apart = rows.groupBy("token", "inside").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token", "inside")
+    banded = rows.join(apart, ["token", "inside"]).join(sketches.select("member", "scale", "bits"), "member")
+    kept = durable(banded.withColumn("band", F.floor(F.log("n_shingles") / F.log(F.lit(100 / percent))).cast("int")))
+    larger = kept.withColumn("band", F.explode(F.array("band", F.col("band") - 1)))
+    key = ["token", "inside", "band"]
+    blocks = larger.groupBy(key).agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int")
+        cut = df.join(blocks, key).withColumn(own, block).withColumn(other, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        return cut.select(*key, "i", "j", *(F.col(c).alias(c + own) for c in ("member", "component", "n_shingles", "place", "scale", "bits")))
+
+    left, right = dealt(kept, "i", "j"), dealt(larger, "j", "i")
+    a, b = ({c: F.col(c + side) for c in ("member", "component", "n_shingles", "place", "scale", "bits")} for side in "ij")
+    once = (a["n_shingles"] < b["n_shingles"]) | ((a["n_shingles"] == b["n_shingles"]) & (a["member"] < b["member"]))
+    fits = _suits(a["n_shingles"], b["n_shingles"], a["place"], b["place"], percent)
+    lost = [sum((F.bit_count(x["bits"][k].bitwiseAND(F.bitwise_not(y["bits"][k]))) for k in range(4)), F.lit(0)) for x, y in ((a, b), (b, a))]
+    overlap = F.least(a["n_shingles"] - lost[0], b["n_shingles"] - lost[1])
+    alike = (a["scale"] != b["scale"]) | (overlap * (100 + percent) >= (a["n_shingles"] + b["n_shingles"]) * percent)
+    pairs = left.join(right, [*key, "i", "j"]).where((a["component"] != b["component"]) & once & fits & alike)
+    return pairs.select(a["member"].alias("a"), b["member"].alias("b")).distinct()
 
 
 def _renamed(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -225,7 +287,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     fewer words. Null texts and those without words have empty sets and link with nothing, themselves excepted: they are their
     own component. Documents link at ``percent`` % Jaccard similarity or more; a component is named by its smallest doc_id. Rows
     of the same id and text give equal rows; different texts of one id, and of no id, stand for themselves, told apart by a 64-bit
-    hash of id and text. No bucket, group or candidate list is capped. Other columns are not read.
+    hash of id and text. Very long texts are one row of one batch. No bucket, group or candidate list is capped. Other columns are not
+    read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     odd = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id is null or n > 1").limit(1).count()
@@ -248,8 +311,8 @@ def _components(rows: DataFrame, percent: int, stars: int) -> DataFrame:
     firsts = held.groupBy(same_set).agg(F.min("doc_id").alias("member"), F.min("group_key").alias("group_key"))
     groups = firsts.groupBy("group_key", "n_shingles").agg(F.min("member").alias("group"))
     classes = durable(firsts.join(groups, ["group_key", "n_shingles"]).select(*same_set, "member", "group"))
-    sets = held.select(F.col("doc_id").alias("member"), *same_set, "prefix", "tokens").join(classes, ["member", *same_set])
-    sets = durable(sets.dropDuplicates(["member"]).select("member", "group", "n_shingles", "prefix", "tokens"))
+    sets = held.select(F.col("doc_id").alias("member"), *same_set, "prefix", "tokens", "scale", "bits").join(classes, ["member", *same_set])
+    sets = durable(sets.select("member", "group", "n_shingles", "prefix", "tokens", "scale", "bits"))
     grouped = sets.where(F.col("member") == F.col("group"))
     # The shingles that a document shares with none come first in its order, so the place of the others follows from their number.
     lead = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
@@ -268,20 +331,13 @@ def _components(rows: DataFrame, percent: int, stars: int) -> DataFrame:
                 name = members.select("member", "component")
                 pairs = pairs.join(name.toDF("a", "ca"), "a").join(name.toDF("b", "cb"), "b").where("ca <> cb").select("a", "b")
         else:
-            pairs = _rest_pairs(entries, members, percent).union(_inside_pairs(members)).distinct()
+            pairs = _rest_pairs(entries, members, sets, percent)
         new = durable(_verified(pairs, sets, percent))
         if new.limit(1).count():
             links = new if links is None else links.union(new)
             members = durable(_renamed(members, links))
     named = classes.join(members.select("member", "component"), "member").select(*same_set, "component")
-    own = F.when(F.col("prefix").isNotNull(), F.struct(*same_set))
-    named = named.select(F.struct(*same_set).alias("own"), "component")
-    out = found.select("doc_id", "n_shingles", own.alias("own")).join(named, "own", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-
-
-def _inside_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of members of one group that are not connected yet."""
-    left = members.select("group", F.col("member").alias("a"), F.col("component").alias("ca"))
-    right = members.select("group", F.col("member").alias("b"), F.col("component").alias("cb"))
-    return left.join(right, "group").where("ca < cb").select("a", "b")
+    # Sets without a partner, the most of them, need no join.
+    alone = found.where("prefix is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    joined = held.select("doc_id", *same_set).join(named, same_set)
+    return alone.unionByName(joined.select("doc_id", "n_shingles", F.col("component").alias("component_id")))
