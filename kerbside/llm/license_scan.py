@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,9 +91,13 @@ def _bands(hashes: Column, stride: int) -> Column:
     return F.when(F.size(hashes) > 0, F.flatten(F.transform(starts, window))).otherwise(F.array().cast("array<long>"))
 
 
-def _hashed(rows: DataFrame) -> DataFrame:
-    """(id, hashes) of (id, text) rows."""
-    parted = rows.select("id", words_of(F.col("text")).alias("words"), _short_phrases(F.col("text")).alias("bare"))
+def _hashed(rows: DataFrame, named: list[str] | None = None) -> DataFrame:
+    """(id, hashes) of (id, text) rows; short phrases only of texts that hold one of the words ``named``, if given."""
+    bare = _short_phrases(F.col("text"))
+    if named is not None:
+        holds = [F.contains(F.lower("text"), F.lit(w)) for w in named]
+        bare = F.when(reduce(Column.__or__, holds, F.lit(False)), bare).otherwise(F.array().cast("array<long>"))
+    parted = rows.select("id", words_of(F.col("text")).alias("words"), bare.alias("bare"))
     return parted.select("id", _shingles(F.col("words"), F.col("bare")).alias("hashes"))
 
 
@@ -122,7 +127,9 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col
         for key in r["keys"]:
             owners.setdefault(key, []).append(r["id"])
     named = F.from_json(F.lit(json.dumps(owners)), "map<string,array<string>>")
-    hashed = _hashed(docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+    # A text without the longest word of any short template has no phrase that matters.
+    short = sorted({max(t.split(), key=len) for _, t in plain if 0 < len(t.split()) < SIZE})
+    hashed = _hashed(docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), short)
     hits = F.array_distinct(F.filter(_bands(F.col("hashes"), STRIDE), lambda k: k.isin(*map(F.lit, sorted(owners)))))
     # Each template that any key retrieves is verified once.
     retrieved = F.array_distinct(F.flatten(F.transform("hits", lambda k: F.element_at(named, k.cast("string")))))
