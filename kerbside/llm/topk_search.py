@@ -74,6 +74,23 @@ def halved(data: np.ndarray, block_rows: int) -> np.ndarray:
     return np.concatenate(done) if done else np.zeros(0, np.int64)
 
 
+def packed(sizes: list[int], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each range, its first chunk and the number of them: small ranges share one of up to ``most`` queries, large ones have several."""
+    first, parts, chunk, held = [], [], -1, most
+    for size in sizes:
+        if size > most:
+            first.append(chunk + 1)
+            parts.append(-(-size // most))
+            chunk, held = chunk + parts[-1], most
+            continue
+        if held + size > most or chunk < 0:
+            chunk, held = chunk + 1, 0
+        held += size
+        first.append(chunk)
+        parts.append(1)
+    return np.array(first), np.array(parts)
+
+
 def ball_bounds(queries: np.ndarray, centres: np.ndarray, radii: np.ndarray) -> np.ndarray:
     """What the score of a query with any vector within a radius of a centre cannot exceed."""
     with np.errstate(over="ignore", invalid="ignore"):
@@ -181,8 +198,8 @@ def top_k(
 
     queries = durable(queries.dropDuplicates(once).select(*once, likeliest("vec").alias("range")))
     asked = {r["range"]: r["n"] for r in queries.groupBy("range").agg(F.count("*").alias("n")).collect()}
-    chunks = np.array([-(-asked.get(c, 0) // chunk_rows) or 1 for c in range(len(centres))])
-    chunk = lookup(np.cumsum(chunks) - chunks, F.col("range")) + dealt(F.lit("chunk"), lookup(chunks, F.col("range")))
+    first, chunks = packed([asked.get(c, 0) for c in range(len(centres))], chunk_rows)
+    chunk = lookup(first, F.col("range")) + dealt(F.lit("chunk"), lookup(chunks, F.col("range")))
     queries = queries.select("vec_id", "vec", "range", chunk.alias("chunk"), dealt(F.lit("first"), lookup(shards, F.col("range"))).alias("shard"))
 
     def searched(asking: DataFrame, first: bool) -> DataFrame:
