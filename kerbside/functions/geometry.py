@@ -50,13 +50,25 @@ def point_in_ring(x: Column, y: Column, ring: Column) -> Column:
 
 def ray_segment(ox: Column, oy: Column, yaw: Column, ax: Column, ay: Column, bx: Column, by: Column, reach: float) -> Column:
     """Distance along a ray to a segment; null if it misses, is parallel, or the segment is beyond ``reach``."""
-    dx, dy, ex, ey = unit_x(yaw), unit_y(yaw), bx - ax, by - ay
+    return ray_distance(ox, oy, unit_x(yaw), unit_y(yaw), ax, ay, bx, by, reach)
+
+
+def ray_distance(ox: Column, oy: Column, dx: Column, dy: Column, ax: Column, ay: Column, bx: Column, by: Column, reach: float) -> Column:
+    """The same for a ray given by its direction."""
+    ex, ey = bx - ax, by - ay
     det = dx * ey - dy * ex
     t = ((ax - ox) * ey - (ay - oy) * ex) / F.when(F.abs(det) >= NOWHERE, det)
     u = ((ax - ox) * dy - (ay - oy) * dx) / F.when(F.abs(det) >= NOWHERE, det)
     return F.when((t >= 0) & (t <= reach) & (u >= 0) & (u <= 1), t)
 
 
+def end_distance(ox: Column, oy: Column, yaw: Column, half: float, px: Column, py: Column, reach: float) -> Column:
+    """Distance to a segment's end; null if it is beyond ``reach`` or outside the sector."""
+    d = F.hypot(px - ox, py - oy)
+    turn = F.abs(F.pmod(F.degrees(F.atan2(py - oy, px - ox)) - yaw + 180.0, F.lit(360.0)) - 180.0)
+    return F.when((d <= reach) & (d >= NOWHERE) & (turn <= half), d)
+
+
 def sector_hit(ox: Column, oy: Column, yaw: Column, half: float, ax: Column, ay: Column, bx: Column, by: Column, reach: float) -> Column:
     """struct(dist, rank, hx, hy) of where a sector meets a segment; null if it does not.
 
@@ -70,10 +82,8 @@ def sector_hit(ox: Column, oy: Column, yaw: Column, half: float, ax: Column, ay:
         return F.when(d.isNotNull(), hit)
 
     def end(rank: int, px: Column, py: Column) -> Column:
-        d = F.hypot(px - ox, py - oy)
-        turn = F.abs(F.pmod(F.degrees(F.atan2(py - oy, px - ox)) - yaw + 180.0, F.lit(360.0)) - 180.0)
-        fits = (d <= reach) & (d >= NOWHERE) & (turn <= half)
-        return F.when(fits, F.struct(F.round(d, 9).alias("dist"), F.lit(rank).alias("rank"), px.alias("hx"), py.alias("hy")))
+        d = end_distance(ox, oy, yaw, half, px, py, reach)
+        return F.when(d.isNotNull(), F.struct(F.round(d, 9).alias("dist"), F.lit(rank).alias("rank"), px.alias("hx"), py.alias("hy")))
 
     rays = F.array_min(F.filter(F.array(ray(0, -half), ray(1, 0.0), ray(2, half)), lambda h: h.isNotNull()))
     ends = F.array_min(F.filter(F.array(end(3, ax, ay), end(4, bx, by)), lambda h: h.isNotNull()))

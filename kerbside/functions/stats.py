@@ -25,6 +25,11 @@ def wilson_sql(k: str, n: str) -> tuple[str, str]:
     return (f"CASE WHEN {n} > 0 THEN greatest(0::DOUBLE, ({mid} - {half}) / {size}) END", f"CASE WHEN {n} > 0 THEN least(1::DOUBLE, ({mid} + {half}) / {size}) END")
 
 
+def utc_stamp(time: Column) -> Column:
+    """ISO 8601 with milliseconds and Z; the session's time zone must be UTC."""
+    return F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
 def median(c: str | Column) -> Column:
     """Exact, interpolating between the two middle values."""
     return F.percentile(c, F.lit(0.5))

@@ -53,3 +53,20 @@ def polygon_problems(rows: DataFrame, roi: tuple[float, float, float, float], le
 
 def all_of(*rules: Column) -> Column:
     return reduce(lambda a, b: a & b, rules)
+
+
+def drift(lines: DataFrame, computed: DataFrame, pattern: str) -> DataFrame:
+    """Computed (zone_id, computed) rows beside the figures that a document's lines state, and whether they agree.
+
+    ``pattern`` has a group for the zone and one for its whole number. A figure that is not stated does not agree.
+    """
+    parts = [F.regexp_extract("value", pattern, k) for k in (1, 2)]
+    stated = lines.where(F.col("value").rlike(pattern)).select(parts[0].alias("zone_id"), parts[1].try_cast("long").alias("stated"))
+    return computed.join(stated, "zone_id", "left").withColumn("agrees", F.coalesce(F.col("stated") == F.col("computed"), F.lit(False)))
+
+
+def not_empty(df: DataFrame, what: str) -> DataFrame:
+    """The same rows; an error if there are none."""
+    if df.isEmpty():
+        raise ValueError(f"no {what}")
+    return df

@@ -72,8 +72,10 @@ def height_spread(people: DataFrame) -> DataFrame:
 
 
 def slope_interval(rows: DataFrame, y: str, x: str) -> DataFrame:
-    """Least-squares slope with its 95 % interval, from sums of squares alone."""
+    """Least-squares slope with its 95 % interval, from sums of squares alone; an error below ten rows or without variance of ``x``."""
     sums = rows.agg(F.regr_count(y, x).alias("n"), F.regr_slope(y, x).alias("slope"), F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.regr_sxy(y, x).alias("sxy"))
+    wrong = F.when(F.col("n") < 10, "a slope takes ten rows or more").when(F.col("sxx") <= 0, "a slope takes differing abscissas")
+    sums = sums.withColumn("n", F.when(wrong.isNull(), F.col("n")).otherwise(F.raise_error(F.concat(F.lit("slope: "), wrong))))
     se = F.sqrt((F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")) / (F.col("n") - 2) / F.col("sxx"))
     t = F.when(F.col("n") - 2 >= 30, 1.96).otherwise(2.31)
     out = sums.select("n", "slope", (F.col("slope") - t * se).alias("low"), (F.col("slope") + t * se).alias("high"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,9 +45,82 @@ def even_picks(rows: DataFrame, k: int, by: str = "track_id", order: str = "fram
     return placed.where(F.array_contains(wanted, F.col("place").cast("long"))).drop("place", "n")
 
 
-def rank_strata(rows: DataFrame, strata: int, by: list[str], order: list[Column | str]) -> DataFrame:
-    """Number of each row's rank stratum, bounds at round(i*m/strata), half even."""
-    w = Window.partitionBy(*by)
-    ranked = rows.withColumn("rank0", F.row_number().over(w.orderBy(*order)) - 1).withColumn("m", F.count("*").over(w))
-    stratum = sum((F.col("rank0") >= F.bround(F.lit(i) * F.col("m") / F.lit(strata), 0)).cast("int") for i in range(1, strata))
-    return ranked.withColumn("stratum", stratum).drop("rank0", "m")
+def rank_strata(rows: DataFrame, strata: int, by: list[str], order: list[str], spans: float = 10_000.0) -> DataFrame:
+    """Number of each row's rank stratum, bounds at round(i*m/strata), half even.
+
+    The first of ``order`` is a number, cut into spans of 1/``spans``.
+    """
+    ranked = numbered(rows, F.floor(F.col(order[0]) * spans), order, by)
+    stratum = sum((F.col("place") >= F.bround(F.lit(i) * F.col("m") / F.lit(strata), 0)).cast("int") for i in range(1, strata))
+    return ranked.withColumn("stratum", stratum).drop("place", "m")
+
+
+def _offsets(cut: DataFrame, by: list[str]) -> tuple[DataFrame, Column]:
+    """One row a group and span: rows before it, in it and in all (before, inside, m); and the condition that joins it."""
+    sizes = cut.groupBy(*by, "span").agg(F.count("*").alias("inside"))
+    group = Window.partitionBy(*by)
+    before = F.coalesce(F.sum("inside").over(group.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    keys = [*by, "span"]
+    named = sizes.select(*(F.col(c).alias(f"own_{c}") for c in keys), "inside", before.alias("before"), F.sum("inside").over(group).alias("m"))
+    return named, reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"own_{c}")) for c in keys))
+
+
+def numbered(rows: DataFrame, span: Column, order: list[Column | str], by: list[str] | None = None, first: int | None = None) -> DataFrame:
+    """Rows with their ``place`` from 0 in their group's order, and the group's size ``m``.
+
+    ``span`` must not fall along the order. Rows are sorted within a span only, once counts by span have told how many come
+    before, so no task sorts a group; what meets in a task is a row a span. With ``first``, only spans that hold some of the
+    first so many rows of a group are sorted and kept.
+    """
+    by = by or []
+    cut = rows.withColumn("span", span)
+    offsets, same = _offsets(cut, by)
+    if first is not None:
+        offsets = offsets.where(F.col("before") < first)
+    own = Window.partitionBy(*by, "span").orderBy(*order)
+    placed = cut.join(offsets, same).withColumn("place", F.col("before") + F.row_number().over(own) - 1)
+    return placed.drop("span", "inside", "before", *(f"own_{c}" for c in [*by, "span"]))
+
+
+def exact_median(rows: DataFrame, value: str, step: float, by: list[str] | None = None, name: str = "median") -> DataFrame:
+    """The exact median of each group, between the two middle values; nulls do not count.
+
+    Values are counted by spans of ``step``; only the spans that hold the middle are sorted.
+    """
+    by = by or []
+    cut = rows.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("value"), F.floor(F.col(value) / step).alias("span"))
+    offsets, same = _offsets(cut, by)
+    low, high = F.floor((F.col("m") - 1) / 2), F.floor(F.col("m") / 2)
+    middle = cut.join(offsets.where((F.col("before") <= high) & (F.col("before") + F.col("inside") > low)), same)
+    place = F.col("before") + F.row_number().over(Window.partitionBy(*by, "span").orderBy("value")) - 1
+    ends = middle.withColumn("place", place).where((F.col("place") == low) | (F.col("place") == high))
+    return ends.groupBy(*by).agg((F.min("value") * 0.5 + F.max("value") * 0.5).alias(name))
+
+
+def running(rows: DataFrame, span: Column, order: str, columns: list[str]) -> DataFrame:
+    """Rows with ``columns`` summed up to each row in order; sums by span come first, so each span is a window of its own."""
+    cut = rows.withColumn("span", span)
+    earlier = Window.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    sums = cut.groupBy("span").agg(*(F.sum(c).alias(c) for c in columns))
+    before = sums.select(F.col("span").alias("own_span"), *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in columns))
+    inside = Window.partitionBy("span").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = cut.join(before, F.col("span") == F.col("own_span"))
+    return joined.select(*(c for c in rows.columns if c not in columns), *((F.col(f"{c}_before") + F.sum(c).over(inside)).alias(c) for c in columns))
+
+
+def steps(rows: DataFrame, value: str, width: float) -> DataFrame:
+    """``step`` from each value to the one before it, null for the first; values are ordered within spans of ``width``."""
+    cut = rows.select(value, F.floor(F.col(value) / width).alias("span"))
+    ends = cut.groupBy("span").agg(F.max(value).alias("last"))
+    ends = ends.select(F.col("span").alias("own_span"), F.lag("last").over(Window.orderBy("span")).alias("previous"))
+    before = F.lag(value).over(Window.partitionBy("span").orderBy(value))
+    return cut.join(ends, F.col("span") == F.col("own_span")).select((F.col(value) - F.coalesce(before, F.col("previous"))).alias("step"))
+
+
+def overlapped(rows: DataFrame, position: str, width: float, reach: float) -> DataFrame:
+    """Rows with the ``block`` of ``width`` that their position is in; those within ``reach`` of its start also stand, as guests
+    (``own`` false), in the block before, so that windows that look ahead can run block by block."""
+    block = F.floor(F.col(position) / width)
+    near = (F.col(position) - block * width <= reach) & (block > 0)
+    listed = F.when(near, F.array(block, block - 1)).otherwise(F.array(block))
+    return rows.withColumn("block", F.explode(listed)).withColumn("own", F.col("block") == F.floor(F.col(position) / width))

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..functions.stats import median, wilson
+from ..functions.angles import unit_x, unit_y
+from ..functions.stats import wilson
+from ..operators.sequences import exact_median
 
 
 @dataclass(frozen=True)
@@ -38,26 +40,48 @@ def positions(obs: DataFrame) -> DataFrame:
 
 def stop_threshold(pos: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """One row: the speed below which a track stands, relative to the flow's median."""
-    return pos.agg((F.lit(rules.slow_share) * median("speed")).alias("thr"))
+    return exact_median(pos, "speed", 0.01).select((F.lit(rules.slow_share) * F.col("median")).alias("thr"))
 
 
 def zone_frames(obs: DataFrame, zones: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Every track-frame with every zone: in the apron, near, slow, looking at the facade, and how flatly."""
+    """Every track-frame with every zone: in the apron, near, slow, looking at the facade, and how flatly.
+
+    Each step's results are columns of their own, so that the next refers to them instead of computing them again: the rays'
+    directions once a track-frame, their distances once a zone, then the nearest of them and how steeply it meets the facade.
+    """
     pos = positions(obs)
-    joined = pos.crossJoin(F.broadcast(stop_threshold(pos, rules))).crossJoin(F.broadcast(zones))
+    rays = [-rules.half_sector, 0.0, rules.half_sector]
+    aimed = pos.withColumns({f"{axis}{k}": unit(F.col("yaw") + turn) for k, turn in enumerate(rays) for axis, unit in (("dx", unit_x), ("dy", unit_y))})
+    joined = aimed.crossJoin(F.broadcast(stop_threshold(pos, rules))).crossJoin(F.broadcast(zones))
     c = {n: F.col(n) for n in ("x", "y", "ax", "ay", "bx", "by", "yaw")}
     apron = [("apron_x0", "apron_y0"), ("apron_x1", "apron_y0"), ("apron_x1", "apron_y1"), ("apron_x0", "apron_y1")]
     ring = [(F.col(a), F.col(b)) for a, b in apron]
     near = G.segment_distance(c["x"], c["y"], c["ax"], c["ay"], c["bx"], c["by"]) <= rules.reach
     seen = joined.withColumn("near", near).withColumn("in_apron", G.point_in_polygon(c["x"], c["y"], ring))
-    sector = G.sector_hit(c["x"], c["y"], c["yaw"], rules.half_sector, c["ax"], c["ay"], c["bx"], c["by"], rules.reach)
-    hit = seen.withColumn("hit", F.when(F.col("near") & F.col("yaw").isNotNull(), sector))
-    # Rounded, so that an angle on the limit does not depend on the last bit of an arc cosine.
-    flat = F.round(G.grazing_angle(F.col("hit.hx"), F.col("hit.hy"), c["x"], c["y"], c["ax"], c["ay"], c["bx"], c["by"]), 9) > rules.grazing
-    return hit.select(
+    looking = F.col("near") & F.col("yaw").isNotNull()
+    facade = [c[n] for n in ("ax", "ay", "bx", "by")]
+    # Each ray meets the facade's line at t along itself and u along the facade.
+    ex, ey, qx, qy = c["bx"] - c["ax"], c["by"] - c["ay"], c["ax"] - c["x"], c["ay"] - c["y"]
+    dets = seen.withColumns({"looking": looking, **{f"det{k}": F.col(f"dx{k}") * ey - F.col(f"dy{k}") * ex for k in range(3)}})
+    fine = [F.when(F.abs(F.col(f"det{k}")) >= G.NOWHERE, F.col(f"det{k}")) for k in range(3)]
+    met = dets.withColumns({f"t{k}": (qx * ey - qy * ex) / fine[k] for k in range(3)} | {f"u{k}": (qx * F.col(f"dy{k}") - qy * F.col(f"dx{k}")) / fine[k] for k in range(3)})
+    looking = F.col("looking")
+    along = met.withColumns({f"d{k}": F.when(looking & F.col(f"t{k}").between(0, rules.reach) & F.col(f"u{k}").between(0, 1), F.col(f"t{k}")) for k in range(3)})
+    missed = looking & F.coalesce("d0", "d1", "d2").isNull()
+    ends = along.withColumns({f"d{k}": F.when(missed, G.end_distance(c["x"], c["y"], c["yaw"], rules.half_sector, px, py, rules.reach)) for k, (px, py) in ((3, facade[:2]), (4, facade[2:]))})
+    near_by = ends.withColumns({f"r{k}": F.round(f"d{k}", 9) for k in range(5)}).withColumn("gaze_dist", F.least(*(f"r{k}" for k in range(5))))
+    # How steeply the sight of the nearest meets the facade: the part of its direction across it. Of equal distances the earlier counts.
+    width = F.hypot(ex, ey)
+    across = [F.abs(F.col(f"det{k}")) for k in range(3)] + [F.abs((py - c["y"]) * ex - (px - c["x"]) * ey) / F.col(f"d{k}") for k, (px, py) in ((3, facade[:2]), (4, facade[2:]))]
+    steep = F.coalesce(*(F.when(F.col(f"r{k}") == F.col("gaze_dist"), F.when(F.col(f"d{k}") * width >= G.NOWHERE, part / width).otherwise(-1.0)) for k, part in enumerate(across)))
+    hits = near_by.withColumn("steep", steep)
+    # Rounded, so that an angle on the limit does not depend on the last bit of an arc cosine; no length is no angle, and grazes.
+    angle = F.when(F.col("steep") >= 0, F.degrees(F.acos(F.least(F.lit(1.0), "steep")))).otherwise(90.0)
+    flat = F.round(angle, 9) > rules.grazing
+    hit = F.col("gaze_dist").isNotNull()
+    return hits.select(
         "track_id", "frame_idx", "zone_id", "ts", "x", "y", "yaw", "near", "in_apron",
-        F.coalesce(F.col("speed") < F.col("thr"), F.lit(False)).alias("is_slow"), F.col("hit").isNotNull().alias("gaze_hit"),
-        F.col("hit.dist").alias("gaze_dist"), (F.col("hit").isNotNull() & flat).alias("grazing"),
+        F.coalesce(F.col("speed") < F.col("thr"), F.lit(False)).alias("is_slow"), hit.alias("gaze_hit"), "gaze_dist", F.when(hit, flat).otherwise(False).alias("grazing"),
     )
 
 

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import median, wilson_sql
+from ..operators import sequences as Q
 from ..plans import attention as A
 from ..sources import tables as T
+from ..sources.staging import staged
 from .registry import DERIVED, query
 
 R = A.Rules()
@@ -62,7 +64,8 @@ DERIVED |= {
 
 
 def frames_of(spark: SparkSession, sf: str) -> DataFrame:
-    return A.zone_frames(T.observations(spark, sf), T.zones(spark))
+    """The trace of zone frames, written once a query: what reads it several times, or filters it, computes nothing again."""
+    return staged(A.zone_frames(T.observations(spark, sf), T.zones(spark)))
 
 
 def events_of(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,20 +171,17 @@ def agg05(s, d):
 
 @query("agg06_zone_dwell_median", "SELECT zone_id, round(median(t_end - t_start), 6) AS dwell FROM v_event GROUP BY 1")
 def agg06(s, d):
-    return events_of(s, d).groupBy("zone_id").agg(F.round(median(F.col("t_end") - F.col("t_start")), 6).alias("dwell"))
+    dwell = staged(events_of(s, d).select("zone_id", (F.col("t_end") - F.col("t_start")).alias("dwell")))
+    return Q.exact_median(dwell, "dwell", 0.1, ["zone_id"], "dwell").select("zone_id", F.round("dwell", 6).alias("dwell"))
 
 
 DERIVED["v_period"] = "SELECT median(step) AS period FROM (SELECT ts - lag(ts) OVER (ORDER BY ts) AS step FROM (SELECT DISTINCT ts FROM v_tz WHERE in_apron OR gaze_hit OR near))"
 
 
 def frame_period(frames: DataFrame) -> DataFrame:
-    """One row: the median step between distinct frame times.
-
-    Frame times are one short list for all tracks of a camera, so one task orders it; deployments of many cameras partition
-    by camera.
-    """
+    """One row: the median step between distinct frame times."""
     times = A.relevant(frames).select("ts").distinct()
-    return times.select((F.col("ts") - F.lag("ts").over(Window.orderBy("ts"))).alias("step")).agg(median("step").alias("period"))
+    return Q.exact_median(Q.steps(times, "ts", 600.0), "step", 0.001, name="period")
 
 
 @query("agg08_frame_period", "SELECT round(period, 9) AS period FROM v_period")
@@ -342,13 +342,12 @@ def set02(s, d):
     SELECT track_id, frame_idx, hits, frame_idx = min(frame_idx) OVER (PARTITION BY track_id) AS first_frame, coalesce(frame_idx = min(CASE WHEN hits > 0 THEN frame_idx END) OVER (PARTITION BY track_id), false) AS first_hit
     FROM (SELECT track_id, frame_idx, count(*) FILTER (gaze_hit AND NOT grazing) AS hits FROM v_tz GROUP BY ALL)) GROUP BY 1) WINDOW w AS (ORDER BY frame_idx ROWS UNBOUNDED PRECEDING)""".replace("sum(new_track) OVER w::BIGINT", "(sum(new_track) OVER w)::BIGINT").replace("sum(hits) OVER w::BIGINT", "(sum(hits) OVER w)::BIGINT").replace("sum(new_looker) OVER w::BIGINT", "(sum(new_looker) OVER w)::BIGINT"))
 def agg42(s, d):
-    """Counts so far by frame. The running sum goes over frames, one row each, not over tracks."""
+    """Counts so far by frame."""
     own = Window.partitionBy("track_id")
     per = frames_of(s, d).groupBy("track_id", "frame_idx").agg(F.count_if(F.expr("gaze_hit AND NOT grazing")).alias("hits"))
     first = per.withColumns({
         "first_frame": F.col("frame_idx") == F.min("frame_idx").over(own),
         "first_hit": F.coalesce(F.col("frame_idx") == F.min(F.when(F.col("hits") > 0, F.col("frame_idx"))).over(own), F.lit(False)),
     })
-    by_frame = first.groupBy("frame_idx").agg(F.count_if("first_frame").alias("t"), F.sum("hits").alias("h"), F.count_if("first_hit").alias("l"))
-    so_far = Window.orderBy("frame_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return by_frame.select("frame_idx", F.sum("t").over(so_far).alias("tracks"), F.sum("h").over(so_far).alias("hits"), F.sum("l").over(so_far).alias("lookers"))
+    by_frame = first.groupBy("frame_idx").agg(F.count_if("first_frame").alias("tracks"), F.sum("hits").alias("hits"), F.count_if("first_hit").alias("lookers"))
+    return Q.running(staged(by_frame), F.floor(F.col("frame_idx") / 10_000), "frame_idx", ["tracks", "hits", "lookers"])

@@ -71,6 +71,17 @@ def est05(s, d):
     return T.detections(s, d).where("frame_idx % 10 >= 7").agg(F.round(F.percentile(res, F.lit(0.5)), 6).alias("residual"))
 
 
+@query("est05_vanishing_point")
+def est05_point(s, d):
+    """The point where most boxes' diagonals meet, with its held-out residual; hypotheses are drawn by hash, so it has no SQL."""
+    c = F.col
+    size = F.sqrt((c("y2") - c("y1")) ** 2 + (c("x2") - c("x1")) ** 2)
+    a, b = (c("y1") - c("y2")) / size, (c("x2") - c("x1")) / size
+    lines = T.detections(s, d).select("frame_idx", a.alias("a"), b.alias("b"), (-(a * c("x1") + b * c("y1"))).alias("c"))
+    found = E.vanishing_point(lines, "frame_idx")
+    return s.createDataFrame([tuple(found.values())], "x double, y double, inliers long, residual double, deviation double, accepted boolean")
+
+
 @query("est06_candidates_on_line", "SELECT frame_idx, round(x1 + (300 - y1) * (x2 - x1) / (y2 - y1), 6) AS x FROM v_det WHERE y2 <> y1")
 def est06(s, d):
     """Where each segment's line meets the horizon at row 300."""

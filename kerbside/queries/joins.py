@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions.colour import colour_class_sql
+from ..operators import gates as Ga
 from ..operators import matching as M
 from ..sources import tables as T
 from .registry import DERIVED, query
@@ -33,7 +34,8 @@ def flt02(s, d):
 
 @query("flt03_processed", "SELECT frame_idx, n_detections FROM v_frame WHERE processed")
 def flt03(s, d):
-    return T.frames(s, d).where("processed").select("frame_idx", "n_detections")
+    """The denominator of all shares; an error if nothing was processed."""
+    return Ga.not_empty(T.frames(s, d).where("processed"), "processed frames").select("frame_idx", "n_detections")
 
 
 _EDGES = "x1 > 10 AND y1 > 10 AND x2 < 1790 AND y2 < 1070"
@@ -126,7 +128,7 @@ def jn02(s, d):
 @query("jn03_frames_with_boxes", "SELECT f.frame_idx, count(b.det) AS n FROM v_frame f LEFT JOIN v_box b USING (frame_idx) WHERE f.processed GROUP BY 1")
 def jn03(s, d):
     listed = T.frames(s, d).where("processed").select("frame_idx").join(boxes(s, d).select("frame_idx", "det"), "frame_idx", "left")
-    return listed.groupBy("frame_idx").agg(F.size(F.array_sort(F.collect_list("det"))).cast("long").alias("n"))
+    return listed.groupBy("frame_idx").agg(F.count("det").alias("n"))
 
 
 @query("jn08_separated_pairs", "SELECT a.frame_idx, a.det AS a, b.det AS b FROM v_box a JOIN v_box b ON a.frame_idx = b.frame_idx AND a.det < b.det WHERE abs(a.y2 - b.y2) >= 80")

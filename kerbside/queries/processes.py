@@ -3,30 +3,27 @@
 from __future__ import annotations
 
 import json
-import tempfile
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import polygons as P
+from ..functions.stats import utc_stamp
 from ..operators import gates as Ga
 from ..operators import images as Im
+from ..operators import sequences as Q
 from ..operators import tracking as Tr
 from ..plans import attention as A
 from ..plans import report as Rp
 from ..sources import contracts as Co
 from ..sources import readers as Re
 from ..sources import tables as T
+from ..sources.staging import scratch
 from .attention import RATES_SQL, events_of
 from .registry import query
 
 
-def scratch(s, name: str) -> str:
-    """A folder for a dataset that a query writes and reads again: in the shared folder where a cluster names one."""
-    shared = s.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{shared.rstrip('/')}/kerbside-{s.sparkContext.applicationId}/{name}" if shared else f"{tempfile.mkdtemp(prefix='kerbside-')}/{name}"
-
-
 def index_table(s, d):
     return T.frames(s, d).select("frame_idx", "ts", "processed", "n_detections", "skip_reason")
 
@@ -269,10 +266,7 @@ def trk02(s, d):
 
 @query("trk04_running_counters", "SELECT frame_idx, (sum(n_detections) OVER (ORDER BY frame_idx ROWS UNBOUNDED PRECEDING))::BIGINT AS so_far FROM v_frame WHERE processed")
 def trk04(s, d):
-    from pyspark.sql import Window
-
-    w = Window.orderBy("frame_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return T.frames(s, d).where("processed").select("frame_idx", F.sum("n_detections").over(w).alias("so_far"))
+    return Q.running(T.frames(s, d).where("processed").select("frame_idx", F.col("n_detections").alias("so_far")), F.floor(F.col("frame_idx") / 10_000), "frame_idx", ["so_far"])
 
 
 def crops(s, d):
@@ -307,14 +301,55 @@ def dq03(s, d):
     return s.createDataFrame([(accepted, refused)], "current_accepted boolean, stale_refused boolean")
 
 
-@query("dq12_all_gates", """SELECT 'orientation' AS gate, 0::BIGINT AS violations UNION ALL SELECT 'index', 0""")
+_BAD_HEIGHTS = "(CASE WHEN median(height) BETWEEN 1.5 AND 1.9 THEN 0 ELSE 1 END + CASE WHEN quantile_cont(height, 0.75) - quantile_cont(height, 0.25) <= 0.35 THEN 0 ELSE 1 END + CASE WHEN abs(regr_slope(height, depth)) <= 0.02 THEN 0 ELSE 1 END + CASE WHEN count(*) >= 100 THEN 0 ELSE 1 END)"
+
+
+@query("dq12_all_gates", f"""SELECT 'orientation' AS gate, count(*) FILTER (body_yaw < 0 OR body_yaw >= 360 OR NOT n_kpts_valid BETWEEN 0 AND 17) + count(*) FILTER (yaw_conf IS NOT NULL AND body_yaw IS NULL AND head_yaw IS NULL) AS violations FROM v_obs
+    UNION ALL SELECT 'index', count(*) FILTER ((n_detections IS NULL) <> (NOT processed)) + count(*) FILTER ((skip_reason IS NOT NULL) <> (NOT processed)) FROM v_frame
+    UNION ALL SELECT 'calibration', {_BAD_HEIGHTS}::BIGINT FROM v_person
+    UNION ALL SELECT 'samples', count(*) FILTER (n < 30) FROM (SELECT count(x) AS n FROM v_obs GROUP BY track_id)
+    UNION ALL SELECT 'evidence', count(DISTINCT foot_source) FROM v_obs WHERE foot_source NOT IN (SELECT foot_source FROM v_obs WHERE foot_source <> 'ankle')
+    UNION ALL SELECT 'metrics', count(*) FROM ({RATES_SQL}) WHERE stop_rate IS NULL OR orientation_rate IS NULL
+    UNION ALL SELECT 'stored', count(*) FILTER (NOT abs(1.01 * m - m) <= greatest(1e-4, abs(m) * 0.02)) FROM (SELECT avg(speed) AS m FROM v_obs GROUP BY track_id)""")
 def dq12(s, d):
-    """Violations summed by gate, of all gates that are tables of checks."""
-    found = None
-    for name, run in (("orientation", dq04), ("index", dq01)):
-        own = run(s, d).agg(F.lit(name).alias("gate"), F.sum("violations").alias("violations"))
-        found = own if found is None else found.unionByName(own)
-    return found
+    """Violations summed by gate, of all gates that have a verdict on tables; unmeasured checks are no violations."""
+    failed = lambda rule: F.count_if(~rule).alias("violations")
+    calibration = dq06(s, d)
+    gates = {
+        "orientation": dq04(s, d).agg(F.sum("violations").alias("violations")),
+        "index": dq01(s, d).agg(F.sum("violations").alias("violations")),
+        "calibration": calibration.select(sum((F.col(c) == "fail").cast("long") for c in calibration.columns).alias("violations")),
+        "samples": dq15(s, d).agg(failed(F.col("enough"))),
+        "evidence": dq13(s, d).agg(F.count("*").alias("violations")),
+        "metrics": dq11(s, d).agg(failed(F.col("measured"))),
+        "stored": dq07(s, d).agg(failed(F.col("agrees"))),
+    }
+    rows = [df.select(F.lit(name).alias("gate"), "violations") for name, df in gates.items()]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
+@query("dq01_input_gate", "SELECT 'ok' AS whole, 'missing' AS absent, 'skeleton' AS empty")
+def dq01_input(s, d):
+    """What the gate before a stage says of an input: written whole, not there, or a skeleton."""
+    whole, empty = scratch(s, "whole"), scratch(s, "empty")
+    Co.write_contract(index_table(s, d), Co.FRAMES_INDEX, whole, "s3_detect")
+    Co.write_skeleton(s, Co.FRAMES_INDEX, empty, "s3_detect")
+    found = tuple(Co.input_status(s, p) for p in (whole, scratch(s, "absent"), empty))
+    return s.createDataFrame([found], "whole string, absent string, empty string")
+
+
+@query("fn59_utc_stamp", "SELECT frame_idx, strftime(make_timestamp(1704067200000000 + frame_idx * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS stamp FROM v_frame")
+def fn59(s, d):
+    """Times as UTC in ISO form with milliseconds."""
+    return T.frames(s, d).select("frame_idx", utc_stamp(F.timestamp_millis(F.lit(1704067200000) + F.col("frame_idx"))).alias("stamp"))
+
+
+@query("dq10_document_drift", """SELECT zone_id, visitors AS computed, visitors + (CASE WHEN zone_id = 'M2' THEN 1 ELSE 0 END) AS stated, zone_id <> 'M2' AS agrees FROM (SELECT zone_id, count(DISTINCT track_id) AS visitors FROM v_event GROUP BY 1)""")
+def dq10(s, d):
+    """Figures that a document states beside those computed; the document here is one off for M2."""
+    rates = A.zone_rates(events_of(s, d)).select("zone_id", F.col("visitors").alias("computed"))
+    document = rates.select("zone_id", F.concat(F.lit("| "), "zone_id", F.lit(" | visitors | "), (F.col("computed") + (F.col("zone_id") == "M2").cast("int")).cast("string"), F.lit(" |")).alias("value"))
+    return Ga.drift(document, rates, r"\| (\w+) \| visitors \| (\d+) \|").select("zone_id", "computed", "stated", "agrees")
 
 
 @query("src06_required_setting", "SELECT 0.25::DOUBLE AS value, 'no setting stop.mode' AS error")

@@ -84,17 +84,19 @@ def win09(s, d):
     count(*) OVER (ORDER BY frame_idx ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) AS c FROM v_frame WHERE processed) WHERE c = 50 ORDER BY total DESC, frame_idx LIMIT 1""")
 def win10(s, d):
     """The window of 50 processed frames with most detections, the first of equals. Frames of one recording form one order."""
-    w = Window.orderBy("frame_idx").rowsBetween(0, 49)
-    rows = T.frames(s, d).where("processed").select("frame_idx", F.sum("n_detections").over(w).alias("total"), F.count("*").over(w).alias("c"))
-    return rows.where("c = 50").orderBy(F.desc("total"), "frame_idx").limit(1).select("frame_idx", "total")
+    placed = Q.numbered(T.frames(s, d).where("processed").select("frame_idx", "n_detections"), F.floor(F.col("frame_idx") / SPAN), ["frame_idx"])
+    w = Window.partitionBy("block").orderBy("place").rowsBetween(0, 49)
+    rows = Q.overlapped(placed, "place", SPAN, 48).select("frame_idx", "own", F.sum("n_detections").over(w).alias("total"), F.count("*").over(w).alias("c"))
+    return rows.where("own AND c = 50").orderBy(F.desc("total"), "frame_idx").limit(1).select("frame_idx", "total")
 
 
 @query("win11_densest_time", """SELECT round(ts, 6) AS ts, round(mean, 6) AS mean FROM (SELECT ts, avg(n_detections) OVER (ORDER BY ts RANGE BETWEEN CURRENT ROW AND 5 FOLLOWING) AS mean, max(ts) OVER () AS last FROM v_frame WHERE processed)
     WHERE ts + 5 <= last ORDER BY round(mean, 9) DESC, ts LIMIT 1""")
 def win11(s, d):
     rows = T.frames(s, d).where("processed")
-    mean = F.avg("n_detections").over(Window.orderBy("ts").rangeBetween(0, 5))
-    fits = rows.select("ts", mean.alias("mean"), F.max("ts").over(Window.partitionBy()).alias("last")).where("ts + 5 <= last")
+    mean = F.avg("n_detections").over(Window.partitionBy("block").orderBy("ts").rangeBetween(0, 5))
+    last = F.broadcast(rows.agg(F.max("ts").alias("last")))
+    fits = Q.overlapped(rows, "ts", 600.0, 5.0).select("ts", "own", mean.alias("mean")).where("own").crossJoin(last).where("ts + 5 <= last")
     return fits.orderBy(F.round("mean", 9).desc(), "ts").limit(1).select(F.round("ts", 6).alias("ts"), F.round("mean", 6).alias("mean"))
 
 
@@ -113,8 +115,7 @@ def win13(s, d):
 
 @query("win14_three_strata", "SELECT CASE WHEN r < m // 3 THEN 0 WHEN r < 2 * m // 3 THEN 1 ELSE 2 END AS stratum, count(*) AS n FROM (SELECT row_number() OVER (ORDER BY model_conf, frame_idx) - 1 AS r, count(*) OVER () AS m FROM v_label) GROUP BY 1")
 def win14(s, d):
-    """Hand labels are few, so they are ranked in one order."""
-    rows = T.labelled_angles(s, d).select((F.row_number().over(Window.orderBy("model_conf", "frame_idx")) - 1).alias("r"), F.count("*").over(Window.partitionBy()).alias("m"))
+    rows = Q.numbered(T.labelled_angles(s, d), F.floor(F.col("model_conf") * 10_000), ["model_conf", "frame_idx"]).withColumnRenamed("place", "r")
     stratum = F.when(F.col("r") < F.floor(F.col("m") / 3), 0).when(F.col("r") < F.floor(2 * F.col("m") / 3), 1).otherwise(2)
     return rows.groupBy(stratum.alias("stratum")).agg(F.count("*").alias("n"))
 
@@ -140,6 +141,10 @@ def win17(s, d):
     )
 
 
+#: Frames, or rows, that are ordered together.
+SPAN = 10_000
+
+
 @query("srt01_track_order", "SELECT track_id, frame_idx, row_number() OVER (PARTITION BY track_id ORDER BY frame_idx)::INTEGER AS place FROM v_obs".replace("row_number() OVER (PARTITION BY track_id ORDER BY frame_idx)::INTEGER", "(row_number() OVER (PARTITION BY track_id ORDER BY frame_idx))::INTEGER"))
 def srt01(s, d):
     return T.observations(s, d).select("track_id", "frame_idx", F.row_number().over(track().orderBy("frame_idx")).alias("place"))
@@ -179,21 +184,26 @@ def srt05(s, d):
     return rows.groupBy("track_id", "frame_idx").agg(F.min("key")["zone_id"].alias("zone_id"))
 
 
-@query("srt06_reservoir", f"SELECT claim, least(count(*), 2000) AS n FROM ({_CLAIMS}) GROUP BY 1")
+_DRAWN = Sm.drawn_sql("claim, track_id, frame_idx")
+
+
+@query("srt06_reservoir", f"SELECT claim, track_id, frame_idx FROM (SELECT *, row_number() OVER (PARTITION BY claim ORDER BY {_DRAWN}, track_id, frame_idx) AS r FROM ({_CLAIMS})) WHERE r <= 2000")
 def srt06(s, d):
-    """Sizes of each claim's sample; which rows are in it depends on the engine's hash."""
-    return Sm.reservoir(claims(s, d), "claim", ["track_id", "frame_idx"], 2000).groupBy("claim").agg(F.count("*").alias("n"))
+    return Sm.reservoir(claims(s, d), "claim", ["track_id", "frame_idx"], 2000).select("claim", "track_id", "frame_idx")
 
 
-@query("srt07_stratified_sample", f"SELECT claim, stratum, 4::BIGINT AS n FROM (SELECT DISTINCT claim FROM ({_CLAIMS})), (VALUES (0), (1), (2)) v(stratum)")
+@query("srt07_stratified_sample", f"""SELECT claim, track_id, frame_idx, stratum FROM (SELECT *, row_number() OVER (PARTITION BY claim ORDER BY (extra > 0)::INTEGER, extra, stratum) AS turn FROM (
+    SELECT *, greatest(row_number() OVER (PARTITION BY claim, stratum ORDER BY {_DRAWN}, track_id, frame_idx) - 4, 0) AS extra FROM (
+    SELECT *, ((r >= round_even(m / 3::DOUBLE, 0))::INTEGER + (r >= round_even(2 * m / 3::DOUBLE, 0))::INTEGER)::INTEGER AS stratum FROM (
+    SELECT *, row_number() OVER (PARTITION BY claim ORDER BY confidence, track_id, frame_idx) - 1 AS r, count(*) OVER (PARTITION BY claim) AS m FROM ({_CLAIMS}))))) WHERE turn <= 12""")
 def srt07(s, d):
-    """Quotas: twelve rows a claim, four a stratum where there are enough."""
-    return Sm.stratified(claims(s, d), "claim", ["track_id", "frame_idx"], "confidence", 12, 3).groupBy("claim", "stratum").agg(F.count("*").alias("n"))
+    """Twelve rows a claim, four a stratum where there are enough."""
+    return Sm.stratified(claims(s, d), "claim", ["track_id", "frame_idx"], "confidence", 12, 3).select("claim", "track_id", "frame_idx", "stratum")
 
 
-@query("srt08_random_subset", "SELECT least(count(*), 500) AS n FROM v_obs")
+@query("srt08_random_subset", f"SELECT track_id, frame_idx FROM v_obs ORDER BY {Sm.drawn_sql('frame_idx', 7)}, frame_idx LIMIT 500")
 def srt08(s, d):
-    return T.observations(s, d).orderBy(F.xxhash64(F.lit(7), "frame_idx"), "frame_idx").limit(500).agg(F.count("*").alias("n"))
+    return T.observations(s, d).orderBy(Sm.drawn(["frame_idx"], 7), "frame_idx").limit(500).select("track_id", "frame_idx")
 
 
 @query("srt09_capped_frames", f"SELECT track_id, frame_idx FROM (SELECT track_id, frame_idx, place, n FROM (SELECT track_id, frame_idx, row_number() OVER (PARTITION BY track_id ORDER BY frame_idx) - 1 AS place, count(*) OVER (PARTITION BY track_id) AS n FROM v_obs)), (SELECT greatest(1, least(6, ceil(600 / count(DISTINCT track_id))))::BIGINT AS cap FROM v_obs) WHERE {_PICKS.format(k='cap')}")
@@ -212,18 +222,17 @@ def srt10(s, d):
     return T.observations(s, d).withColumn("r", F.row_number().over(track().orderBy("frame_idx"))).where((F.col("r") - 1) % 7 == 0).select("track_id", "frame_idx")
 
 
-@query("srt11_shuffled_order", "SELECT count(*) AS n, count(*) AS places FROM v_label")
+@query("srt11_shuffled_order", f"SELECT frame_idx, row_number() OVER (ORDER BY {Sm.drawn_sql('frame_idx')}, frame_idx) - 1 AS place FROM v_label")
 def srt11(s, d):
     """Labels in an order drawn by a hash: every one has a place of its own."""
-    placed = T.labelled_angles(s, d).withColumn("place", F.row_number().over(Window.orderBy(F.xxhash64("frame_idx"), "frame_idx")))
-    return placed.agg(F.count("*").alias("n"), F.countDistinct("place").alias("places"))
+    return Sm.shuffled(T.labelled_angles(s, d).select("frame_idx"), ["frame_idx"]).select("frame_idx", "place")
 
 
 @query("srt12_middle_hit", "SELECT track_id, frame_idx FROM (SELECT track_id, frame_idx, row_number() OVER (ORDER BY frame_idx, track_id, zone_id) AS r, count(*) OVER () AS n FROM v_tz WHERE gaze_hit) WHERE r = n // 2 + 1")
 def srt12(s, d):
-    hits = frames_of(s, d).where("gaze_hit")
-    placed = hits.select("track_id", "frame_idx", F.row_number().over(Window.orderBy("frame_idx", "track_id", "zone_id")).alias("r"), F.count("*").over(Window.partitionBy()).alias("n"))
-    return placed.where(F.col("r") == F.floor(F.col("n") / 2) + 1).select("track_id", "frame_idx")
+    hits = frames_of(s, d).where("gaze_hit").select("track_id", "frame_idx", "zone_id")
+    placed = Q.numbered(hits, F.floor(F.col("frame_idx") / SPAN), ["frame_idx", "track_id", "zone_id"])
+    return placed.where(F.col("place") == F.floor(F.col("m") / 2)).select("track_id", "frame_idx")
 
 
 @query("set01_union_all", "SELECT 'event' AS kind, track_id FROM v_event UNION ALL SELECT 'obs', track_id FROM v_obs")
@@ -262,4 +271,4 @@ def agg43(s, d):
 
 @query("agg50_rate_estimate", "SELECT round(1 / median(step), 6) AS fps FROM (SELECT ts - lag(ts) OVER (ORDER BY ts) AS step FROM v_frame)")
 def agg50(s, d):
-    return T.frames(s, d).select((F.col("ts") - F.lag("ts").over(Window.orderBy("ts"))).alias("step")).agg(F.round(1 / median("step"), 6).alias("fps"))
+    return Q.exact_median(Q.steps(T.frames(s, d), "ts", 600.0), "step", 0.001).select(F.round(1 / F.col("median"), 6).alias("fps"))

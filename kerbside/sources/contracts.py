@@ -58,6 +58,10 @@ EVIDENCE = [
 ]
 
 
+#: What a file or dataset that is being replaced is called meanwhile.
+ASIDE = ".aside"
+
+
 class ContractError(ValueError):
     """Data that a contract does not admit."""
 
@@ -87,14 +91,37 @@ def _path(spark: SparkSession, path: str):
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file and put it in place by renaming, on whatever file system the path names."""
+    """Write a small file and put it in place by renaming, on whatever file system the path names.
+
+    The old file is moved aside until the new one is in place; ``recover`` brings it back if a crash came between.
+    """
     p, fs = _path(spark, path)
     tmp = p.suffix(".tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(p, False)
-    fs.rename(tmp, p)
+    _replace(spark, str(tmp.toString()), path)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Put back what a crash left moved aside."""
+    (p, fs), (old, _) = _path(spark, path), _path(spark, path + ASIDE)
+    if fs.exists(old):
+        if fs.exists(p):
+            fs.delete(old, True)
+        else:
+            fs.rename(old, p)
+
+
+def _replace(spark: SparkSession, source: str, target: str) -> None:
+    """Rename ``source`` to ``target``; what was there stays aside until that is done."""
+    recover(spark, target)
+    (s, fs), (t, _), (old, _) = _path(spark, source), _path(spark, target), _path(spark, target + ASIDE)
+    if fs.exists(t):
+        fs.rename(t, old)
+    if not fs.rename(s, t):
+        raise OSError(f"{source} could not be moved to {target}")
+    fs.delete(old, True)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -157,14 +184,47 @@ def check_inputs(spark: SparkSession, path: str, current: dict[str, str]) -> lis
 
 
 def commit_together(spark: SparkSession, staged: dict[str, str]) -> None:
-    """Move staged datasets to their places, one after another, once all are written."""
-    for source, target in staged.items():
+    """Move staged datasets to their places once all are written: all of them, or after a crash, at the next call, the rest.
+
+    A journal beside the first target names the moves from before the first to after the last, and is carried out first.
+    """
+    journal = next(iter(staged.values())) + ".journal"
+    if exists(spark, journal):
+        (p, fs) = _path(spark, journal)
+        stream = fs.open(p)
+        try:
+            moves = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+        _move(spark, moves, journal)
+        staged = {k: v for k, v in staged.items() if exists(spark, k) or k not in moves}
+    for source in staged:
         if not exists(spark, source):
             raise ContractError(f"{source} was not written")
-    for source, target in staged.items():
-        (s, fs), (t, _) = _path(spark, source), _path(spark, target)
-        fs.delete(t, True)
-        fs.rename(s, t)
+    write_text(spark, journal, json.dumps(staged))
+    _move(spark, staged, journal)
+
+
+def _move(spark: SparkSession, moves: dict[str, str], journal: str) -> None:
+    for source, target in moves.items():
+        if exists(spark, source):
+            _replace(spark, source, target)
+        else:
+            recover(spark, target)
+    p, fs = _path(spark, journal)
+    fs.delete(p, False)
+
+
+def input_status(spark: SparkSession, path: str) -> str:
+    """``missing``, or the status that the input's contract file gives; only ``ok`` may be consumed."""
+    recover(spark, path)
+    return read_sidecar(spark, path)["status"] if exists(spark, path) else "missing"
+
+
+def require_input(spark: SparkSession, path: str) -> None:
+    """An error unless an input is there and whole."""
+    if (status := input_status(spark, path)) != "ok":
+        raise ContractError(f"{path} is {status}")
 
 
 def upsert_owned(index: DataFrame, own: DataFrame, stage: str, present: DataFrame) -> DataFrame:
