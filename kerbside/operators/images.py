@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -69,3 +71,61 @@ def torso_colours(crops: DataFrame) -> DataFrame:
     own = pixels.where("part = 'torso'").select("crop_id", C.colour_class(F.col("h"), F.col("s"), F.col("v")).alias("pixel"))
     agree = own.join(named.select("crop_id", "colour"), "crop_id").groupBy("crop_id").agg(F.avg((F.col("pixel") == F.col("colour")).cast("int")).alias("agree"))
     return named.join(agree, "crop_id")
+
+
+# Least confidence of a face point, the margin as a share of the points' extent, and the least extent in pixels.
+FACE_CONF, FACE_MARGIN, FACE_LEAST = 0.2, 0.9, 12.0
+
+
+def covered_boxes(models: list[DataFrame]) -> DataFrame:
+    """(frame_idx, kind, x1, y1, x2, y2): all that must be hidden in a frame.
+
+    Of each model's (frame_idx, x1, y1, x2, y2, points) rows, every person's box counts, and the head's box beside it wherever a face point is
+    certain enough. ``points`` are the face points as x, y, conf; null or none give no head. Nothing switches this off, and boxes that
+    overlap all stay.
+    """
+
+    def of(boxes: DataFrame) -> DataFrame:
+        sure = F.filter("points", lambda p: p["conf"] >= FACE_CONF)
+        held = boxes.select("frame_idx", *(f(sure.getField(a)).cast("double").alias(f"{a}{n}") for a in "xy" for n, f in enumerate((F.array_min, F.array_max)))).where("x0 IS NOT NULL")
+        pad = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.lit(FACE_LEAST)) * FACE_MARGIN
+        heads = held.select("frame_idx", F.lit("head").alias("kind"), (F.col("x0") - pad).alias("x1"), (F.col("y0") - pad).alias("y1"), (F.col("x1") + pad).alias("x2"), (F.col("y1") + pad).alias("y2"))
+        return boxes.select("frame_idx", F.lit("person").alias("kind"), "x1", "y1", "x2", "y2").union(heads)
+
+    return reduce(DataFrame.union, map(of, models))
+
+
+def filled(ring: list[tuple[float, float]], width: int, height: int) -> np.ndarray:
+    """Pixels whose place lies within a ring or on its edge, by the parity of crossings."""
+    y, x = np.mgrid[0:height, 0:width].astype(float)
+    inside, edge = np.zeros((height, width), bool), np.zeros((height, width), bool)
+    for (ax, ay), (bx, by) in zip(ring, [*ring[1:], ring[0]], strict=True):
+        side = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+        edge |= (side == 0) & (x >= min(ax, bx)) & (x <= max(ax, bx)) & (y >= min(ay, by)) & (y <= max(ay, by))
+        if ay != by:
+            inside ^= ((ay > y) != (by > y)) & ((side > 0) == (by > ay))
+    return inside | edge
+
+
+def road_masks(frames: DataFrame, boxes: DataFrame, ring: list[tuple[float, float]], width: int, height: int, margin: int, at_once: int = 64) -> DataFrame:
+    """(frame_idx, pixels, mask): the ring's pixels outside all boxes of the frame, each grown by ``margin``, and their number.
+
+    Masks are rows of bits, eight pixels a byte. Boxes of a frame are as many as a detector gives. ``at_once`` masks leave a task together.
+    """
+    by_frame = boxes.groupBy("frame_idx").agg(F.collect_list(F.array("x1", "y1", "x2", "y2")).alias("boxes"))
+
+    def run(batches):
+        road = filled(ring, width, height)
+        for pdf in batches:
+            for start in range(0, len(pdf), at_once):
+                part, counts, masks = pdf.iloc[start : start + at_once], [], []
+                for held in part["boxes"]:
+                    mask = road.copy()
+                    for x1, y1, x2, y2 in held if held is not None else ():
+                        top, left = max(int(y1) - margin, 0), max(int(x1) - margin, 0)
+                        mask[top : max(int(y2) + margin + 1, 0), left : max(int(x2) + margin + 1, 0)] = False
+                    counts.append(int(np.count_nonzero(mask)))
+                    masks.append(np.packbits(mask).tobytes())
+                yield pd.DataFrame({"frame_idx": part["frame_idx"], "pixels": counts, "mask": masks})
+
+    return frames.select("frame_idx").join(by_frame, "frame_idx", "left").mapInPandas(run, "frame_idx long, pixels long, mask binary")

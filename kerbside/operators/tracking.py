@@ -10,7 +10,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..sources.staging import staged
 
 
 @dataclass(frozen=True)
@@ -125,24 +128,66 @@ def track_boxes(frames: list[tuple[int, np.ndarray]], rules: TrackRules = TrackR
     return out
 
 
+_ROWS = "segment_id long, track_id int, frame_idx long, x1 double, y1 double, x2 double, y2 double, conf double"
+
+
 def track(detections: DataFrame, frames: DataFrame, segment: int, rules: TrackRules = TrackRules()) -> DataFrame:
     """(segment_id, track_id, frame_idx, x1, y1, x2, y2, conf): tracks within segments of ``segment`` frames.
 
     Tracks are numbered within a segment and start afresh in each; the segment bounds what a task holds.
     """
-    from pyspark.sql import functions as F
+    return _tracked(detections, frames, segment, 0, rules).drop("box")
 
-    rows = frames.select("frame_idx").join(detections, "frame_idx", "left").withColumn("segment_id", F.floor(F.col("frame_idx") / segment))
+
+def track_across(detections: DataFrame, frames: DataFrame, segment: int, lead: int = 60, rules: TrackRules = TrackRules()) -> DataFrame:
+    """The same, with tracks that go on where a segment ends; ``segment_id`` is the segment in which a track starts.
+
+    Each segment is tracked from ``lead`` frames before its start. Two tracks of neighbouring segments that hold the same boxes in those
+    frames are one: each names the track with which it shares most boxes, ties to the smaller number, and both must name each other.
+    ``lead`` should exceed twice what a track may stay unseen, and stay below ``segment``.
+    """
+    if not 0 < lead < segment:
+        raise ValueError("a lead lies between 0 and the segment's length")
+    home = F.floor(F.col("frame_idx") / segment)
+    found = staged(_tracked(detections, frames, segment, lead, rules))
+    own = found.where(home == F.col("segment_id"))
+    before = found.where(home < F.col("segment_id")).select((F.col("segment_id") - 1).alias("segment_id"), F.col("track_id").alias("later"), "frame_idx", "box")
+    shared = before.join(own, ["segment_id", "frame_idx", "box"]).groupBy("segment_id", "later", F.col("track_id").alias("earlier")).agg(F.count("*").alias("n"))
+    first = lambda key, other: F.row_number().over(Window.partitionBy("segment_id", key).orderBy(F.desc("n"), other))
+    links = shared.select("*", first("later", "earlier").alias("a"), first("earlier", "later").alias("b")).where("a = 1 AND b = 1")
+    start = _starts(links.select((F.col("segment_id") + 1).alias("segment_id"), F.col("later").alias("track_id"), F.col("segment_id").alias("to_segment"), F.col("earlier").alias("to_track")))
+    named = own.join(start, ["segment_id", "track_id"], "left")
+    return named.select(
+        F.coalesce("to_segment", "segment_id").alias("segment_id"), F.coalesce("to_track", "track_id").alias("track_id"), "frame_idx", "x1", "y1", "x2", "y2", "conf"
+    )
+
+
+def _starts(links: DataFrame) -> DataFrame:
+    """Each linked track's first one. Pointers double their reach each round, so rounds grow with the logarithm of a track's segments."""
+    links = staged(links)
+    while True:
+        onward = links.select(F.col("segment_id").alias("to_segment"), F.col("track_id").alias("to_track"), F.col("to_segment").alias("far_segment"), F.col("to_track").alias("far_track"))
+        moved = links.join(onward, ["to_segment", "to_track"], "left")
+        if moved.where("far_segment IS NOT NULL").isEmpty():
+            return links
+        links = staged(moved.select("segment_id", "track_id", F.coalesce("far_segment", "to_segment").alias("to_segment"), F.coalesce("far_track", "to_track").alias("to_track")))
+
+
+def _tracked(detections: DataFrame, frames: DataFrame, segment: int, lead: int, rules: TrackRules) -> DataFrame:
+    """Tracks by segment, with each box's place among its frame's; the ``lead`` frames before a segment are its too."""
+    at = F.floor(F.col("frame_idx") / segment)
+    late = F.pmod("frame_idx", F.lit(segment)) >= segment - lead
+    rows = frames.select("frame_idx").join(detections, "frame_idx", "left").withColumn("segment_id", F.explode(F.when(late, F.array(at, at + 1)).otherwise(F.array(at))))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["frame_idx", "conf", "x1", "y1"], ascending=[True, False, True, True])
-        listed, kept = [], []
+        pdf = pdf.sort_values(["frame_idx", "conf", "x1", "y1", "x2", "y2"], ascending=[True, False, True, True, True, True])
+        listed = []
         for frame, own in pdf.groupby("frame_idx", sort=True):
-            boxes = own.dropna(subset=["x1"])[["x1", "y1", "x2", "y2", "conf"]].to_numpy(float)
-            listed.append((int(frame), boxes))
-            kept.append(boxes)
+            listed.append((int(frame), own.dropna(subset=["x1"])[["x1", "y1", "x2", "y2", "conf"]].to_numpy(float)))
         by_frame = dict(listed)
-        found = [(int(pdf["segment_id"].iloc[0]), t, f, *by_frame[f][i]) for f, i, t in track_boxes(listed, rules)]
-        return pd.DataFrame(found, columns=["segment_id", "track_id", "frame_idx", "x1", "y1", "x2", "y2", "conf"]).astype({"segment_id": "int64", "track_id": "int32", "frame_idx": "int64"})
+        found = [(int(pdf["segment_id"].iloc[0]), t, f, *by_frame[f][i], i) for f, i, t in track_boxes(listed, rules)]
+        return pd.DataFrame(found, columns=["segment_id", "track_id", "frame_idx", "x1", "y1", "x2", "y2", "conf", "box"]).astype(
+            {"segment_id": "int64", "track_id": "int32", "frame_idx": "int64", "box": "int32"}
+        )
 
-    return rows.groupBy("segment_id").applyInPandas(run, "segment_id long, track_id int, frame_idx long, x1 double, y1 double, x2 double, y2 double, conf double")
+    return rows.groupBy("segment_id").applyInPandas(run, f"{_ROWS}, box int")

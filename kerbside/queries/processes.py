@@ -255,7 +255,7 @@ def fn30(s, d):
 @query("trk01_tracks")
 def trk01(s, d):
     """Frames are those of the recording, with and without boxes; tracking is sequential and has no SQL."""
-    return Tr.track(T.detections(s, d), T.frames(s, d), 1000)
+    return Tr.track_across(T.detections(s, d), T.frames(s, d), 1000)
 
 
 @query("trk02_burst_tracks")
@@ -287,6 +287,35 @@ def udf03(s, d):
     return Im.blur_crops(crops(s, d)).select("crop_id", F.sha2("content", 256).alias("sha"), "changed")
 
 
+def _point(j: int, x: str = "x1", y: str = "y1") -> tuple[str, str, str]:
+    """Face point ``j`` of a box as SQL, the same in both engines: x, y and confidence in tenths."""
+    return f"({x} + {7 * j % 5 * 3})", f"({y} + {j * j % 5 * 2})", f"(({x} + {y} * 3 + {j * 7}) % 10)"
+
+
+def _ends(axis: int, kind: str) -> str:
+    return f"{kind}({', '.join(f'CASE WHEN {p[2]} >= 2 THEN {p[axis]} END' for p in map(_point, range(5)))})"
+
+
+_SPAN = "greatest(hx1 - hx0, hy1 - hy0, 12)::DOUBLE * 0.9::DOUBLE"
+
+
+@query("udf04_covered_boxes", f"""SELECT frame_idx, 'person' AS kind, x1, y1, x2, y2 FROM v_det UNION ALL
+    SELECT frame_idx, 'head', hx0 - pad, hy0 - pad, hx1 + pad, hy1 + pad FROM (SELECT *, {_SPAN} AS pad FROM (
+    SELECT frame_idx, {_ends(0, 'least')} AS hx0, {_ends(0, 'greatest')} AS hx1, {_ends(1, 'least')} AS hy0, {_ends(1, 'greatest')} AS hy1 FROM v_det)) WHERE hx0 IS NOT NULL""")
+def udf04(s, d):
+    """Boxes to hide; the two models' boxes are those of either class, and face points come from the boxes by arithmetic."""
+    points = F.array(*(F.expr(f"named_struct('x', {x}, 'y', {y}, 'conf', {c} / 10)") for x, y, c in map(_point, range(5))))
+    boxes = T.detections(s, d).withColumn("points", points)
+    return Im.covered_boxes([boxes.where("cls = 0"), boxes.where("cls = 1")])
+
+
+@query("udf05_road_masks")
+def udf05(s, d):
+    """Pixels of the road that no box hides, by frame; a mask is NumPy and has no SQL."""
+    ring = [(100, 200), (1800, 200), (1700, 1000), (200, 1000)]
+    return Im.road_masks(T.frames(s, d), T.detections(s, d), ring, 1920, 1080, 12).select("frame_idx", "pixels")
+
+
 @query("dq03_stale_projection", "SELECT true AS current_accepted, true AS stale_refused")
 def dq03(s, d):
     """Zones made with another homography fail the job that reads them."""

@@ -25,6 +25,52 @@ def test_two_walkers_keep_their_tracks(empty):
     assert not [f for f, _, _ in found if f in empty]
 
 
+@pytest.mark.parametrize("empty", [(), (20, 21)])
+def test_tracks_go_on_across_segments(spark, empty):
+    """Two walkers over five segments come out as the sequential run has them: one track each."""
+    sizes = [walkers(f % 60, empty) for f in range(100)]
+    boxes = [(f, *map(float, row)) for f, rows in enumerate(sizes) for row in rows]
+    detections = spark.createDataFrame(boxes, "frame_idx long, x1 double, y1 double, x2 double, y2 double, conf double")
+    frames = spark.range(100).withColumnRenamed("id", "frame_idx")
+    found = tracking.track_across(detections, frames, 20, 10).collect()
+    mine = {}
+    for r in found:
+        mine.setdefault((r["segment_id"], r["track_id"]), set()).add((r["frame_idx"], r["x1"]))
+    theirs = {}
+    for f, i, t in tracking.track_boxes([(f, rows) for f, rows in enumerate(sizes)]):
+        theirs.setdefault(t, set()).add((f, sizes[f][i][0]))
+    assert sorted(map(sorted, mine.values())) == sorted(map(sorted, theirs.values()))
+    assert {k[0] for k in mine} <= {0, 3}
+
+
+def test_tracking_without_boxes(spark):
+    none = spark.createDataFrame([], "frame_idx long, x1 double, y1 double, x2 double, y2 double, conf double")
+    assert tracking.track_across(none, spark.range(50).withColumnRenamed("id", "frame_idx"), 20, 10).collect() == []
+
+
+def test_covered_boxes_hold_persons_and_heads(spark):
+    schema = "frame_idx long, x1 double, y1 double, x2 double, y2 double, points array<struct<x:double,y:double,conf:double>>"
+    a = spark.createDataFrame([(1, 0.0, 0.0, 40.0, 90.0, [(10.0, 10.0, 0.2), (30.0, 14.0, 0.9), (500.0, 500.0, 0.1)]), (2, 0.0, 0.0, 9.0, 9.0, [(5.0, 5.0, 0.1)])], schema)
+    b = spark.createDataFrame([(1, 0.0, 0.0, 40.0, 90.0, None), (3, 1.0, 1.0, 9.0, 9.0, [(5.0, 6.0, 0.5)])], schema)
+    found = sorted(map(tuple, images.covered_boxes([a, b]).collect()))
+    heads = [(1, "head", -8.0, -8.0, 48.0, 32.0), (3, "head", 5 - 10.8, 6 - 10.8, 5 + 10.8, 6 + 10.8)]
+    assert [r for r in found if r[1] == "head"] == heads
+    assert [r[0] for r in found if r[1] == "person"] == [1, 1, 2, 3]
+
+
+def test_road_masks_against_pixels(spark):
+    ring, w, h = [(2, 1), (27, 3), (24, 18), (5, 16)], 30, 20
+    boxes = {1: [(4.9, 5.2, 8.7, 9.9), (25.0, 15.0, 99.0, 99.0)], 2: [(-9.0, -9.0, -5.0, -5.0)]}
+    rows = spark.createDataFrame([(f, *b) for f, held in boxes.items() for b in held], "frame_idx long, x1 double, y1 double, x2 double, y2 double")
+    found = {r["frame_idx"]: r for r in images.road_masks(spark.range(1, 4).withColumnRenamed("id", "frame_idx"), rows, ring, w, h, 1).collect()}
+    sides = list(zip(ring, ring[1:] + ring[:1]))
+    for f in (1, 2, 3):
+        free = lambda x, y: not any(int(b[0]) - 1 <= x <= int(b[2]) + 1 and int(b[1]) - 1 <= y <= int(b[3]) + 1 for b in boxes.get(f, ()))  # noqa: B023, E731
+        road = lambda x, y: all((bx - ax) * (y - ay) - (by - ay) * (x - ax) >= 0 for (ax, ay), (bx, by) in sides)
+        want = np.array([[road(x, y) and free(x, y) for x in range(w)] for y in range(h)])
+        assert found[f]["pixels"] == want.sum() and found[f]["mask"] == np.packbits(want).tobytes()
+
+
 def test_assignment_is_least():
     rng = np.random.default_rng(3)
     for _ in range(20):
