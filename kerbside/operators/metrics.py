@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import point_in_polygon
@@ -34,7 +34,7 @@ def stop_dwell_grid(obs: DataFrame, roi: list, slow: float, cell: float) -> Data
     return rows.groupBy(F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy")).agg(F.sum("dt").alias("seconds"), F.countDistinct("track_id").alias("tracks"))
 
 
-def stoppers(obs: DataFrame, roi: list, slow: float, least: float) -> DataFrame:
+def stoppers(obs: DataFrame, roi: list, slow: float | Column, least: float) -> DataFrame:
     """Sessions of slow rows inside the ROI, split at gaps of over a second, that last ``least`` seconds or more."""
     inside = F.coalesce(point_in_polygon(F.col("x"), F.col("y"), roi), F.lit(False))
     return gap_sessions(obs.where((F.col("speed") < slow) & inside), 1.0).where(F.col("t1") - F.col("t0") >= least)

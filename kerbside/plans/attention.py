@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
@@ -126,9 +126,14 @@ def episodes(frames: DataFrame, rules: Rules = Rules()) -> DataFrame:
     )
 
 
+def gaze_counts() -> Column:
+    """Whether an episode's attention counts: a gaze, with confidence. The one definition that all metrics share."""
+    return F.col("event_type").isin("gaze", "stop_and_gaze") & ~F.col("low_confidence")
+
+
 def counted(events: DataFrame) -> DataFrame:
-    """Episodes of attention that count: a gaze, with confidence. The one definition that all metrics share."""
-    return events.where(F.col("event_type").isin("gaze", "stop_and_gaze") & ~F.col("low_confidence"))
+    """Episodes of attention that count."""
+    return events.where(gaze_counts())
 
 
 def stopped(events: DataFrame) -> DataFrame:
@@ -138,7 +143,7 @@ def stopped(events: DataFrame) -> DataFrame:
 
 def zone_rates(events: DataFrame) -> DataFrame:
     """Visitors, stop and orientation rates of each zone with their Wilson intervals, counted by track."""
-    gaze = F.col("event_type").isin("gaze", "stop_and_gaze") & ~F.col("low_confidence")
+    gaze = gaze_counts()
     stop = F.col("event_type").isin("stop", "stop_and_gaze")
     by_zone = events.groupBy("zone_id").agg(
         F.countDistinct("track_id").alias("visitors"), F.countDistinct(F.when(stop, F.col("track_id"))).alias("stoppers"),

@@ -7,6 +7,9 @@ from html import escape
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import metrics as Me
+from .attention import gaze_counts
+
 FIELDS = "metric string, zone_id string, value double, unit string, ci95_low double, ci95_high double, n long, measured boolean, source string, reason string"
 
 
@@ -25,12 +28,45 @@ def zone_metrics(rates: DataFrame) -> DataFrame:
     z, n = F.col("zone_id"), F.col("visitors")
     rows = F.array(
         envelope("visitors", n, "tracks", n, "events", z),
-        envelope("stop_rate", F.col("stop_rate"), "share", n, "events", z, F.col("stop_low"), F.col("stop_high")),
-        envelope("orientation_rate", F.col("orientation_rate"), "share", n, "events", z, F.col("orientation_low"), F.col("orientation_high")),
+        envelope("stop_rate", F.col("stop_rate"), "share", F.col("stoppers"), "events", z, F.col("stop_low"), F.col("stop_high")),
+        envelope("orientation_rate", F.col("orientation_rate"), "share", F.col("lookers"), "events", z, F.col("orientation_low"), F.col("orientation_high")),
     )
     return rates.select(F.inline(rows))
 
 
+def zone_seconds(zones: DataFrame, rates: DataFrame, dwell: DataFrame, gaze: DataFrame) -> DataFrame:
+    """The median dwell (``dwell``) and the median seconds of counted attention (``seconds``) of every zone, unmeasured where there are none."""
+    z = F.col("zone_id")
+    known = zones.select("zone_id").join(rates.select("zone_id", "visitors", "lookers"), "zone_id", "left").na.fill(0, ["visitors", "lookers"])
+    rows = F.array(
+        envelope("gaze_seconds_median", F.col("seconds"), "s", F.col("lookers"), "zone_frames", z),
+        envelope("dwell_median", F.col("dwell"), "s", F.col("visitors"), "events", z),
+    )
+    return known.join(dwell, "zone_id", "left").join(gaze, "zone_id", "left").select(F.inline(rows))
+
+
+def street_metrics(obs: DataFrame, events: DataFrame, roi: list, threshold: DataFrame, least: float) -> DataFrame:
+    """The metrics of the street as a whole: tracks, indirect positions, approaches, turns, and standing anywhere inside ``roi``.
+
+    ``threshold`` is the one row (thr) that episodes stand by, so that no figure has a limit of its own.
+    """
+    tracks = obs.agg(F.countDistinct("track_id").alias("tracks"), F.count("*").alias("rows"), F.avg((F.col("foot_source") != "ankle").cast("int")).alias("indirect"))
+    reached = events.agg(F.countDistinct("track_id").alias("approached"), F.countDistinct(F.when(gaze_counts(), F.col("track_id"))).alias("turned"))
+    slow = obs.crossJoin(F.broadcast(threshold))
+    standing = Me.valid_steps(slow, roi).agg(F.coalesce(F.sum(F.when(F.col("speed") < F.col("thr"), F.col("dt"))), F.lit(0.0)).alias("seconds"))
+    still = Me.stoppers(slow, roi, F.col("thr"), least).agg(F.countDistinct("track_id").alias("stoppers"))
+    n = F.col("tracks")
+    rows = F.array(
+        envelope("unique_tracks_total", n, "tracks", n, "tracks"),
+        envelope("indirect_foot_share", F.col("indirect"), "share", F.col("rows"), "tracks"),
+        envelope("approached_tracks_total", F.col("approached"), "tracks", n, "events"),
+        envelope("turned_tracks_total", F.col("turned"), "tracks", n, "events"),
+        envelope("stop_seconds_total", F.col("seconds"), "person-seconds", F.col("rows"), "tracks"),
+        envelope("stoppers_total", F.col("stoppers"), "tracks", F.col("stoppers"), "tracks"),
+    )
+    return tracks.crossJoin(reached).crossJoin(standing).crossJoin(still).select(F.inline(rows))
+
+
 def html(metrics: DataFrame, title: str) -> str:
     """A page of the metrics. Their number is that of zones, so they are collected."""
     rows = metrics.orderBy("metric", "zone_id").collect()

@@ -169,10 +169,15 @@ def agg05(s, d):
     return A.counted(events_of(s, d)).groupBy("zone_id").agg(F.countDistinct("track_id").alias("lookers"))
 
 
+def zone_dwell(events: DataFrame) -> DataFrame:
+    """(zone_id, dwell): the median length of a zone's episodes."""
+    dwell = staged(events.select("zone_id", (F.col("t_end") - F.col("t_start")).alias("dwell")))
+    return Q.exact_median(dwell, "dwell", 0.1, ["zone_id"], "dwell")
+
+
 @query("agg06_zone_dwell_median", "SELECT zone_id, round(median(t_end - t_start), 6) AS dwell FROM v_event GROUP BY 1")
 def agg06(s, d):
-    dwell = staged(events_of(s, d).select("zone_id", (F.col("t_end") - F.col("t_start")).alias("dwell")))
-    return Q.exact_median(dwell, "dwell", 0.1, ["zone_id"], "dwell").select("zone_id", F.round("dwell", 6).alias("dwell"))
+    return zone_dwell(events_of(s, d)).select("zone_id", F.round("dwell", 6).alias("dwell"))
 
 
 DERIVED["v_period"] = "SELECT median(step) AS period FROM (SELECT ts - lag(ts) OVER (ORDER BY ts) AS step FROM (SELECT DISTINCT ts FROM v_tz WHERE in_apron OR gaze_hit OR near))"
@@ -189,13 +194,18 @@ def agg08(s, d):
     return frame_period(frames_of(s, d)).select(F.round("period", 9).alias("period"))
 
 
+def attention_seconds(frames: DataFrame, events: DataFrame) -> DataFrame:
+    """(zone_id, seconds): the median, over the tracks whose attention counts, of the time that they look at the zone."""
+    hits = frames.where("gaze_hit AND NOT grazing").join(A.counted(events).select("track_id", "zone_id"), ["track_id", "zone_id"], "left_semi")
+    per_track = hits.groupBy("zone_id", "track_id").agg(F.count("*").alias("n")).crossJoin(F.broadcast(frame_period(frames)))
+    return per_track.groupBy("zone_id").agg(median(F.col("n") * F.col("period")).alias("seconds"))
+
+
 @query("agg07_zone_attention_seconds", """SELECT zone_id, round(median(n * period), 6) AS seconds FROM (SELECT zone_id, track_id, count(*) AS n FROM v_tz SEMI JOIN v_counted USING (zone_id, track_id)
     WHERE gaze_hit AND NOT grazing GROUP BY ALL), v_period GROUP BY 1""")
 def agg07(s, d):
     frames = frames_of(s, d)
-    hits = frames.where("gaze_hit AND NOT grazing").join(A.counted(A.episodes(frames)).select("track_id", "zone_id"), ["track_id", "zone_id"], "left_semi")
-    per_track = hits.groupBy("zone_id", "track_id").agg(F.count("*").alias("n")).crossJoin(F.broadcast(frame_period(frames)))
-    return per_track.groupBy("zone_id").agg(F.round(median(F.col("n") * F.col("period")), 6).alias("seconds"))
+    return attention_seconds(frames, A.episodes(frames)).select("zone_id", F.round("seconds", 6).alias("seconds"))
 
 
 @query("jn12_counted_pairs", "SELECT track_id, frame_idx, zone_id FROM v_tz SEMI JOIN v_counted USING (track_id, zone_id) WHERE gaze_hit")
