@@ -16,9 +16,12 @@ from .license_scan import containment_sql, scan_licenses
 from .ngram_join import jaccard_components
 from .preference_ranking import fit_ranking_rows, rank_quality
 from .quality_rules import apply_quality_rules
+from .source_divergence import audit_sources, divergence_sql
 from .source_mixing import mix_sources
 from .topk_search import top_k
+from .spelling_variants import group_spellings, variant_sql
 from .toxicity import fit_toxicity, score_toxicity
+from .warc import archive_sql, captures_of_pages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +92,18 @@ def op10_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(rank_quality(docs, model), 0.5)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captures_of_pages(table(spark, sf_dir, "pages"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_spellings(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_language_id": op2_language_id,
@@ -100,10 +115,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_quality_ranking": op10_quality_ranking,
+    "op11_warc": op11_warc,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
     "op1_license_scan": containment_sql(),
+    "op11_warc": archive_sql(),
+    "op12_source_divergence": divergence_sql(),
+    "op13_spelling_variants": variant_sql(),
     "op3_source_mixing": r"""
         WITH sized AS (
             SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
