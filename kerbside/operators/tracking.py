@@ -1,12 +1,14 @@
 """Multi-object tracking of boxes: two rounds of association by overlap, after ByteTrack (Zhang et al., 2022).
 
 Confident boxes are matched to predicted tracks first, then weak boxes to tracks still unmatched; only confident leftovers start
-tracks. Tracking is sequential within a recording's segment, so segments are the groups that run in parallel.
+tracks. A recording is sequential, yet its segments run in parallel: each starts from a guess of the tracks that it takes over, and those
+whose guess was not what the segment before handed on run again, until none is left. The result is that of one run over all frames.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import hashlib
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -63,72 +65,152 @@ def assign(cost: np.ndarray) -> list[tuple[int, int]]:
     return [(b, a) for a, b in pairs] if flipped else pairs
 
 
-@dataclass
-class _Track:
-    ident: int
-    state: np.ndarray
-    cov: np.ndarray
-    seen: int
-    hits: int = 1
-    box: np.ndarray = field(default_factory=lambda: np.zeros(4))
+def sparse_assign(gain: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of the assignment of largest gain that have any, by connected components of the positive entries.
 
+    Entries of 0 join nothing, so components are solved apart; most have one pair.
+    """
+    rows, cols = np.nonzero(gain > 0)
+    if len(rows) < 2:
+        return list(zip(rows.tolist(), cols.tolist(), strict=True))
+    named: dict[int, int] = {}
+
+    def top(k: int) -> int:
+        while (up := named.setdefault(k, k)) != k:
+            named[k] = k = named[up]
+        return k
+
+    # Columns are named below zero.
+    for a, b in zip(rows.tolist(), (-1 - cols).tolist(), strict=True):
+        named[top(a)] = top(b)
+    parts: dict[int, tuple[list[int], list[int]]] = {}
+    for k in sorted(named):
+        parts.setdefault(top(k), ([], []))[k < 0].append(k if k >= 0 else -1 - k)
+    pairs = []
+    for a, b in parts.values():
+        if len(a) == len(b) == 1:
+            pairs.append((a[0], b[0]))
+        else:
+            b.sort()
+            pairs += [(a[i], b[j]) for i, j in assign(-gain[np.ix_(a, b)]) if gain[a[i], b[j]] > 0]
+    return sorted(pairs)
+
+
+#: Decimals kept of a track's state, so that runs which saw the same boxes for a while hold the same numbers.
+DECIMALS = 6
+
+
+class Tracker:
+    """The tracks alive, as arrays with a row a track, and one step a frame.
+
+    A box's centre, width and height move with constant speed and share one filter covariance, as they share their noise. Rows are
+    kept in an order of what they hold, so that their history before does not matter. ``ident`` names a track: the number of its
+    start in this run from 1, or -1 - k for row k of the state that it was given.
+    """
 
-_MOVE = np.eye(8) + np.eye(8, k=4)
-_SEE = np.eye(4, 8)
+    def __init__(self, rules: TrackRules, packed: bytes = b""):
+        held = np.frombuffer(packed, "<f8").reshape(-1, 12)
+        self.rules, self.started = rules, 0
+        self.mean, self.var, self.seen = held[:, :8].copy(), held[:, 8:11].copy(), held[:, 11].astype(np.int64)
+        self.ident = -1 - np.arange(len(held), dtype=np.int64)
+
+    def packed(self) -> bytes:
+        """The state without names, for a run that goes on from here."""
+        return np.column_stack((self.mean, self.var, self.seen)).astype("<f8").tobytes()
+
+    def _keep(self, rows: np.ndarray) -> None:
+        self.mean, self.var, self.seen, self.ident = self.mean[rows], self.var[rows], self.seen[rows], self.ident[rows]
+
+    def _predict(self) -> np.ndarray:
+        """Move all tracks on by a frame; their boxes."""
+        place, speed = (self.mean[:, 3] / 20) ** 2, (self.mean[:, 3] / 160) ** 2
+        self.mean[:, :4] += self.mean[:, 4:]
+        pp, pv, vv = self.var.T
+        self.var = np.column_stack((pp + 2 * pv + vv + place, pv + vv, vv + speed))
+        centre, half = self.mean[:, :2], self.mean[:, 2:4] / 2
+        return np.hstack((centre - half, centre + half))
+
+    def _update(self, rows: np.ndarray, seen: np.ndarray, frame: int) -> None:
+        pp, pv, vv = self.var[rows].T
+        gain = pp / (pp + (self.mean[rows, 3] / 20) ** 2)
+        lift = pv / (pp + (self.mean[rows, 3] / 20) ** 2)
+        off = seen - self.mean[rows, :4]
+        self.mean[rows] += np.hstack((gain[:, None] * off, lift[:, None] * off))
+        self.var[rows] = np.column_stack((pp - gain * pp, pv - gain * pv, vv - lift * pv))
+        self.seen[rows] = frame
+
+    def step(self, frame: int, boxes: np.ndarray) -> list[tuple[int, int]]:
+        """(row of ``boxes``, name of its track) of the boxes x1, y1, x2, y2, conf that belong to a track."""
+        rules, conf = self.rules, boxes[:, 4]
+        size = boxes[:, 2:4] - boxes[:, :2]
+        centred = np.hstack((boxes[:, :2] + size / 2, size))
+        places = self._predict()
+        strong, weak = np.flatnonzero(conf >= rules.high), np.flatnonzero((conf >= rules.low) & (conf < rules.high))
+        free, out = np.arange(len(places)), []
+        for k, (picked, limit) in enumerate(((strong, rules.overlap), (weak, rules.weak_overlap))):
+            if not len(picked) or not len(free):
+                continue
+            iou = overlaps(places[free], boxes[picked, :4])
+            pairs = [(a, b) for a, b in sparse_assign(iou) if iou[a, b] >= limit]
+            if not pairs:
+                continue
+            mine, theirs = (list(x) for x in zip(*pairs, strict=True))
+            self._update(free[mine], centred[picked[theirs]], frame)
+            out += zip(picked[theirs].tolist(), self.ident[free[mine]].tolist(), strict=True)
+            free = np.delete(free, mine)
+            if k == 0:
+                strong = np.delete(strong, theirs)
+        new = strong[conf[strong] >= rules.new]
+        if len(new):
+            names = self.started + 1 + np.arange(len(new))
+            self.started += len(new)
+            place, speed = 4 * (centred[new, 3] / 20) ** 2, 4 * (centred[new, 3] / 160) ** 2
+            self.mean = np.vstack((self.mean, np.hstack((centred[new], np.zeros((len(new), 4))))))
+            self.var = np.vstack((self.var, np.column_stack((place, np.zeros(len(new)), speed))))
+            self.seen, self.ident = np.append(self.seen, np.full(len(new), frame)), np.append(self.ident, names)
+            out += zip(new.tolist(), names.tolist(), strict=True)
+        self.mean, self.var = self.mean.round(DECIMALS), self.var.round(DECIMALS)
+        alive = np.flatnonzero(frame - self.seen <= rules.keep)
+        order = np.lexsort((*self.mean[alive].T[::-1], self.seen[alive]))
+        self._keep(alive[order])
+        return out
 
 
-def _centred(box: np.ndarray) -> np.ndarray:
-    w, h = box[2] - box[0], box[3] - box[1]
-    return np.array([box[0] + w / 2, box[1] + h / 2, w, h])
+def track_boxes(frames: list[tuple[int, np.ndarray]], rules: TrackRules = TrackRules()) -> list[tuple[int, int, int]]:
+    """(frame, row of its boxes, track) of boxes x1, y1, x2, y2, conf in frames in order, those without boxes included."""
+    tracker = Tracker(rules)
+    return [(frame, i, t) for frame, rows in frames for i, t in tracker.step(frame, rows)]
 
 
-def _noise(h: float) -> tuple[np.ndarray, np.ndarray]:
-    place, speed = h / 20, h / 160
-    return np.diag([place**2] * 4 + [speed**2] * 4), np.diag([place**2] * 4)
+BOX = ["x1", "y1", "x2", "y2", "conf"]
+_ROWS = "segment_id long, track_id int, frame_idx long, x1 double, y1 double, x2 double, y2 double, conf double"
+#: What a run of a segment gives: its boxes with their tracks (`frame_idx` set), and one row with the state that it hands on.
+_RUN = f"{_ROWS}, took string, gave string, packed binary, names array<long>"
+_RUN_COLUMNS = [f.split()[0] for f in _RUN.split(", ")]
 
 
-def track_boxes(frames: list[tuple[int, np.ndarray]], rules: TrackRules = TrackRules()) -> list[tuple[int, int, int]]:
-    """(frame, row of its boxes, track) of boxes x1, y1, x2, y2, conf in frames in order, those without boxes included."""
-    tracks: list[_Track] = []
-    out: list[tuple[int, int, int]] = []
-    last = 0
-    for frame, rows in frames:
-        for t in tracks:
-            q, _ = _noise(t.state[3])
-            t.state, t.cov = _MOVE @ t.state, _MOVE @ t.cov @ _MOVE.T + q
-            x, y, w, h = t.state[:4]
-            t.box = np.array([x - w / 2, y - h / 2, x + w / 2, y + h / 2])
-        strong = [i for i in range(len(rows)) if rows[i, 4] >= rules.high]
-        weak = [i for i in range(len(rows)) if rules.low <= rows[i, 4] < rules.high]
-        free = list(tracks)
-        for picked, limit in ((strong, rules.overlap), (weak, rules.weak_overlap)):
-            if not picked or not free:
-                continue
-            iou = overlaps(np.array([t.box for t in free]), rows[picked, :4])
-            pairs = [(a, b) for a, b in assign(1 - iou) if iou[a, b] >= limit]
-            for a, b in pairs:
-                t, i = free[a], picked[b]
-                _, r = _noise(t.state[3])
-                gain = t.cov @ _SEE.T @ np.linalg.inv(_SEE @ t.cov @ _SEE.T + r)
-                t.state = t.state + gain @ (_centred(rows[i, :4]) - _SEE @ t.state)
-                t.cov = (np.eye(8) - gain @ _SEE) @ t.cov
-                t.seen, t.hits = frame, t.hits + 1
-                out.append((frame, i, t.ident))
-            used = {a for a, _ in pairs}
-            taken = {picked[b] for _, b in pairs}
-            free = [t for k, t in enumerate(free) if k not in used]
-            strong = [i for i in strong if i not in taken]
-        for i in strong:
-            if rows[i, 4] >= rules.new:
-                last += 1
-                q, r = _noise(rows[i, 3] - rows[i, 1])
-                tracks.append(_Track(last, np.concatenate((_centred(rows[i, :4]), np.zeros(4))), q * 4, frame))
-                out.append((frame, i, last))
-        tracks = [t for t in tracks if frame - t.seen <= rules.keep]
-    return out
+def frames_in_order(pdf: pd.DataFrame) -> list[tuple[int, np.ndarray]]:
+    """Frames with their boxes from (frame_idx, x1, y1, x2, y2, conf) rows, boxes by confidence; a row without a box stands for its frame."""
+    pdf = pdf.sort_values(["frame_idx", "conf", "x1", "y1", "x2", "y2"], ascending=[True, False, True, True, True, True])
+    at, boxes = pdf["frame_idx"].to_numpy(), pdf[BOX].to_numpy(float)
+    starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1]))) if len(at) else []
+    return [(int(at[k]), own[~np.isnan(own[:, 0])]) for k, own in zip(starts, np.split(boxes, starts[1:]), strict=True)] if len(at) else []
 
 
-_ROWS = "segment_id long, track_id int, frame_idx long, x1 double, y1 double, x2 double, y2 double, conf double"
+def _run(segment: int, pdf: pd.DataFrame, packed: bytes, rules: TrackRules) -> pd.DataFrame:
+    """A segment's rows of ``_RUN``, from the state ``packed``."""
+    tracker, rows = Tracker(rules, packed), []
+    for frame, boxes in frames_in_order(pdf):
+        rows += [(segment, t, frame, *boxes[i]) for i, t in tracker.step(frame, boxes)]
+    gave = tracker.packed()
+    rows = [(*r, None, None, None, None) for r in rows]
+    rows.append((segment, *[None] * 7, hashlib.sha256(packed).hexdigest(), hashlib.sha256(gave).hexdigest(), gave, tracker.ident.tolist()))
+    return pd.DataFrame(rows, columns=_RUN_COLUMNS).astype({"segment_id": "int64", "track_id": "Int32", "frame_idx": "Int64"} | dict.fromkeys(BOX, "float64"))
+
+
+def _by_segment(detections: DataFrame, frames: DataFrame, segment: int) -> DataFrame:
+    rows = frames.select("frame_idx").join(detections.select("frame_idx", *BOX), "frame_idx", "left")
+    return rows.withColumn("segment_id", F.floor(F.col("frame_idx") / segment))
 
 
 def track(detections: DataFrame, frames: DataFrame, segment: int, rules: TrackRules = TrackRules()) -> DataFrame:
@@ -136,30 +218,70 @@ def track(detections: DataFrame, frames: DataFrame, segment: int, rules: TrackRu
 
     Tracks are numbered within a segment and start afresh in each; the segment bounds what a task holds.
     """
-    return _tracked(detections, frames, segment, 0, rules).drop("box")
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return _run(key[0], pdf, b"", rules).dropna(subset=["frame_idx"])[["segment_id", "track_id", "frame_idx", *BOX]]
+
+    return _by_segment(detections, frames, segment).groupBy("segment_id").applyInPandas(run, _ROWS)
 
 
-def track_across(detections: DataFrame, frames: DataFrame, segment: int, lead: int = 60, rules: TrackRules = TrackRules()) -> DataFrame:
-    """The same, with tracks that go on where a segment ends; ``segment_id`` is the segment in which a track starts.
+def _before(segments: DataFrame, span: int = 4096) -> DataFrame:
+    """(segment_id, before): the last segment with frames before each one. Segments are ordered within spans, and spans by one row each."""
+    placed = segments.withColumn("span", F.floor(F.col("segment_id") / span))
+    ends = placed.groupBy("span").agg(F.max("segment_id").alias("last")).withColumn("carried", F.lag("last").over(Window.orderBy("span"))).drop("last")
+    own = F.lag("segment_id").over(Window.partitionBy("span").orderBy("segment_id"))
+    return placed.withColumn("own", own).join(ends, "span").select("segment_id", F.coalesce("own", "carried").alias("before"))
 
-    Each segment is tracked from ``lead`` frames before its start. Two tracks of neighbouring segments that hold the same boxes in those
-    frames are one: each names the track with which it shares most boxes, ties to the smaller number, and both must name each other.
-    ``lead`` should exceed twice what a track may stay unseen, and stay below ``segment``.
+
+def track_across(detections: DataFrame, frames: DataFrame, segment: int, warm: int = 60, rules: TrackRules = TrackRules()) -> DataFrame:
+    """The tracks of one run over all frames; ``segment_id`` is the segment in which a track starts, ``track_id`` its number there.
+
+    Segments run in parallel from guessed states. A segment whose state was not, to the last bit, what the segment before hands on runs
+    again from that, until all agree: tracks that are the same for a while make the states agree, so later rounds have few segments, and
+    at worst one more is settled each round. The first guess comes from the ``warm`` frames before a segment; it decides how
+    many run again and nothing else. A segment's frames, and the tracks alive at its ends, bound what a task holds.
     """
-    if not 0 < lead < segment:
-        raise ValueError("a lead lies between 0 and the segment's length")
-    home = F.floor(F.col("frame_idx") / segment)
-    found = staged(_tracked(detections, frames, segment, lead, rules))
-    own = found.where(home == F.col("segment_id"))
-    before = found.where(home < F.col("segment_id")).select((F.col("segment_id") - 1).alias("segment_id"), F.col("track_id").alias("later"), "frame_idx", "box")
-    shared = before.join(own, ["segment_id", "frame_idx", "box"]).groupBy("segment_id", "later", F.col("track_id").alias("earlier")).agg(F.count("*").alias("n"))
-    first = lambda key, other: F.row_number().over(Window.partitionBy("segment_id", key).orderBy(F.desc("n"), other))
-    links = shared.select("*", first("later", "earlier").alias("a"), first("earlier", "later").alias("b")).where("a = 1 AND b = 1")
-    start = _starts(links.select((F.col("segment_id") + 1).alias("segment_id"), F.col("later").alias("track_id"), F.col("segment_id").alias("to_segment"), F.col("earlier").alias("to_track")))
-    named = own.join(start, ["segment_id", "track_id"], "left")
+    rows = staged(_by_segment(detections, frames, segment))
+    late = rows.where(F.pmod("frame_idx", F.lit(segment)) >= segment - warm)
+
+    def guess(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        tracker = Tracker(rules)
+        for frame, boxes in frames_in_order(pdf):
+            tracker.step(frame, boxes)
+        return pd.DataFrame({"segment_id": [key[0] + 1], "packed": [tracker.packed()]})
+
+    def run(key: tuple, own: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+        packed = bytes(given["packed"].iloc[0]) if len(given) and given["packed"].iloc[0] is not None else b""
+        return _run(int(key[0]), own.drop(columns="segment_id"), packed, rules) if len(own) else pd.DataFrame(columns=_RUN_COLUMNS)
+
+    def runs(some: DataFrame, states: DataFrame, turn: int) -> DataFrame:
+        made = some.groupBy("segment_id").cogroup(states.groupBy("segment_id")).applyInPandas(run, _RUN)
+        return staged(made.withColumn("turn", F.lit(turn)))
+
+    states = late.groupBy("segment_id").applyInPandas(guess, "segment_id long, packed binary")
+    done = [runs(rows, states, 0)]
+    before = staged(_before(rows.select("segment_id").distinct()))
+    while True:
+        every = done[0]
+        for more in done[1:]:
+            every = every.unionByName(more)
+        ends = every.where("took IS NOT NULL").groupBy("segment_id").agg(F.max_by(F.struct("took", "gave", "packed", "names", "turn"), "turn").alias("end")).select("segment_id", "end.*")
+        handed = ends.select(F.col("segment_id").alias("before"), F.col("gave").alias("given"), "packed")
+        nothing = F.lit(hashlib.sha256(b"").hexdigest())
+        checked = ends.select("segment_id", "took").join(before, "segment_id").join(handed, "before", "left")
+        todo = staged(checked.where(F.col("took") != F.coalesce("given", nothing)).select("segment_id", "packed"))
+        if todo.isEmpty():
+            break
+        done.append(runs(rows.join(todo.select("segment_id"), "segment_id", "left_semi"), todo, len(done)))
+    ends = staged(ends)
+    found = every.where("frame_idx IS NOT NULL").join(ends.select("segment_id", "turn"), ["segment_id", "turn"], "left_semi")
+    # A taken-over track is row -1 - track_id of what the segment before gave, and has the name that it gave it.
+    gave = ends.select(F.col("segment_id").alias("before"), F.posexplode("names").alias("k", "name"))
+    links = gave.join(before, "before").select("segment_id", (-1 - F.col("k")).cast("int").alias("track_id"), F.col("before").alias("to_segment"), F.col("name").cast("int").alias("to_track"))
+    named = found.join(_starts(links), ["segment_id", "track_id"], "left")
     return named.select(
-        F.coalesce("to_segment", "segment_id").alias("segment_id"), F.coalesce("to_track", "track_id").alias("track_id"), "frame_idx", "x1", "y1", "x2", "y2", "conf"
-    )
+        F.coalesce("to_segment", "segment_id").alias("segment_id"), F.coalesce("to_track", "track_id").alias("track_id"), "frame_idx", *BOX
+    )
 
 
 def _starts(links: DataFrame) -> DataFrame:
@@ -171,23 +293,3 @@ def _starts(links: DataFrame) -> DataFrame:
         if moved.where("far_segment IS NOT NULL").isEmpty():
             return links
         links = staged(moved.select("segment_id", "track_id", F.coalesce("far_segment", "to_segment").alias("to_segment"), F.coalesce("far_track", "to_track").alias("to_track")))
-
-
-def _tracked(detections: DataFrame, frames: DataFrame, segment: int, lead: int, rules: TrackRules) -> DataFrame:
-    """Tracks by segment, with each box's place among its frame's; the ``lead`` frames before a segment are its too."""
-    at = F.floor(F.col("frame_idx") / segment)
-    late = F.pmod("frame_idx", F.lit(segment)) >= segment - lead
-    rows = frames.select("frame_idx").join(detections, "frame_idx", "left").withColumn("segment_id", F.explode(F.when(late, F.array(at, at + 1)).otherwise(F.array(at))))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["frame_idx", "conf", "x1", "y1", "x2", "y2"], ascending=[True, False, True, True, True, True])
-        listed = []
-        for frame, own in pdf.groupby("frame_idx", sort=True):
-            listed.append((int(frame), own.dropna(subset=["x1"])[["x1", "y1", "x2", "y2", "conf"]].to_numpy(float)))
-        by_frame = dict(listed)
-        found = [(int(pdf["segment_id"].iloc[0]), t, f, *by_frame[f][i], i) for f, i, t in track_boxes(listed, rules)]
-        return pd.DataFrame(found, columns=["segment_id", "track_id", "frame_idx", "x1", "y1", "x2", "y2", "conf", "box"]).astype(
-            {"segment_id": "int64", "track_id": "int32", "frame_idx": "int64", "box": "int32"}
-        )
-
-    return rows.groupBy("segment_id").applyInPandas(run, f"{_ROWS}, box int")
