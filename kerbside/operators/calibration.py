@@ -9,10 +9,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import median
 from .gates import agrees, standing
-from .metrics import slope_interval
-from .sequences import exact_median
+from .metrics import HEIGHT_STEP, slope_interval
+from .sequences import exact_median, exact_quantiles
 
 Line = tuple[tuple[float, float], tuple[float, float]]
 
@@ -67,8 +66,9 @@ def calibration_gate(people: DataFrame, speeds: DataFrame, document: Mapping, li
     ``people`` has heights and depths, ``speeds`` speeds; ``inputs`` are the digests of the inputs as they are now.
     A document's slope must be the recomputed one. The median height sets the scale, so that its check finds gross faults only.
     """
-    p = lambda q: F.percentile("height", F.lit(q))
-    heights = people.agg(median("height").alias("mid"), (p(0.75) - p(0.25)).alias("iqr"), (p(0.9) - p(0.1)).alias("span"), F.count("height").alias("n"))
+    ends = exact_quantiles(people, "height", HEIGHT_STEP, {"mid": 0.5, "p75": 0.75, "p25": 0.25, "p90": 0.9, "p10": 0.1})
+    spread = ends.select("mid", (F.col("p75") - F.col("p25")).alias("iqr"), (F.col("p90") - F.col("p10")).alias("span"))
+    heights = people.agg(F.count("height").alias("n")).crossJoin(F.broadcast(spread))
     row = lambda name, value, state: F.struct(F.lit(name).alias("check"), value.cast("double").alias("value"), state.alias("standing"))
     mid, iqr, n = F.col("mid"), F.col("iqr"), F.col("n")
     tight = F.when(iqr.isNull(), "unmeasured").when((iqr <= limits["height_iqr"]) & (F.col("span") <= limits["height_span"]), "pass").otherwise("fail")

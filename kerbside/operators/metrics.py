@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import point_in_polygon
 from ..functions.stats import median
-from .sequences import gap_sessions
+from .sequences import exact_quantiles, gap_sessions
+
+#: Metres of a span in which heights are counted.
+HEIGHT_STEP = 0.001
 
 
 def presence_curve(frames: DataFrame, seconds: float) -> DataFrame:
@@ -66,9 +69,10 @@ def depth_bins(people: DataFrame, width: float, least: int, threshold: float) ->
 
 
 def height_spread(people: DataFrame) -> DataFrame:
-    p = lambda q: F.percentile("height", F.lit(q))
     n = F.count("height")
-    return people.agg(F.when(n >= 2, n).otherwise(F.raise_error(F.lit("a spread takes two heights or more"))).alias("n"), p(0.5).alias("mid"), (p(0.75) - p(0.25)).alias("iqr"), p(0.1).alias("p10"), p(0.9).alias("p90"))
+    size = people.agg(F.when(n >= 2, n).otherwise(F.raise_error(F.lit("a spread takes two heights or more"))).alias("n"))
+    ends = exact_quantiles(people, "height", HEIGHT_STEP, {"mid": 0.5, "p75": 0.75, "p25": 0.25, "p10": 0.1, "p90": 0.9})
+    return size.crossJoin(F.broadcast(ends)).select("n", "mid", (F.col("p75") - F.col("p25")).alias("iqr"), "p10", "p90")
 
 
 def slope_interval(rows: DataFrame, y: str, x: str) -> DataFrame:
@@ -84,9 +88,10 @@ def slope_interval(rows: DataFrame, y: str, x: str) -> DataFrame:
 
 def trimmed_scale(people: DataFrame, target: float, trim: float) -> DataFrame:
     """Target height over the median of the heights between two quantiles, bounds included."""
-    ends = people.agg(F.percentile("height", F.lit(trim)).alias("lo"), F.percentile("height", F.lit(1 - trim)).alias("hi"))
+    ends = exact_quantiles(people, "height", HEIGHT_STEP, {"lo": trim, "hi": 1 - trim})
     kept = people.crossJoin(F.broadcast(ends)).where("height BETWEEN lo AND hi")
-    return kept.agg((F.lit(target) / median("height")).alias("scale"), F.count("*").alias("n"))
+    middle = exact_quantiles(kept, "height", HEIGHT_STEP, {"mid": 0.5})
+    return kept.agg(F.count("*").alias("n")).crossJoin(F.broadcast(middle)).select((F.lit(target) / F.col("mid")).alias("scale"), "n")
 
 
 def _resampled(rows: DataFrame, key: str, times: int) -> DataFrame:

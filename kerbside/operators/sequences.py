@@ -55,9 +55,12 @@ def rank_strata(rows: DataFrame, strata: int, by: list[str], order: list[str], s
     return ranked.withColumn("stratum", stratum).drop("place", "m")
 
 
-def _offsets(cut: DataFrame, by: list[str]) -> tuple[DataFrame, Column]:
-    """One row a group and span: rows before it, in it and in all (before, inside, m); and the condition that joins it."""
-    sizes = cut.groupBy(*by, "span").agg(F.count("*").alias("inside"))
+def _offsets(cut: DataFrame, by: list[str], weight: str | None = None) -> tuple[DataFrame, Column]:
+    """One row a group and span: rows before it, in it and in all (before, inside, m); and the condition that joins it.
+
+    With ``weight``, a row counts as often as that column says.
+    """
+    sizes = cut.groupBy(*by, "span").agg((F.sum(weight) if weight else F.count("*")).alias("inside"))
     group = Window.partitionBy(*by)
     before = F.coalesce(F.sum("inside").over(group.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     keys = [*by, "span"]
@@ -82,19 +85,34 @@ def numbered(rows: DataFrame, span: Column, order: list[Column | str], by: list[
     return placed.drop("span", "inside", "before", *(f"own_{c}" for c in [*by, "span"]))
 
 
-def exact_median(rows: DataFrame, value: str, step: float, by: list[str] | None = None, name: str = "median") -> DataFrame:
-    """The exact median of each group, between the two middle values; nulls do not count.
+def exact_quantiles(rows: DataFrame, value: str, step: float, at: dict[str, float], by: list[str] | None = None) -> DataFrame:
+    """Exact quantiles of each group, one column for each of ``at``, between the two values next to the place; nulls do not count.
 
-    Values are counted by spans of ``step``; only the spans that hold the middle are sorted.
+    Equal values are counted first, so that a value which half of all rows have is one row from there on. Distinct values are counted by
+    spans of ``step``; only those in the spans that hold a wanted place are sorted. Without groups, no values give one row of nulls.
     """
     by = by or []
-    cut = rows.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("value"), F.floor(F.col(value) / step).alias("span"))
-    offsets, same = _offsets(cut, by)
-    low, high = F.floor((F.col("m") - 1) / 2), F.floor(F.col("m") / 2)
-    middle = cut.join(offsets.where((F.col("before") <= high) & (F.col("before") + F.col("inside") > low)), same)
-    place = F.col("before") + F.row_number().over(Window.partitionBy(*by, "span").orderBy("value")) - 1
-    ends = middle.withColumn("place", place).where((F.col("place") == low) | (F.col("place") == high))
-    return ends.groupBy(*by).agg((F.min("value") * 0.5 + F.max("value") * 0.5).alias(name))
+    valued = rows.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("value"))
+    cut = valued.groupBy(*by, "value").agg(F.count("*").alias("n")).withColumn("span", F.floor(F.col("value") / step))
+    offsets, same = _offsets(cut, by, "n")
+    places = {name: F.lit(float(q)) * (F.col("m") - 1) for name, q in at.items()}
+    held = lambda k: (F.col("before") <= k) & (k < F.col("before") + F.col("inside"))
+    wanted = offsets.where(reduce(lambda a, b: a | b, (held(f(p)) for p in places.values() for f in (F.floor, F.ceil))))
+    order = Window.partitionBy(*by, "span").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = cut.join(wanted, same).withColumn("start", F.col("before") + F.coalesce(F.sum("n").over(order), F.lit(0)))
+    here = lambda k: F.max(F.when((F.col("start") <= k) & (k < F.col("start") + F.col("n")), F.col("value")))
+
+    def between(place: Column) -> Column:
+        low, high = here(F.floor(place)), here(F.ceil(place))
+        share = F.max(place - F.floor(place))
+        return F.when(low == high, low).otherwise((1 - share) * low + share * high)
+
+    return ranked.groupBy(*by).agg(*(between(p).alias(name) for name, p in places.items()))
+
+
+def exact_median(rows: DataFrame, value: str, step: float, by: list[str] | None = None, name: str = "median") -> DataFrame:
+    """The exact median of each group, between the two middle values; nulls do not count."""
+    return exact_quantiles(rows, value, step, {name: 0.5}, by)
 
 
 def running(rows: DataFrame, span: Column, order: str, columns: list[str]) -> DataFrame:

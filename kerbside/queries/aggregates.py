@@ -9,6 +9,7 @@ from ..functions.angles import yaw_difference
 from ..functions.colour import colour_class, colour_class_sql
 from ..functions.stats import median
 from ..operators import metrics as Me
+from ..operators import sequences as Q
 from ..sources import tables as T
 from .attention import bucket, bucket_sql
 from .registry import DERIVED, query
@@ -72,7 +73,9 @@ def agg12(s, d):
 
 @query("agg12_duration_summary", "SELECT round(median(life), 6) AS mid, round(quantile_cont(life, 0.9), 6) AS p90, round(max(life), 6) AS longest FROM (SELECT max(ts) - min(ts) AS life FROM v_obs GROUP BY track_id)")
 def agg12b(s, d):
-    return Me.lifetimes(T.observations(s, d)).agg(rnd(median("life")).alias("mid"), rnd(F.percentile("life", F.lit(0.9))).alias("p90"), rnd(F.max("life")).alias("longest"))
+    lives = Me.lifetimes(T.observations(s, d))
+    ends = Q.exact_quantiles(lives, "life", 1.0, {"mid": 0.5, "p90": 0.9})
+    return lives.agg(rnd(F.max("life")).alias("longest")).crossJoin(F.broadcast(ends)).select(rnd("mid").alias("mid"), rnd("p90").alias("p90"), "longest")
 
 
 DERIVED["v_spot"] = "SELECT track_id, colour, mx, my FROM v_colour JOIN (SELECT track_id, median(x) AS mx, median(y) AS my FROM v_obs GROUP BY 1) USING (track_id) WHERE mx IS NOT NULL"
@@ -127,14 +130,14 @@ def agg29(s, d):
 @query("agg30_track_lengths", "SELECT round(median(n), 6) AS mid, round(quantile_cont(n, 0.1), 6) AS p10, round(quantile_cont(n, 0.9), 6) AS p90 FROM (SELECT count(*) AS n FROM v_obs GROUP BY track_id)")
 def agg30(s, d):
     sizes = T.observations(s, d).groupBy("track_id").agg(F.count("*").alias("n"))
-    p = lambda q: rnd(F.percentile("n", F.lit(q)))
-    return sizes.agg(p(0.5).alias("mid"), p(0.1).alias("p10"), p(0.9).alias("p90"))
+    ends = Q.exact_quantiles(sizes, "n", 1.0, {"mid": 0.5, "p10": 0.1, "p90": 0.9})
+    return ends.select(*(rnd(c).alias(c) for c in ends.columns))
 
 
 @query("agg31_yaw_iqr", "SELECT round(median(iqr), 6) AS iqr FROM (SELECT quantile_cont(body_yaw, 0.75) - quantile_cont(body_yaw, 0.25) AS iqr FROM v_obs GROUP BY track_id)")
 def agg31(s, d):
     iqr = F.percentile("body_yaw", F.lit(0.75)) - F.percentile("body_yaw", F.lit(0.25))
-    return T.observations(s, d).groupBy("track_id").agg(iqr.alias("iqr")).agg(rnd(median("iqr")).alias("iqr"))
+    return Q.exact_median(T.observations(s, d).groupBy("track_id").agg(iqr.alias("iqr")), "iqr", 0.1, name="iqr").select(rnd("iqr").alias("iqr"))
 
 
 @query("agg33_height_spread", "SELECT count(*) AS n, round(median(height), 6) AS mid, round(quantile_cont(height, 0.75) - quantile_cont(height, 0.25), 6) AS iqr, round(quantile_cont(height, 0.1), 6) AS p10, round(quantile_cont(height, 0.9), 6) AS p90 FROM v_person")
@@ -168,7 +171,9 @@ def errors(s, d):
 @query("agg37_angle_errors", f"SELECT round(avg(e), 6) AS mae, round(median(e), 6) AS mid, round(quantile_cont(e, 0.9), 6) AS p90, round(avg((e > 90)::INTEGER), 6) AS over90, round(avg((e > 135)::INTEGER), 6) AS over135 FROM ({_ERR})")
 def agg37(s, d):
     e = F.col("e")
-    return errors(s, d).agg(rnd(F.avg(e)).alias("mae"), rnd(median("e")).alias("mid"), rnd(F.percentile("e", F.lit(0.9))).alias("p90"), rnd(F.avg((e > 90).cast("int"))).alias("over90"), rnd(F.avg((e > 135).cast("int"))).alias("over135"))
+    ends = Q.exact_quantiles(errors(s, d), "e", 0.1, {"mid": 0.5, "p90": 0.9}).select(rnd("mid").alias("mid"), rnd("p90").alias("p90"))
+    means = errors(s, d).agg(rnd(F.avg(e)).alias("mae"), rnd(F.avg((e > 90).cast("int"))).alias("over90"), rnd(F.avg((e > 135).cast("int"))).alias("over135"))
+    return means.crossJoin(F.broadcast(ends))
 
 
 @query("agg38_bootstrap_mean")
@@ -240,19 +245,22 @@ def agg51(s, d):
 
 @query("agg52_top_decile_speed", "SELECT round(quantile_cont(speed, 0.9), 6) AS p90 FROM v_obs")
 def agg52(s, d):
-    return T.observations(s, d).agg(rnd(F.percentile("speed", F.lit(0.9))).alias("p90"))
+    return Q.exact_quantiles(T.observations(s, d), "speed", 0.01, {"p90": 0.9}).select(rnd("p90").alias("p90"))
 
 
 @query("agg53_track_speeds", "SELECT round(median(v), 6) AS mid, count(*) AS n FROM (SELECT sqrt(regr_slope(x, ts) ^ 2 + regr_slope(y, ts) ^ 2) AS v, max(ts) - min(ts) AS life, count(x) AS n FROM v_obs GROUP BY track_id) WHERE life >= 2 AND n >= 3")
 def agg53(s, d):
     speed = F.hypot(F.regr_slope("x", "ts"), F.regr_slope("y", "ts"))
     tracks = T.observations(s, d).groupBy("track_id").agg(speed.alias("v"), (F.max("ts") - F.min("ts")).alias("life"), F.count("x").alias("k"))
-    return tracks.where("life >= 2 AND k >= 3").agg(rnd(median("v")).alias("mid"), F.count("*").alias("n"))
+    kept = tracks.where("life >= 2 AND k >= 3")
+    return kept.agg(F.count("*").alias("n")).crossJoin(F.broadcast(Q.exact_median(kept, "v", 0.001, name="mid"))).select(rnd("mid").alias("mid"), "n")
 
 
 @query("agg54_label_counts", "SELECT count(*) AS n, count(predicted) AS predicted, round(median(model_conf), 6) AS mid FROM v_label")
 def agg54(s, d):
-    return T.labelled_angles(s, d).agg(F.count("*").alias("n"), F.count("predicted").alias("predicted"), rnd(median("model_conf")).alias("mid"))
+    labels = T.labelled_angles(s, d)
+    counts = labels.agg(F.count("*").alias("n"), F.count("predicted").alias("predicted"))
+    return counts.crossJoin(F.broadcast(Q.exact_median(labels, "model_conf", 0.001, name="mid"))).select("n", "predicted", rnd("mid").alias("mid"))
 
 
 @query("agg55_cube", "SELECT foot_source, n_kpts_valid, count(*) AS n FROM v_obs GROUP BY CUBE (foot_source, n_kpts_valid)")

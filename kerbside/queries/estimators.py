@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..operators import estimators as E
 from ..operators import matching as M
+from ..operators import segments as Sg
+from ..operators.sequences import exact_median
 from ..sources import tables as T
+from ..sources.staging import staged
 from .joins import boxes
 from .registry import query
 
@@ -40,10 +44,19 @@ def vertical_lines(s, d):
     return T.detections(s, d).select(a.alias("a"), b.alias("b"), (-(a * x + b * F.col("y2"))).alias("c"))
 
 
+def standing_people(s, d):
+    """Feet and heads of poses in a camera tilted down: heads lean away from (960, 6000), a fifth of them anywhere."""
+    x, y, tall = (F.col("x1") + F.col("x2")) / 2, F.col("y2"), (F.col("y2") - F.col("y1")) * 1.5
+    noise = F.round(F.col("conf") * 1000) % 7 - 3
+    lean = F.when(F.round(F.col("conf") * 1000) % 5 == 0, noise * 12).otherwise((x - 960) * tall / (6000 - y) + noise * 0.25)
+    return T.detections(s, d).select(x.alias("fx"), y.alias("fy"), (x + lean).alias("hx"), (y - tall).alias("hy"))
+
+
 @query("est02_vertical_point")
 def est02(s, d):
-    x, y = E.vertical_vanishing_point(vertical_lines(s, d))
-    return s.createDataFrame([(x, y)], "x double, y double")
+    """The vanishing point of poses, with its inliers; reweighted least squares has no SQL."""
+    found = E.vertical_vanishing_point(standing_people(s, d))
+    return s.createDataFrame([tuple(found.values())], "x double, y double, n long, inliers long, share double, residual double")
 
 
 @query("est02_weighted_sums", "SELECT round(sum(a * a), 3) AS aa, round(sum(a * b), 3) AS ab, round(sum(b * b), 3) AS bb FROM (SELECT tall / sqrt(tall * tall + lean * lean) AS a, -lean / sqrt(tall * tall + lean * lean) AS b FROM (SELECT ((x1 + x2) / 2 - 960) * 0.1::DOUBLE AS lean, y2 - y1 AS tall FROM v_det))")
@@ -68,7 +81,8 @@ def est05(s, d):
     c = F.col
     dx, dy = c("x2") - c("x1"), c("y2") - c("y1")
     res = F.abs(dx * (F.lit(100.0) - c("y1")) - dy * (F.lit(900.0) - c("x1"))) / F.sqrt(dx * dx + dy * dy)
-    return T.detections(s, d).where("frame_idx % 10 >= 7").agg(F.round(F.percentile(res, F.lit(0.5)), 6).alias("residual"))
+    held = T.detections(s, d).where("frame_idx % 10 >= 7").select(res.alias("res"))
+    return exact_median(held, "res", 1.0, name="residual").select(F.round("residual", 6).alias("residual"))
 
 
 @query("est05_vanishing_point")
@@ -89,6 +103,49 @@ def est06(s, d):
     return T.detections(s, d).where("y2 <> y1").select("frame_idx", F.round(c("x1") + (F.lit(300.0) - c("y1")) * (c("x2") - c("x1")) / (c("y2") - c("y1")), 6).alias("x"))
 
 
+def _scenes(s, d):
+    """An image of 240 x 160 for each part: a bright quadrilateral on a dark ground, its sides and its noise drawn from the part's key."""
+
+    def draw(batches):
+        for batch in batches:
+            made = []
+            for key in batch.column("p_partkey").to_pylist():
+                ring = [(20 + key % 40, 20 + key % 17), (190 + key % 31, 14 + key % 23), (200 - key % 37, 130 + key % 19), (30 + key % 29, 140 - key % 13)]
+                y, x = np.mgrid[0:160, 0:240].astype(float)
+                share = np.ones(x.shape)
+                for (ax, ay), (bx, by) in zip(ring, [*ring[1:], ring[0]], strict=True):
+                    share *= np.clip(0.5 + ((bx - ax) * (y - ay) - (by - ay) * (x - ax)) / np.hypot(bx - ax, by - ay), 0, 1)
+                noise = np.random.Generator(np.random.PCG64(key)).normal(0, 3, x.shape)
+                image = np.clip(50 + key % 60 + 110 * share + noise, 0, 255).round().astype(np.uint8)
+                made.append(np.repeat(image[:, :, None], 3, axis=2).tobytes())
+            n = len(made)
+            yield pa.RecordBatch.from_pydict({"image_id": batch.column("p_partkey").cast(pa.int64()), "width": pa.array([240] * n, pa.int32()), "height": pa.array([160] * n, pa.int32()), "content": pa.array(made, pa.binary())})
+
+    # Keys are few bytes and images many, so they are spread before they are drawn.
+    keys = T.read(s, d, "part").select("p_partkey").repartition(s.sparkContext.defaultParallelism, "p_partkey")
+    return keys.mapInArrow(draw, "image_id long, width int, height int, content binary")
+
+
+@query("est12_line_segments")
+def est12(s, d):
+    """Segments of 40 pixels and more in images, with the row of the horizon at which their lines point; image work has no SQL."""
+    c = F.col
+    found = Sg.detect_segments(_scenes(s, d), 40.0)
+    crossing = F.when(F.abs(c("y2") - c("y1")) > 1e-6, c("x1") + (F.lit(-60.0) - c("y1")) * (c("x2") - c("x1")) / (c("y2") - c("y1")))
+    return found.select("image_id", *(F.round(v, 3).alias(v) for v in ("x1", "y1", "x2", "y2", "width", "alarms")), F.round(crossing, 3).alias("at_horizon"))
+
+
+@query("est12_vanishing_point")
+def est12_point(s, d):
+    """The point where most of the found segments' lines meet, by votes of all of them."""
+    c = F.col
+    size = F.hypot(c("x2") - c("x1"), c("y2") - c("y1"))
+    a, b = (c("y1") - c("y2")) / size, (c("x2") - c("x1")) / size
+    lines = Sg.detect_segments(_scenes(s, d), 40.0).select("image_id", a.alias("a"), b.alias("b"), (-(a * c("x1") + b * c("y1"))).alias("c"))
+    found = E.vanishing_point(staged(lines), "image_id", tolerance=5.0)
+    return s.createDataFrame([tuple(found.values())], "x double, y double, inliers long, residual double, deviation double, accepted boolean")
+
+
 @query("est07_camera_axes", "SELECT true AS orthogonal, true AS right_handed")
 def est07(s, d):
     camera = E.camera_from_points(1100.0, (900.0, 240.0), (960.0, 4540.0), (960.0, 540.0))
@@ -110,7 +167,8 @@ def est08(s, d):
 @query("est09_scale", "SELECT round(6.06::DOUBLE / 3.03::DOUBLE, 9) AS from_width, round(1.68::DOUBLE / median(height), 9) AS from_heights FROM v_person")
 def est09(s, d):
     scale = E.scale_from_width(np.eye(3), (0.0, 0.0), (0.0, 3.03), 6.06)
-    return T.people(s, d).agg(F.round(F.lit(scale), 9).alias("from_width"), F.round(F.lit(1.68) / F.percentile("height", F.lit(0.5)), 9).alias("from_heights"))
+    middle = exact_median(T.people(s, d), "height", 0.001, name="mid")
+    return middle.select(F.round(F.lit(scale), 9).alias("from_width"), F.round(F.lit(1.68) / F.col("mid"), 9).alias("from_heights"))
 
 
 @query("est10_verdicts", "SELECT * FROM (VALUES ('all', 'calibrated'), ('no street', 'scale_from_height'), ('no scale', 'angles_ok_scale_unverified'), ('no horizon', 'stub_affine')) v(case_, verdict)")

@@ -167,10 +167,11 @@ def dq05(s, d):
 
 @query("dq06_calibration_checks", "SELECT CASE WHEN median(height) BETWEEN 1.5 AND 1.9 THEN 'pass' ELSE 'fail' END AS height, CASE WHEN quantile_cont(height, 0.75) - quantile_cont(height, 0.25) <= 0.35 THEN 'pass' ELSE 'fail' END AS spread, CASE WHEN abs(regr_slope(height, depth)) <= 0.02 THEN 'pass' ELSE 'fail' END AS drift, 'unmeasured' AS street, CASE WHEN count(*) >= 100 THEN 'pass' ELSE 'fail' END AS size FROM v_person")
 def dq06(s, d):
-    p = lambda q: F.percentile("height", F.lit(q))
-    return T.people(s, d).agg(
-        Ga.standing(p(0.5), 1.5, 1.9).alias("height"), Ga.standing(p(0.75) - p(0.25), 0.0, 0.35).alias("spread"), Ga.standing(F.regr_slope("height", "depth"), -0.02, 0.02).alias("drift"),
-        Ga.standing(F.lit(None).cast("double"), 0, 1).alias("street"), Ga.standing(F.count("*"), 100, 1 << 60).alias("size"),
+    ends = Q.exact_quantiles(T.people(s, d), "height", 0.001, {"mid": 0.5, "p25": 0.25, "p75": 0.75})
+    both = T.people(s, d).agg(F.regr_slope("height", "depth").alias("slope"), F.count("*").alias("n")).crossJoin(F.broadcast(ends))
+    return both.select(
+        Ga.standing(F.col("mid"), 1.5, 1.9).alias("height"), Ga.standing(F.col("p75") - F.col("p25"), 0.0, 0.35).alias("spread"), Ga.standing(F.col("slope"), -0.02, 0.02).alias("drift"),
+        Ga.standing(F.lit(None).cast("double"), 0, 1).alias("street"), Ga.standing(F.col("n"), 100, 1 << 60).alias("size"),
     )
 
 
@@ -205,8 +206,9 @@ def dq13(s, d):
 
 @query("dq14_legacy_verdict", "SELECT median(height) BETWEEN 1.4 AND 2.0 AND quantile_cont(height, 0.9) - quantile_cont(height, 0.1) <= 0.6 AND abs(regr_slope(height, depth)) <= 0.05 AS usable FROM v_person")
 def dq14(s, d):
-    p = lambda q: F.percentile("height", F.lit(q))
-    return T.people(s, d).agg(Ga.all_of(p(0.5).between(1.4, 2.0), p(0.9) - p(0.1) <= 0.6, F.abs(F.regr_slope("height", "depth")) <= 0.05).alias("usable"))
+    ends = Q.exact_quantiles(T.people(s, d), "height", 0.001, {"mid": 0.5, "p10": 0.1, "p90": 0.9})
+    both = T.people(s, d).agg(F.regr_slope("height", "depth").alias("slope")).crossJoin(F.broadcast(ends))
+    return both.select(Ga.all_of(F.col("mid").between(1.4, 2.0), F.col("p90") - F.col("p10") <= 0.6, F.abs(F.col("slope")) <= 0.05).alias("usable"))
 
 
 @query("dq15_least_samples", "SELECT track_id, count(x) >= 30 AS enough FROM v_obs GROUP BY 1")

@@ -8,6 +8,7 @@ from ..functions import angles as An
 from ..functions import colour as C
 from ..functions import geometry as G
 from ..functions.stats import median
+from ..operators.sequences import exact_median
 from ..sources import tables as T
 from .registry import query
 
@@ -337,8 +338,10 @@ def fn33(s, d):
 
 @query("fn34_implied_width", "SELECT round(6.06::DOUBLE * 1.68::DOUBLE / median(height), 6) AS width, round(degrees(atan(-regr_slope(height, depth) * 4.4::DOUBLE / median(height))), 6) AS grade FROM v_person")
 def fn34(s, d):
-    mid = median("height")
-    return T.people(s, d).agg(r(F.lit(6.06) * 1.68 / mid, "width"), r(F.degrees(F.atan(-F.regr_slope("height", "depth") * 4.4 / mid)), "grade"))
+    mid = F.col("mid")
+    slope = T.people(s, d).agg(F.regr_slope("height", "depth").alias("slope"))
+    both = slope.crossJoin(F.broadcast(exact_median(T.people(s, d), "height", 0.001, name="mid")))
+    return both.select(r(F.lit(6.06) * 1.68 / mid, "width"), r(F.degrees(F.atan(-F.col("slope") * 4.4 / mid)), "grade"))
 
 
 @query("fn35_segment_slope", "SELECT frame_idx, round(degrees(atan2(abs(y2 - y1), abs(x2 - x1))), 6) AS angle FROM v_det")
