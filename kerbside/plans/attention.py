@@ -46,13 +46,21 @@ def stop_threshold(pos: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def zone_frames(obs: DataFrame, zones: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Every track-frame with every zone: in the apron, near, slow, looking at the facade, and how flatly.
 
+    With each come its place in the track, and the track's first frame and span of time (seq, frame0, t_start, t_end), so that rows without
+    bearing on a zone need not be kept for episodes.
+
     Each step's results are columns of their own, so that the next refers to them instead of computing them again: the rays'
     directions once a track-frame, their distances once a zone, then the nearest of them and how steeply it meets the facade.
     """
     pos = positions(obs)
+    threshold = stop_threshold(pos, rules)
+    track = Window.partitionBy("track_id")
+    pos = pos.withColumns({
+        "seq": F.row_number().over(track.orderBy("frame_idx")), "frame0": F.min("frame_idx").over(track), "t_start": F.min("ts").over(track), "t_end": F.max("ts").over(track),
+    })
     rays = [-rules.half_sector, 0.0, rules.half_sector]
     aimed = pos.withColumns({f"{axis}{k}": unit(F.col("yaw") + turn) for k, turn in enumerate(rays) for axis, unit in (("dx", unit_x), ("dy", unit_y))})
-    joined = aimed.crossJoin(F.broadcast(stop_threshold(pos, rules))).crossJoin(F.broadcast(zones))
+    joined = aimed.crossJoin(F.broadcast(threshold)).crossJoin(F.broadcast(zones))
     c = {n: F.col(n) for n in ("x", "y", "ax", "ay", "bx", "by", "yaw")}
     apron = [("apron_x0", "apron_y0"), ("apron_x1", "apron_y0"), ("apron_x1", "apron_y1"), ("apron_x0", "apron_y1")]
     ring = [(F.col(a), F.col(b)) for a, b in apron]
@@ -82,6 +90,7 @@ def zone_frames(obs: DataFrame, zones: DataFrame, rules: Rules = Rules()) -> Dat
     return hits.select(
         "track_id", "frame_idx", "zone_id", "ts", "x", "y", "yaw", "near", "in_apron",
         F.coalesce(F.col("speed") < F.col("thr"), F.lit(False)).alias("is_slow"), hit.alias("gaze_hit"), "gaze_dist", F.when(hit, flat).otherwise(False).alias("grazing"),
+        "seq", "frame0", "t_start", "t_end",
     )
 
 
@@ -101,18 +110,25 @@ def runs(frames: DataFrame, mask: str, keys: list[str]) -> DataFrame:
 
 
 def episodes(frames: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """At most one episode a track and zone, from all its zone frames."""
+    """At most one episode a track and zone, from the relevant ones of ``zone_frames`` at least.
+
+    Standing rows are one run while their places in the track are consecutive. Runs are summed first, then zones: both share the
+    frames' partitioning by track.
+    """
     keys = ["track_id", "zone_id"]
-    marked = frames.withColumn("standing", F.col("in_apron") & F.col("is_slow"))
-    stops = runs(marked, "standing", keys).where(F.col("t1") - F.col("t0") >= rules.stop_seconds)
-    stops = stops.groupBy(*keys).agg(F.sum(F.col("t1") - F.col("t0")).alias("stop_time"))
+    marked = relevant(frames).withColumn("standing", F.col("in_apron") & F.col("is_slow"))
+    place = F.row_number().over(Window.partitionBy(*keys, "standing").orderBy("seq"))
     seen = F.col("near") & F.col("yaw").isNotNull()
-    sums = frames.groupBy(*keys).agg(
-        F.count_if(seen).alias("orient_n"), F.count_if("gaze_hit").alias("hits"), F.bool_or("grazing").alias("grazing"),
-        F.bool_or("in_apron").alias("in_apron"), F.bool_or("near").alias("near"), F.min("frame_idx").alias("frame0"),
-        F.min("ts").alias("t_start"), F.max("ts").alias("t_end"),
+    flags, ends = ("grazing", "in_apron", "near"), ("frame0", "t_start", "t_end")
+    by_run = marked.withColumn("run", F.when(F.col("standing"), F.col("seq") - place)).groupBy(*keys, "run").agg(
+        F.count_if(seen).alias("orient_n"), F.count_if("gaze_hit").alias("hits"), *(F.bool_or(c).alias(c) for c in flags), *(F.min(c).alias(c) for c in ends),
+        (F.max("ts") - F.min("ts")).alias("stood"),
     )
-    scored = sums.join(stops, keys, "left").withColumn("gaze", F.col("hits") / F.when(F.col("orient_n") > 0, F.col("orient_n")))
+    stood = F.when(F.col("run").isNotNull() & (F.col("stood") >= rules.stop_seconds), F.col("stood"))
+    sums = by_run.groupBy(*keys).agg(
+        *(F.sum(c).alias(c) for c in ("orient_n", "hits")), *(F.bool_or(c).alias(c) for c in flags), *(F.min(c).alias(c) for c in ends), F.sum(stood).alias("stop_time")
+    )
+    scored = sums.withColumn("gaze", F.col("hits") / F.when(F.col("orient_n") > 0, F.col("orient_n")))
     gaze, stop = F.coalesce(F.col("gaze") >= rules.gaze_share, F.lit(False)), F.col("stop_time").isNotNull()
     kind = F.when(stop & gaze, "stop_and_gaze").when(stop, "stop").when(gaze, "gaze").when(F.col("in_apron") | F.col("near"), "pass_by")
     life = F.col("t_end") - F.col("t_start")

@@ -64,8 +64,13 @@ DERIVED |= {
 
 
 def frames_of(spark: SparkSession, sf: str) -> DataFrame:
-    """The trace of zone frames, written once a query: what reads it several times, or filters it, computes nothing again."""
-    return staged(A.zone_frames(T.observations(spark, sf), T.zones(spark)))
+    """All zone frames, for what reads them once."""
+    return A.zone_frames(T.observations(spark, sf), T.zones(spark))
+
+
+def trace_of(spark: SparkSession, sf: str) -> DataFrame:
+    """The relevant zone frames, written, for what reads them several times; in partitions by track, as episodes need them."""
+    return staged(A.relevant(frames_of(spark, sf))).repartition("track_id")
 
 
 def events_of(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,20 +209,20 @@ def attention_seconds(frames: DataFrame, events: DataFrame) -> DataFrame:
 @query("agg07_zone_attention_seconds", """SELECT zone_id, round(median(n * period), 6) AS seconds FROM (SELECT zone_id, track_id, count(*) AS n FROM v_tz SEMI JOIN v_counted USING (zone_id, track_id)
     WHERE gaze_hit AND NOT grazing GROUP BY ALL), v_period GROUP BY 1""")
 def agg07(s, d):
-    frames = frames_of(s, d)
+    frames = trace_of(s, d)
     return attention_seconds(frames, A.episodes(frames)).select("zone_id", F.round("seconds", 6).alias("seconds"))
 
 
 @query("jn12_counted_pairs", "SELECT track_id, frame_idx, zone_id FROM v_tz SEMI JOIN v_counted USING (track_id, zone_id) WHERE gaze_hit")
 def jn12(s, d):
-    frames = frames_of(s, d)
+    frames = trace_of(s, d)
     pairs = A.counted(A.episodes(frames)).select("track_id", "zone_id")
     return frames.where("gaze_hit").join(pairs, ["track_id", "zone_id"], "left_semi").select("track_id", "frame_idx", "zone_id")
 
 
 @query("jn13_lookers_hits", "SELECT zone_id, count(*) AS n FROM v_tz WHERE gaze_hit AND track_id IN (SELECT track_id FROM v_counted) GROUP BY 1")
 def jn13(s, d):
-    frames = frames_of(s, d)
+    frames = trace_of(s, d)
     lookers = A.counted(A.episodes(frames)).select("track_id").distinct()
     return frames.where("gaze_hit").join(lookers, "track_id", "left_semi").groupBy("zone_id").agg(F.count("*").alias("n"))
 
@@ -315,7 +320,7 @@ def agg25(s, d):
 @query("agg25_attention_buckets", f"""SELECT {bucket_sql('(n * period)', ATTENTION)} AS bucket, count(*) AS n FROM (SELECT zone_id, track_id, count(*) AS n FROM v_tz SEMI JOIN v_counted USING (zone_id, track_id)
     WHERE gaze_hit AND NOT grazing GROUP BY ALL), v_period GROUP BY 1""")
 def agg25b(s, d):
-    frames = frames_of(s, d)
+    frames = trace_of(s, d)
     hits = frames.where("gaze_hit AND NOT grazing").join(A.counted(A.episodes(frames)).select("track_id", "zone_id"), ["track_id", "zone_id"], "left_semi")
     per_track = hits.groupBy("zone_id", "track_id").agg(F.count("*").alias("n")).crossJoin(F.broadcast(frame_period(frames)))
     return per_track.groupBy(bucket(F.col("n") * F.col("period"), ATTENTION).alias("bucket")).agg(F.count("*").alias("n"))
@@ -324,7 +329,7 @@ def agg25b(s, d):
 @query("agg32_event_quality", """SELECT round(avg(low_confidence::INTEGER), 6) AS low_share, (SELECT count(*) FROM v_tz WHERE grazing) AS grazing_frames,
     (SELECT round(avg((foot_source <> 'ankle')::INTEGER), 6) FROM v_obs) AS indirect_share FROM v_event""")
 def agg32(s, d):
-    frames = frames_of(s, d)
+    frames = trace_of(s, d)
     low = A.episodes(frames).agg(F.round(F.avg(F.col("low_confidence").cast("int")), 6).alias("low_share"))
     flat = frames.agg(F.count_if("grazing").alias("grazing_frames"))
     feet = T.observations(s, d).agg(F.round(F.avg((F.col("foot_source") != "ankle").cast("int")), 6).alias("indirect_share"))

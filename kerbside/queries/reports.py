@@ -10,7 +10,7 @@ from ..plans import report as Rp
 from ..sources import contracts as Co
 from ..sources import tables as T
 from ..sources.staging import staged
-from .attention import R, RATES_SQL, attention_seconds, frames_of, zone_dwell
+from .attention import R, RATES_SQL, attention_seconds, trace_of, zone_dwell
 from .registry import DERIVED, query
 
 _X0, _Y0, _X1, _Y1 = T.ROI[0] + T.ROI[2]
@@ -42,7 +42,7 @@ _STREET = """SELECT 'unique_tracks_total' AS metric, NULL::VARCHAR AS zone_id, c
     UNION ALL SELECT 'dwell_median', zone_id, dwell, visitors FROM v_known LEFT JOIN v_dwell USING (zone_id))""")
 def s8_metrics(s, d):
     """All published metrics: six of the street, and five of each zone. The trace and the episodes are computed once."""
-    frames = frames_of(s, d)
+    frames = trace_of(s, d)
     events = staged(A.episodes(frames))
     obs = T.observations(s, d)
     rates = staged(A.zone_rates(events))
