@@ -95,8 +95,11 @@ def zone_frames(obs: DataFrame, zones: DataFrame, rules: Rules = Rules()) -> Dat
 
 
 def relevant(frames: DataFrame) -> DataFrame:
-    """The trace that is kept: frames in an apron, near it, or looking at it."""
-    return frames.where("in_apron OR gaze_hit OR near")
+    """The trace that is kept: frames in an apron, near it, or looking at it.
+
+    Only a near frame can look at a facade, so that the condition needs no sector test and goes below it.
+    """
+    return frames.where("in_apron OR near")
 
 
 def runs(frames: DataFrame, mask: str, keys: list[str]) -> DataFrame:
