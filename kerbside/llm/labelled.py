@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A sample that comes to the driver as texts leaves out longer ones, which bounds its bytes.
-SAMPLE_CHARS = 100_000
-
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, *, rows: int, keep) -> DataFrame:
     """About ``rows`` (doc_id, text, label), picked by a hash of the id among labels that ``keep`` admits.
@@ -20,9 +17,3 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, *, rows: int,
     drawn = own.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(label)), F.lit(1 << 31)) < int(share * (1 << 31)))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")
     return texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").cast("int").alias("label"))
-
-
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, *, rows: int, keep, chars: int = SAMPLE_CHARS) -> list[tuple[int, str, int]]:
-    """The texts of ``labelled_rows`` of up to ``chars`` characters on the driver, in order of their ids."""
-    found = labelled_rows(docs, labels, label, rows=rows, keep=keep).where(F.length("text") <= chars)
-    return sorted((r["doc_id"], r["text"], r["label"]) for r in found.toLocalIterator())

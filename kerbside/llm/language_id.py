@@ -23,8 +23,11 @@ from .shingling import U, mix
 #: Each word is opened by this mark, as in the vocabulary.
 MARK = "▁"
 UNDETERMINED = "und"
-#: A run of more letters is several words, so that a text without gaps takes no more steps than others.
+#: Words of more letters are scored one by one, their forward state carried along, as a lattice takes a step a letter of its longest word.
+#: Languages are learnt from such words in parts of so many letters.
 LONGEST_WORD = 256
+#: Letters of a long word whose pieces are looked up at a time, and after how many its sums are scaled anew.
+BLOCK, RESCALED = 1 << 14, 16
 #: Numbers that a lattice's tables may hold at a time: positions or words, times languages.
 CELLS = 1 << 22
 #: Bytes of a model, which is broadcast.
@@ -38,11 +41,14 @@ def letters(text: str | None) -> list[str]:
     runs = _RUNS.findall((text or "").lower())
     if not all(map(str.isalpha, runs)):  # numerals such as ½ and Ⅷ are no digits to the pattern
         runs = [w for run in runs for w in "".join(c if c.isalpha() else " " for c in run).split()]
-    if any(len(w) > LONGEST_WORD for w in runs):
-        runs = [w[k : k + LONGEST_WORD] for w in runs for k in range(0, len(w), LONGEST_WORD)]
     return runs
 
 
+def in_parts(word: str) -> list[str]:
+    """A word, or a long one's parts, to learn from."""
+    return [word[k : k + LONGEST_WORD] for k in range(0, len(word), LONGEST_WORD)]
+
+
 def letter_pieces(model_file: str, longest: int | None = None) -> list[str]:
     """The vocabulary's lower-case letter pieces, of up to ``longest`` characters if given, the opening mark included."""
     model = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -190,8 +196,49 @@ class LanguageModel:
 
     def word_logs(self, words: list[str]) -> np.ndarray:
         """Log probability of each word, by language."""
-        parts = [Lattice([MARK + w for w in words[run]], self.hashes).words(self.probs, self.floor) for run in _runs(words, len(self.languages))]
-        return np.concatenate([np.zeros((0, len(self.languages))), *parts])
+        out = np.zeros((len(words), len(self.languages)))
+        short = [k for k, w in enumerate(words) if len(w) <= LONGEST_WORD]
+        for run in _runs([words[k] for k in short], len(self.languages)):
+            own = short[run]
+            out[own] = Lattice([MARK + words[k] for k in own], self.hashes).words(self.probs, self.floor)
+        for k, word in enumerate(words):
+            if len(word) > LONGEST_WORD:
+                out[k] = self.long_word(MARK + word)
+        return out
+
+    def long_word(self, word: str) -> np.ndarray:
+        """The same of one word of any length: the sums at the last positions that a piece may reach back to are all that is kept."""
+        reach = max(self.hashes, default=1)
+        # Sums up to the positions before, relative to ``scale`` in each language: 0 before the word, 1 at its start.
+        kept, scale = np.zeros((reach, len(self.languages))), np.zeros(len(self.languages))
+        kept[-1] = 1.0
+        for start in range(0, len(word), BLOCK):
+            before = min(reach - 1, start)
+            ends = Lattice([word[start - before : start + BLOCK]], self.hashes).ends
+            size = min(BLOCK, len(word) - start)
+            lengths = np.array([*ends, 1])
+            # One row a way to reach a position: its pieces, and where none is the bare letter, passed at the floor.
+            ways = np.stack([*(ends[n][before:] for n in ends), np.full(size, -1, np.int32)], axis=1)
+            used = ways >= 0
+            used[:, -1] = ends[1][before:] < 0 if 1 in ends else True
+            at, kind = np.nonzero(used)
+            probs = np.where((kind == len(lengths) - 1)[:, None], self.floor, self.probs[ways[at, kind]])
+            source = reach + at - lengths[kind]
+            first = np.searchsorted(at, np.arange(size + 1)).tolist()
+            sums = np.concatenate((kept, np.zeros((size, len(self.languages)))))
+            for k in range(size):
+                lo, hi = first[k], first[k + 1]
+                if hi == lo + 1:
+                    sums[reach + k] = probs[lo] * sums[source[lo]]
+                else:
+                    sums[reach + k] = np.add.reduce(probs[lo:hi] * sums[source[lo:hi]], axis=0)
+                if k % RESCALED == 0:
+                    recent = sums[k + 1 : reach + k + 1]
+                    top = recent.max(axis=0)
+                    recent /= top
+                    scale += np.log(top)
+            kept = sums[size:]
+        return np.log(kept[-1]) + scale
 
     def classify(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float | None]]:
         """Of each text the likeliest language, its posterior probability, and how far the log probability a letter in that
@@ -258,7 +305,7 @@ def fit_languages(
 
         def learn(pdf: pd.DataFrame) -> pd.DataFrame:
             own, n = shared.value
-            pairs = sorted((w, c) for run, c in zip(pdf["word"], pdf["n"], strict=True) for w in letters(run))
+            pairs = sorted((part, c) for run, c in zip(pdf["word"], pdf["n"], strict=True) for w in letters(run) for part in in_parts(w))
             known = [w for w, _ in pairs]
             weight = np.array([c for _, c in pairs], float)
             if not known:
@@ -282,7 +329,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     learnt from: about 0 for its prose, more for letters that no known language explains. A null text, and one without a letter,
     is ``und`` with score 0 and null oddness, as is every text if no language was learnt. Ties go to the first language by code
     point. Repeated rows give repeated results; other columns are not read, but ``carry`` passes on the whole row as ``row``. Very
-    long texts are scored in pieces of bounded memory. The model, of vocabulary size times languages and at most MODEL_BYTES, is
+    long texts are scored in bounded memory, runs of any number of letters as one word each. The model, of vocabulary size times languages and at most MODEL_BYTES, is
     broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import tokenize
 from .chat_format import link_tool_calls
-from .labelled import labelled_rows, labelled_sample
+from .labelled import labelled_rows
 from .language_id import fit_languages, identify
 from .license_scan import containment_sql, scan_licenses
 from .ngram_join import jaccard_components
@@ -20,7 +20,7 @@ from .source_divergence import audit_sources, divergence_sql
 from .source_mixing import mix_sources
 from .topk_search import top_k
 from .spelling_variants import group_spellings, variant_sql
-from .toxicity import fit_toxicity, score_toxicity
+from .toxicity import fit_toxicity_rows, score_toxicity
 from .warc import archive_sql, captures_of_pages
 
 
@@ -78,7 +78,7 @@ def _scored(scores: DataFrame, bar: float) -> DataFrame:
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = fit_toxicity(labelled_sample(docs, labels, "toxic", rows=SAMPLE_ROWS, keep=remainder(3) != 1))
+    model = fit_toxicity_rows(labelled_rows(docs, labels, "toxic", rows=SAMPLE_ROWS, keep=remainder(3) != 1))
     return _scored(score_toxicity(docs, model), 0.7)
 
 
