@@ -10,6 +10,7 @@ from ..functions.colour import colour_class, colour_class_sql
 from ..functions.stats import median
 from ..operators import metrics as Me
 from ..operators import sequences as Q
+from ..operators import sketches as Sk
 from ..sources import tables as T
 from .attention import bucket, bucket_sql
 from .registry import DERIVED, query
@@ -268,6 +269,36 @@ def agg55(s, d):
     return T.observations(s, d).cube("foot_source", "n_kpts_valid").agg(F.count("*").alias("n"))
 
 
+@query("agg55_rollup", "SELECT foot_source, n_kpts_valid, grouping(foot_source)::INTEGER + grouping(n_kpts_valid)::INTEGER AS level, count(*) AS n FROM v_obs GROUP BY ROLLUP (foot_source, n_kpts_valid)")
+def agg55_rollup(s, d):
+    level = F.grouping("foot_source").cast("int") + F.grouping("n_kpts_valid").cast("int")
+    return T.observations(s, d).rollup("foot_source", "n_kpts_valid").agg(level.alias("level"), F.count("*").alias("n"))
+
+
+@query("agg55_grouping_sets", "SELECT foot_source, n_kpts_valid, count(*) AS n, round(avg(speed), 6) AS speed FROM v_obs GROUP BY GROUPING SETS ((foot_source, n_kpts_valid), (n_kpts_valid), ())")
+def agg55_sets(s, d):
+    c = F.col
+    sets = [[c("foot_source"), c("n_kpts_valid")], [c("n_kpts_valid")], []]
+    return T.observations(s, d).groupingSets(sets, "foot_source", "n_kpts_valid").agg(F.count("*").alias("n"), rnd(F.avg("speed")).alias("speed"))
+
+
+@query("agg55_sketches", """SELECT foot_source, count(*) AS n, count(DISTINCT track_id) AS tracks, true AS tracks_near, true AS as_the_whole, quantile_disc(speed, 0.5) AS mid, true AS mid_near, true AS p90_near
+    FROM v_obs GROUP BY 1""")
+def agg55_sketches(s, d):
+    """Sketches by source and time bin, merged over the bins: equal to those of the whole, and near the exact figures."""
+    obs = T.observations(s, d).withColumn("bin", F.floor(F.col("ts") / 5.0))
+    bins = Sk.sketched(obs, ["foot_source", "bin"], "track_id", "speed")
+    over, whole = Sk.merged(bins, ["foot_source"]), Sk.sketched(obs, ["foot_source"], "track_id", "speed")
+    same = over.select("foot_source", "n", "quantiles", Sk.distinct_estimate("distinct_items").alias("about"), *(Sk.quantile_estimate("quantiles", q).alias(c) for c, q in (("s50", 0.5), ("s90", 0.9))))
+    other = whole.select("foot_source", F.col("n").alias("whole_n"), F.col("quantiles").alias("whole_quantiles"), Sk.distinct_estimate("distinct_items").alias("whole_about"))
+    exact = obs.groupBy("foot_source").agg(F.countDistinct("track_id").alias("tracks"), *(F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY speed)").alias(c) for c, q in (("mid", 0.5), ("p90", 0.9))))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.col(b) * Sk.ERROR + 0.0101  # noqa: E731  a step of the values: places differ by one
+    spread = 4 * 1.04 / 2 ** (Sk.REGISTERS / 2)
+    joined = same.join(other, "foot_source").join(exact, "foot_source")
+    equal = (F.col("n") == F.col("whole_n")) & (F.col("about") == F.col("whole_about")) & (F.map_entries("quantiles") == F.map_entries("whole_quantiles"))
+    return joined.select("foot_source", "n", "tracks", (F.abs(F.col("about") - F.col("tracks")) <= F.col("tracks") * spread + 1).alias("tracks_near"), equal.alias("as_the_whole"), "mid", near("s50", "mid").alias("mid_near"), near("s90", "p90").alias("p90_near"))
+
+
 @query("agg56_busiest_frame", "SELECT frame_idx, count(*) AS n FROM v_det GROUP BY 1 ORDER BY n DESC, frame_idx LIMIT 1")
 def agg56(s, d):
     return T.detections(s, d).groupBy("frame_idx").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "frame_idx").limit(1)

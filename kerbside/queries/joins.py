@@ -9,7 +9,9 @@ from ..functions import geometry as G
 from ..functions.colour import colour_class_sql
 from ..operators import gates as Ga
 from ..operators import matching as M
+from ..operators.grid import points_in_zones
 from ..sources import tables as T
+from ..sources.layout import bucketed, by_track_session
 from .registry import DERIVED, query
 
 #: Detections with a number within their frame; equal boxes of a frame count once.
@@ -119,6 +121,51 @@ def jn01(s, d):
     return obs.select("track_id", "frame_idx").join(orient, ["track_id", "frame_idx"], "left")
 
 
+@query("jn01_copartitioned", "SELECT o.track_id, o.frame_idx, n.yaw FROM v_obs o LEFT JOIN (SELECT track_id, frame_idx, head_yaw AS yaw FROM v_obs WHERE head_yaw IS NOT NULL) n USING (track_id, frame_idx)")
+def jn01_layout(s, d):
+    """The same over tables in buckets by track, whose join shuffles nothing."""
+    return tracks_with_angles(*tables_by_track(s, d))
+
+
+def tables_by_track(s, d, buckets: int = 8):
+    obs = T.observations(s, d)
+    orient = obs.where("head_yaw IS NOT NULL").select("track_id", "frame_idx", F.col("head_yaw").alias("yaw"))
+    reader = by_track_session(s)
+    return tuple(bucketed(df, "track_id", ["frame_idx"], buckets, reader=reader) for df in (obs, orient))
+
+
+def tracks_with_angles(obs, orient):
+    return obs.select("track_id", "frame_idx").join(orient.hint("merge"), ["track_id", "frame_idx"], "left")
+
+
+def many_zones(s, d):
+    """A quadrilateral a part, some metres wide, anywhere on the street; those of every fifth part bend inwards."""
+    k = F.col("p_partkey")
+    x, y, w = (k * 131 % 3400) / 100.0, (k * 71 % 1150) / 100.0, (k % 7 + 2) / 10.0
+    corner = lambda a, b: F.struct(a.cast("double").alias("x"), b.cast("double").alias("y"))
+    bend = F.when(k % 5 == 0, 0.375).otherwise(1.25)
+    ring = F.array(corner(x, y), corner(x + w, y + 0.125), corner(x + w * bend, y + w * bend), corner(x + 0.0625, y + w))
+    return T.read(s, d, "part").select(k.alias("zone_id"), ring.alias("ring"))
+
+
+_RING = "[(x0, y0), (x0 + w, y0 + 0.125::DOUBLE), (x0 + w * bend, y0 + w * bend), (x0 + 0.0625::DOUBLE, y0 + w)]"
+
+
+DERIVED |= {
+    "v_many": f"""SELECT zone_id, list_transform({_RING}, lambda p: struct_pack(x := p[1], y := p[2])) AS ring FROM (SELECT p_partkey AS zone_id, (p_partkey * 131 % 3400) / 100::DOUBLE AS x0,
+        (p_partkey * 71 % 1150) / 100::DOUBLE AS y0, (p_partkey % 7 + 2) / 10::DOUBLE AS w, CASE WHEN p_partkey % 5 = 0 THEN 0.375::DOUBLE ELSE 1.25::DOUBLE END AS bend FROM part)""",
+    "v_many_side": "SELECT zone_id, ring[k].x AS ax, ring[k].y AS ay, ring[k % 4 + 1].x AS bx, ring[k % 4 + 1].y AS b_y FROM v_many, range(1, 5) r(k)",
+}
+
+
+@query("jn06_many_zones", """SELECT track_id, frame_idx, zone_id FROM (SELECT track_id, frame_idx, zone_id, count(*) AS n FROM v_obs JOIN v_many_side
+    ON (ay > y) <> (b_y > y) AND x < (bx - ax) * (y - ay) / (b_y - ay) + ax GROUP BY ALL) WHERE n % 2 = 1""")
+def jn06_many(s, d):
+    """Positions inside any of thousands of zones, through a grid of cells."""
+    points = T.observations(s, d).select("track_id", "frame_idx", "x", "y")
+    return points_in_zones(points, many_zones(s, d), 0.5).select("track_id", "frame_idx", "zone_id")
+
+
 @query("jn02_frame_times", "SELECT d.frame_idx, f.ts, count(*) AS n FROM v_det d JOIN v_frame f USING (frame_idx) GROUP BY ALL")
 def jn02(s, d):
     times = T.frames(s, d).select("frame_idx", "ts")
