@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import inspect
+from collections.abc import Callable
 from html import escape
 
 from pyspark.sql import Column, DataFrame
@@ -74,3 +76,38 @@ def html(metrics: DataFrame, title: str) -> str:
         f"<tr><td>{escape(r['metric'])}</td><td>{escape(r['zone_id'] or '')}</td><td>{'' if r['value'] is None else format(r['value'], '.4g')}</td><td>{escape(r['unit'])}</td></tr>" for r in rows
     )
     return f"<!doctype html><meta charset=utf-8><title>{escape(title)}</title><table><tr><th>metric<th>zone<th>value<th>unit</tr>{cells}</table>"
+
+
+#: Fields that say how a figure came about, beside those of ``envelope``.
+PROVENANCE = "ci_method string, calibration_status string, source_stage string, source_artifact string, compute_ref struct<file:string,function:string,line:int>, quality map<string,double>, coverage map<string,double>, caveats array<string>"
+#: The stage that writes each table.
+STAGES = {"tracks": "s4_track", "zone_frames": "s6_attn", "events": "s6_attn"}
+
+
+def compute_ref(function: Callable) -> Column:
+    """Where the code of a figure is: file below the package, function and line."""
+    lines, first = inspect.getsourcelines(function)
+    file = inspect.getsourcefile(function).replace("\\", "/").rsplit("/kerbside/", 1)[-1]
+    return F.struct(F.lit(file).alias("file"), F.lit(function.__name__).alias("function"), F.lit(first).cast("int").alias("line"))
+
+
+def provenance(metrics: DataFrame, functions: dict[str, Callable], calibration: str, quality: DataFrame, coverage: DataFrame, caveats: dict[str, list[str]]) -> DataFrame:
+    """Metric rows with PROVENANCE.
+
+    ``functions`` has what computed each metric, and a metric without one is an error. ``quality`` and ``coverage`` are one row of shares
+    each, which hold for all figures of the run; ``caveats`` are by metric. A value of null must be unmeasured, with a reason.
+    """
+    known = F.create_map(*(x for name, f in functions.items() for x in (F.lit(name), compute_ref(f))))
+    warned = F.create_map(*(x for name, said in caveats.items() for x in (F.lit(name), F.array(*map(F.lit, said))))) if caveats else F.lit(None).cast("map<string,array<string>>")
+    stage = F.create_map(*(F.lit(x) for pair in STAGES.items() for x in pair))[F.col("source")]
+    shares = lambda df, name: df.select(F.create_map(*(x for c in df.columns for x in (F.lit(c), F.col(c).cast("double")))).alias(name))
+    ref = F.try_element_at(known, F.col("metric"))
+    whole = F.when(ref.isNull(), F.raise_error(F.concat(F.lit("nothing is said to compute "), "metric"))).when(
+        F.col("value").isNull() & (F.col("measured") | F.col("reason").isNull()), F.raise_error(F.concat(F.lit("no value and no reason: "), "metric"))
+    ).otherwise(ref)
+    rows = metrics.crossJoin(F.broadcast(shares(quality, "quality"))).crossJoin(F.broadcast(shares(coverage, "coverage")))
+    return rows.select(
+        *metrics.columns, F.when(F.col("ci95_low").isNotNull(), "wilson_by_track").otherwise("none").alias("ci_method"), F.lit(calibration).alias("calibration_status"),
+        stage.alias("source_stage"), F.col("source").alias("source_artifact"), whole.alias("compute_ref"), "quality", "coverage",
+        F.coalesce(F.try_element_at(warned, F.col("metric")), F.array().cast("array<string>")).alias("caveats"),
+    )
