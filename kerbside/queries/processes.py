@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import json
+import uuid
 from functools import reduce
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import polygons as P
+from ..functions import tables as Tf
 from ..functions.stats import utc_stamp
 from ..operators import gates as Ga
 from ..operators import images as Im
+from ..operators import png as Pn
 from ..operators import sequences as Q
 from ..operators import tracking as Tr
 from ..plans import attention as A
 from ..plans import report as Rp
 from ..sources import contracts as Co
+from ..sources import frames as Fr
 from ..sources import readers as Re
 from ..sources import tables as T
 from ..sources.staging import scratch
@@ -400,3 +404,36 @@ def fn63(s, d):
     counts = T.observations(s, d).groupBy("track_id", "foot_source").agg(F.count("*").alias("n"))
     maps = counts.groupBy("track_id").agg(F.map_from_entries(F.collect_list(F.struct("foot_source", "n"))).alias("m"))
     return maps.select("track_id", F.size("m").cast("long").alias("sources"), F.aggregate(F.map_values("m"), F.lit(0).cast("long"), lambda a, b: a + b).alias("total"))
+
+
+@query("src07_frames_by_index", """SELECT frame_idx, 8::INTEGER AS width, 4::INTEGER AS height, 96::BIGINT AS bytes, (frame_idx % 251)::BIGINT AS first FROM v_frame,
+    (SELECT min(frame_idx) AS lo, max(frame_idx) AS hi FROM v_frame) WHERE frame_idx BETWEEN lo + (hi - lo) // 4 AND hi - (hi - lo) // 4""")
+def src07(s, d):
+    """The middle half of a recording, read by index from a container that holds all of it."""
+    byte = F.lpad(F.hex(F.col("frame_idx") % 251), 2, "0")
+    all_frames = T.frames(s, d).select("frame_idx", F.lit(8).alias("width"), F.lit(4).alias("height"), F.unhex(F.repeat(byte, 96)).alias("content"))
+    path = scratch(s, f"frames-{uuid.uuid4().hex}")
+    Fr.write_frames(all_frames.repartitionByRange(16, "frame_idx"), path)
+    lo, hi = T.frames(s, d).agg(F.min("frame_idx"), F.max("frame_idx")).first()
+    if lo is None:
+        return Fr.read_frames(s, path).select("frame_idx", "width", "height", F.lit(0).cast("long").alias("bytes"), F.lit(0).cast("long").alias("first"))
+    found = Fr.read_frames(s, path, low=lo + (hi - lo) // 4, high=hi - (hi - lo) // 4)
+    return found.select("frame_idx", "width", "height", F.octet_length("content").cast("long").alias("bytes"), F.conv(F.hex(F.substring("content", 1, 1)), 16, 10).cast("long").alias("first"))
+
+
+@query("udtf_sampled_frames", """SELECT recording, frame_idx, (r // 5)::BIGINT AS place, round(CASE WHEN r > 0 THEN ts - lag(ts, 5) OVER (PARTITION BY recording ORDER BY frame_idx) END, 6) AS since FROM (
+    SELECT frame_idx // 1000 AS recording, frame_idx, ts, row_number() OVER (PARTITION BY frame_idx // 1000 ORDER BY frame_idx) - 1 AS r FROM v_frame) QUALIFY r % 5 = 0""")
+def udtf_frames(s, d):
+    """Every fifth frame of each recording of 1,000, by a table function called from SQL."""
+    Tf.register(s)
+    rows = T.frames(s, d).select(F.floor(F.col("frame_idx") / 1000).alias("recording"), "frame_idx", "ts")
+    return s.sql("SELECT recording, frame_idx, place, round(since, 6) AS since FROM sampled_frames(TABLE({rows}), 5)", rows=rows)
+
+
+@query("udf06_encoded_images")
+def udf06(s, d):
+    """PNG files of all crops with their upper part hidden, as a page would hold them, and their bytes as read back from there."""
+    encoded = Pn.encode_images(crops(s, d).withColumnRenamed("crop_id", "image_id"))
+    held = encoded.select("image_id", F.octet_length("png").alias("bytes"), Pn.data_uri(F.col("png")).alias("html"))
+    back = F.unbase64(F.regexp_extract("html", "data:image/[a-z]+;base64,([A-Za-z0-9+/]+=*)", 1))
+    return held.select("image_id", "bytes", (F.octet_length(back) == F.col("bytes")).alias("whole"), F.hex(F.substring(back, 1, 8)).alias("signature"))
