@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 
 from .batches import map_slices
 from .durable import durable
-
-Schema = dict[str, Any]
+from .schemas import Schema, check_schema, conforms
 
 
 def _object(required: list[str], **properties: Schema) -> Schema:
@@ -38,13 +37,15 @@ SCHEMAS: dict[str, Schema] = {
     "convert": _object(["value", "unit"], value={"type": "number"}, unit={"type": "string"}, exact={"type": "boolean"}),
     "store": _object(["key", "values"], key={"type": "string"}, values={"type": "array"}),
 }
-_TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict, "null": type(None)}
 #: Dependencies whose calls one task orders; a conversation with more is ordered by joins.
 LOCAL_NEEDS = 200_000
 
 
 def parse(text: str | None) -> Any:
-    """The JSON value of a text; None where it is not JSON, or holds numbers that JSON has not or that are beyond a double."""
+    """The JSON value of a text; None where it is not JSON, or holds numbers that JSON has not or that are beyond a double.
+
+    Of a key that an object repeats the last value counts.
+    """
 
     def refuse(name: str) -> None:
         raise ValueError(name)
@@ -67,29 +68,14 @@ def canonical(value: Any) -> str:
     return text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
 
 
-def conforms(value: Any, schema: Schema) -> bool:
-    """Whether a JSON value has a schema's ``type`` (or one of several), is in its ``enum``, and, member by member, fits its
-    ``properties``, ``required``, ``additionalProperties`` (allowed, refused, or of a schema) and ``items``."""
-    kinds = schema.get("type", list(_TYPES))
-    kinds = [kinds] if isinstance(kinds, str) else kinds
-    if not any(isinstance(value, _TYPES[k]) and not (isinstance(value, bool) and k in ("integer", "number")) for k in kinds):
-        return False
-    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
-        return False
-    if isinstance(value, list):
-        return "items" not in schema or all(conforms(v, schema["items"]) for v in value)
-    if isinstance(value, dict):
-        known, more = schema.get("properties", {}), schema.get("additionalProperties", True)
-        own = [(v, known[k] if k in known else more) for k, v in value.items()]
-        return set(schema.get("required", ())) <= set(value) and all(s if isinstance(s, bool) else conforms(v, s) for v, s in own)
-    return True
-
-
 def validate(name: Any, arguments: Any, schemas: dict[str, Schema]) -> str:
     """``ok``, ``unknown_tool`` or ``invalid_arguments``."""
     if not isinstance(name, str) or name not in schemas:
         return "unknown_tool"
-    return "ok" if isinstance(arguments, dict) and conforms(arguments, schemas[name]) else "invalid_arguments"
+    try:
+        return "ok" if isinstance(arguments, dict) and conforms(arguments, schemas[name], canonical) else "invalid_arguments"
+    except RecursionError:  # too deep to be followed through a schema that refers to itself
+        return "invalid_arguments"
 
 
 def events_of(role: str | None, text: str | None, schemas: dict[str, Schema]) -> list[dict[str, Any]]:
@@ -198,8 +184,10 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, Schema] = SCHEMAS) -
     first. Texts that are not the JSON looked for, null and empty ones included, are plain messages; null roles and conversations
     are kept as such. Repeated rows give repeated events, whose calls are duplicates. Texts of any length are read whole. JSON is
     strict: a text with a number beyond a double, or nested too deeply to write again, is not JSON. Other columns are not read.
-    ``schemas`` has a schema of the arguments by tool, of which ``conforms`` says what counts.
+    ``schemas`` has a JSON Schema of the arguments by tool; one with anything that would not be applied is refused.
     """
+    for schema in schemas.values():
+        check_schema(schema)
     fields = "part int, kind string, call_id string, depends array<string>, status string, json string"
 
     def kernel(cols: dict[str, list]) -> dict[str, list]:
