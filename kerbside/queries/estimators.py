@@ -6,9 +6,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from ..functions.geometry import homography
 from ..operators import estimators as E
 from ..operators import matching as M
 from ..operators import segments as Sg
+from ..operators.groundplane import traced_plane
 from ..operators.sequences import exact_median
 from ..sources import tables as T
 from ..sources.staging import staged
@@ -182,3 +184,21 @@ def est10(s, d):
 def est11(s, d):
     """The affine stand-in for a camera that could not be calibrated: the image stretched over the street."""
     return T.detections(s, d).select("frame_idx", F.round((F.col("x1") + F.col("x2")) / 2 / 1920 * 35, 6).alias("x"), F.round(12 - F.col("y2") / 1080 * 12, 6).alias("y"))
+
+
+#: A rectangle of the paving as it was traced in the image, and the plane that it gives.
+TRACED = {"rect_px": [[300.0, 420.0], [1500.0, 400.0], [1800.0, 980.0], [60.0, 1010.0]], "aspect": 2.5}
+_PLANE = [v for row in traced_plane(TRACED, 2.5)["H"] for v in row]
+_W = f"({_PLANE[6]!r}::DOUBLE * fx + {_PLANE[7]!r}::DOUBLE * fy + {_PLANE[8]!r}::DOUBLE)"
+
+
+@query("est11_manual_plane", f"""SELECT frame_idx, round(({_PLANE[0]!r}::DOUBLE * fx + {_PLANE[1]!r}::DOUBLE * fy + {_PLANE[2]!r}::DOUBLE) / {_W}, 6) AS x,
+    round(({_PLANE[3]!r}::DOUBLE * fx + {_PLANE[4]!r}::DOUBLE * fy + {_PLANE[5]!r}::DOUBLE) / {_W}, 6) AS y, {_W} * {_PLANE[6] * 930 + _PLANE[7] * 700 + _PLANE[8]!r}::DOUBLE > 0 AS on_the_ground
+    FROM (SELECT frame_idx, (x1 + x2) / 2 AS fx, y2 AS fy FROM v_det)""")
+def est11_plane(s, d):
+    """Feet on the traced plane, in units of its left side, and whether they lie below its horizon."""
+    fx, fy = (F.col("x1") + F.col("x2")) / 2, F.col("y2")
+    x, y = homography(_PLANE, fx, fy)
+    inside = _PLANE[6] * 930 + _PLANE[7] * 700 + _PLANE[8]
+    below = (fx * _PLANE[6] + fy * _PLANE[7] + _PLANE[8]) * inside > 0
+    return T.detections(s, d).select("frame_idx", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"), below.alias("on_the_ground"))
