@@ -19,6 +19,7 @@ from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValu
 
 from ..operators.sampling import SEED, drawn
 from ..operators.tracking import BOX, Tracker, TrackRules
+from ..sources.contracts import exists
 
 #: Setting and value of the store that keyed state with timers needs.
 STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -159,4 +160,5 @@ def replayed(chunks: list[DataFrame], plan, path: str) -> DataFrame:
             run.awaitTermination()
     finally:
         spark.conf.unset(STORE[0]) if before is None else spark.conf.set(STORE[0], before)
-    return spark.read.schema(result.schema).parquet(sink)
+    # A stream that never had a row has written nothing.
+    return spark.read.schema(result.schema).parquet(sink) if exists(spark, sink) else spark.createDataFrame([], result.schema)

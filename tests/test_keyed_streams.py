@@ -94,3 +94,9 @@ def test_stops_are_sessions_of_slow_rows(spark, tmp_path):
     at = lambda ms: (START + dt.timedelta(milliseconds=ms)).replace(tzinfo=None)
     # 0.4 s and 1.2 s lie within a gap; the row of the last part is behind the watermark.
     assert sorted(map(tuple, found)) == [(1, at(0), at(1200)), (1, at(3000), at(3000)), (2, at(100), at(100)), (9, at(10**6), at(10**6))]
+
+
+def test_streams_without_a_row(spark, tmp_path):
+    empty = spark.createDataFrame([], BOXES)
+    assert keyed.replayed([empty], keyed.keyed_tracks, str(tmp_path / "a")).collect() == []
+    assert keyed.replayed([spark.createDataFrame([], "group string, at timestamp, k long")], lambda s: keyed.keyed_samples(s, 3, ["k"]), str(tmp_path / "b")).collect() == []
