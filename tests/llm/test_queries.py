@@ -36,7 +36,8 @@ def test_sql_twin(spark, sf_dir, name):
     names = sorted(df.columns)
     assert sorted(made.columns) == names
     order = [made.columns.index(c) for c in names]
-    assert sorted(tuple(r[c] for c in names) for r in df.collect()) == sorted(tuple(r[i] for i in order) for r in made.fetchall())
+    nulls_last = lambda row: [(v is None, v) for v in row]
+    assert sorted((tuple(r[c] for c in names) for r in df.collect()), key=nulls_last) == sorted((tuple(r[i] for i in order) for r in made.fetchall()), key=nulls_last)
 
 
 @pytest.mark.parametrize(("name", "label", "bar"), [("op7_toxicity", "toxic", 0.9), ("op10_quality_ranking", "quality", 0.9)])
