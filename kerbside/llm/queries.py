@@ -68,7 +68,7 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
-#: Labelled documents that a classifier is fitted on, at most.
+#: Labelled documents that the quality ranking is fitted on, at most.
 SAMPLE_ROWS = 6000
 
 
@@ -78,7 +78,7 @@ def _scored(scores: DataFrame, bar: float) -> DataFrame:
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = fit_toxicity_rows(labelled_rows(docs, labels, "toxic", rows=SAMPLE_ROWS, keep=remainder(3) != 1))
+    model = fit_toxicity_rows(labelled_rows(docs, labels, "toxic", keep=remainder(3) != 1))
     return _scored(score_toxicity(docs, model), 0.7)
 
 

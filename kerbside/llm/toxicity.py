@@ -11,8 +11,9 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property, lru_cache
 from heapq import nlargest
 from os.path import commonprefix
 
@@ -32,7 +33,7 @@ SIGNS = {
 JOINS = "-_.,*~'`"
 #: Costs of the channel, as log probabilities.
 SIGN_COST, DROP_COST, KEEP_COST = -1.0, -0.7, -9.0
-#: Documents of the sample that hold a word from which it is known as written.
+#: Learning documents that hold a word from which it is known as written.
 KNOWN = 5
 #: Letters that are decoded from each letter of a spaced run on, the first excepted, from which all are.
 RUN = 16
@@ -52,6 +53,7 @@ _ENDED = re.compile(_END)
 #: Letters between marks that are no letters' disguise.
 _PLAIN = re.compile(r"(?:(?![@$€£])[^\w\s])*+([^\W\d_]*+)(?:(?![@$€£])[^\w\s])*+")
 _DOUBLED = re.compile(r"([^\W\d_])\1")
+_SAME = re.compile(r"(.)\1*", re.DOTALL)
 #: Numbers and amounts, which stay what they are.
 _NUMBER = re.compile(r"[^\w\s]*+\d(?:[\d.,:;/+~x-]|[^\x00-\x7f\w])*+[^\w\s]*+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -73,11 +75,11 @@ class CharModel:
         for word, n in words.items():
             for gram in grams_of(word):
                 grams[gram] += n
-        self._set(grams, {w for w, n in words.items() if n >= KNOWN})
+        self._set(grams, {w for w, n in words.items() if n >= KNOWN and _DOUBLED.search(w)})
 
     @classmethod
     def from_counts(cls, grams: dict[str, int], known: set[str]) -> CharModel:
-        """From counts of ``grams_of`` all words and the words of KNOWN documents or more."""
+        """From counts of ``grams_of`` all words, and the words with doubled letters of KNOWN documents or more; of others none is asked."""
         model = cls.__new__(cls)
         model._set(Counter(grams), known)
         return model
@@ -87,36 +89,41 @@ class CharModel:
         self.two = Counter({g: n for g, n in grams.items() if len(g) == 2})
         self.known = known
         self.size = len(set().union(*self.three) - set("^$")) + 2
-        self.cache: dict[tuple[str, str], float] = {}
+        self.cache: dict[str, float] = {}
 
     def cost(self, before: str, char: str) -> float:
         """Log probability of ``char`` after the two characters ``before``."""
-        key = before, char
-        if key not in self.cache:
+        gram = before + char
+        if gram not in self.cache:
             if len(self.cache) > 1 << 18:
                 self.cache.clear()
-            self.cache[key] = float(np.log((self.three[before + char] + 0.2) / (self.two[before] + 0.2 * self.size)))
-        return self.cache[key]
+            self.cache[gram] = float(np.log((self.three[gram] + 0.2) / (self.two[before] + 0.2 * self.size)))
+        return self.cache[gram]
+
+
+@lru_cache(1 << 14)
+def _ways(char: str, n: int) -> list[tuple[str, float]]:
+    """What a run of one, two or more (3) of a character may stand for."""
+    ways: dict[str, float] = {}
+    if char.isalpha():
+        ways[char] = 0.0 if n == 1 else -0.5
+        if n > 1:
+            ways[char * 2] = 0.0 if n == 2 else -0.5
+    for letter in SIGNS.get(char, ""):
+        ways[letter] = SIGN_COST
+        if n > 1:
+            ways[letter * 2] = SIGN_COST
+    if not char.isalnum():
+        ways[""] = DROP_COST if char in JOINS or char.isspace() else KEEP_COST / 3
+    elif char.isdigit():
+        ways[""] = KEEP_COST
+    return list(ways.items()) or [("", KEEP_COST)]
 
 
 def lattice(token: str) -> Iterator[list[tuple[str, float]]]:
     """For each run of one character, the strings that it may stand for, with the channel's log probability."""
-    for run in re.finditer(r"(.)\1*", token, re.DOTALL):
-        char, n = run[1], len(run[0])
-        ways: dict[str, float] = {}
-        if char.isalpha():
-            ways[char] = 0.0 if n == 1 else -0.5
-            if n > 1:
-                ways[char * 2] = 0.0 if n == 2 else -0.5
-        for letter in SIGNS.get(char, ""):
-            ways[letter] = SIGN_COST
-            if n > 1:
-                ways[letter * 2] = SIGN_COST
-        if not char.isalnum():
-            ways[""] = DROP_COST if char in JOINS or char.isspace() else KEEP_COST / 3
-        elif char.isdigit():
-            ways[""] = KEEP_COST
-        yield list(ways.items()) or [("", KEEP_COST)]
+    for run in _SAME.finditer(token):
+        yield _ways(run[1], min(run.end() - run.start(), 3))
 
 
 def spaced(text: str) -> Iterator[list[str]]:
@@ -140,14 +147,21 @@ def decode(token: str, model: CharModel) -> str:
     """
     best: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
     done: list[str] = []
+    priced = model.cache.get
     for k, ways in enumerate(lattice(token.lower()), 1):
+        if len(best) == len(ways) == 1:  # one path: what it costs changes no choice
+            (state, (_, text)), (chars, _) = *best.items(), *ways
+            best = {(state + chars)[-2:]: (0.0, text + chars)}
+            continue
         step: dict[str, tuple[float, str]] = {}
         for state, (score, text) in best.items():
             for chars, channel in ways:
                 total, at = score + channel, state
                 for c in chars:
-                    total += model.cost(at, c)
-                    at = at[1] + c
+                    gram = at + c
+                    price = priced(gram)
+                    total += model.cost(at, c) if price is None else price
+                    at = gram[1:]
                 if at not in step or total > step[at][0]:
                     step[at] = total, text + chars
         best = step
@@ -160,11 +174,14 @@ def decode(token: str, model: CharModel) -> str:
 
 
 class Restorer:
-    """Restored words of texts; keeps a bounded number of decoded tokens."""
+    """Restored words of texts; keeps a bounded number of tokens it has read."""
 
     def __init__(self, model: CharModel):
         self.model = model
         self.cache: dict[str, str] = {}
+        #: Tokens that are one word as written, and the readings of others.
+        self.plain: set[str] = set()
+        self.read: dict[str, tuple[tuple[str, ...], str | None, str | None]] = {}
 
     def _decoded(self, token: str) -> str:
         if len(token) > CACHED:
@@ -175,10 +192,38 @@ class Restorer:
             self.cache[token] = decode(token, self.model)
         return self.cache[token]
 
+    def _reading(self, token: str) -> tuple[tuple[str, ...], str | None, str | None]:
+        """A token's words as written, that of them which is not to vote beside the restored word, and the restored word."""
+        plain = _PLAIN.fullmatch(token)
+        if plain:
+            word = plain[1]
+            if word in self.model.known or not _DOUBLED.search(word):
+                return ((word,) if word else ()), None, None
+            return (), word, self._decoded(word)
+        return tuple(_WORD.findall(token)), None, None if _NUMBER.fullmatch(token) else self._decoded(token)
+
+    def _read(self, token: str) -> tuple[tuple[str, ...], str | None, str | None]:
+        """The same, kept for the next time where it is short."""
+        if token in self.read:
+            return self.read[token]
+        if token.isalpha() and not _DOUBLED.search(token):
+            reading = (token,), None, None
+            if len(token) <= CACHED:
+                if len(self.plain) > 1 << 17:
+                    self.plain.clear()
+                self.plain.add(token)
+            return reading
+        reading = self._reading(token)
+        if len(token) <= CACHED:
+            if len(self.read) > 1 << 16:
+                self.read.clear()
+            self.read[token] = reading
+        return reading
+
     def words(self, text: str | None) -> set[str]:
         """Distinct words of a text, lower-cased: as written, and as restored where a token may be disguised."""
         text = (text or "").lower()
-        found = set(_WORD.findall(text))
+        found: set[str] = set()
         for signs in spaced(text):
             # Signs without a letter anywhere near are figures, not a word.
             lettered = [k for k, sign in enumerate(signs) if sign.isalpha()]
@@ -191,14 +236,17 @@ class Restorer:
                     found.add(self._decoded(" ".join(signs[k : k + RUN])))
             if len(signs) > 3:  # longer words vote by their first letters, whatever follows
                 found.add(self._decoded(" ".join(signs[-4:-1])))
-        for token in set(text.split()):
-            plain = _PLAIN.fullmatch(token)
-            if plain and (plain[1] in self.model.known or not _DOUBLED.search(plain[1])) or _NUMBER.fullmatch(token):
-                continue
-            if plain:  # one word, which is not to vote twice
-                found.discard(plain[1])
-            found.add(self._decoded(plain[1] if plain else token))
-        return found
+        tokens = set(text.split())
+        written = tokens & self.plain
+        dropped: list[str] = []
+        for token in tokens - written:
+            own, gone, restored = self._read(token)
+            written.update(own)
+            if gone is not None:  # one word, which is not to vote twice
+                dropped.append(gone)
+            if restored is not None:
+                found.add(restored)
+        return found.union(written.difference(dropped))
 
 
 def stems(word: str) -> list[str]:
@@ -213,10 +261,16 @@ class ToxicityModel:
     offset: float
     chars: CharModel = field(repr=False)
 
+    @cached_property
+    def starts(self) -> dict[str, float]:
+        """Log odds of the first four and five letters that vote."""
+        return {stem[:-1]: gain for stem, gain in self.odds.items() if stem[-1:] == "~"}
+
     def evidence(self, words: set[str]) -> float:
         """Sum of the three strongest words' log odds."""
-        get = self.odds.get
-        votes = [max(get(w, 0.0), get(f"{w[:4]}~", 0.0), get(f"{w[:5]}~", 0.0)) for w in words]
+        odds, starts = self.odds, self.starts
+        hits = [w for w in words if w in odds or w[:4] in starts or w[:5] in starts]
+        votes = [max(0.0, odds.get(w, 0.0), starts.get(w[:4], 0.0), starts.get(w[:5], 0.0)) for w in hits]
         return float(sum(nlargest(3, votes)))
 
 
@@ -231,17 +285,21 @@ def _log_odds(held: dict[str, tuple[int, int]], n1: float, n0: float, least: int
     return odds
 
 
-def _scaled(odds: dict[str, float], chars: CharModel, evidence: np.ndarray, label: np.ndarray) -> ToxicityModel:
-    """The model whose score is a logistic function of the evidence, lightly penalised; with one label only, that label's."""
-    n1, n0 = label.sum(), len(label) - label.sum()
+def _scaled(odds: dict[str, float], chars: CharModel, n1: float, n0: float, sums: Callable[[float, float], np.ndarray]) -> ToxicityModel:
+    """The model whose score is a logistic function of the evidence x, lightly penalised; with one label only, that label's.
+
+    ``sums`` gives, for a slope and an offset, the documents' sums of (p - label) x, p - label, v x x, v x and v, where v = p (1 - p).
+    Newton steps, until they change nothing.
+    """
     if not n1 or not n0:
         return ToxicityModel(odds, 0.0, 50.0 if n1 else -50.0, chars)
     w = np.zeros(2)
-    design = np.stack((evidence, np.ones_like(evidence)), axis=1)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ w, -50, 50)))
-        curve = (design * (p * (1 - p))[:, None]).T @ design / len(label) + 1e-4 * np.eye(2)
-        w = w - np.linalg.solve(curve, design.T @ (p - label) / len(label) + 1e-4 * w)
+        gx, g, vxx, vx, v = sums(float(w[0]), float(w[1])) / (n1 + n0)
+        step = np.linalg.solve(np.array([[vxx, vx], [vx, v]]) + 1e-4 * np.eye(2), np.array([gx, g]) + 1e-4 * w)
+        w = w - step
+        if np.abs(step).max() < 1e-11:
+            break
     return ToxicityModel(odds, float(w[0]), float(w[1]), chars)
 
 
@@ -262,19 +320,28 @@ def fit_toxicity(sample: list[tuple[int, str, int]], *, least: int = 5, least_od
             held.setdefault(stem, [0, 0])[0 if own else 1] += 1
     odds = _log_odds(held, label.sum(), len(label) - label.sum(), least, least_odds)
     model = ToxicityModel(odds, 0.0, 0.0, chars)
-    return _scaled(odds, chars, np.array([model.evidence(b) for b in bags]), label)
+    x = np.array([model.evidence(b) for b in bags])
+
+    def sums(slope: float, offset: float) -> np.ndarray:
+        p = 1 / (1 + np.exp(-np.clip(slope * x + offset, -50, 50)))
+        v = p * (1 - p)
+        return np.array([((p - label) * x).sum(), (p - label).sum(), (v * x * x).sum(), (v * x).sum(), v.sum()])
+
+    return _scaled(odds, chars, label.sum(), len(label) - label.sum(), sums)
 
 
 def fit_toxicity_rows(rows: DataFrame, *, least: int = 5, least_odds: float = 2.0) -> ToxicityModel:
-    """The same from a DataFrame (text, label), whose texts stay on the executors, whatever their length.
+    """The same from a DataFrame (text, label) of any number of rows, whose texts stay on the executors, whatever their length.
 
-    The driver gets counts of character trigrams, the words and stems that occur in some documents of the sample, and a number and a label for each row.
+    The driver gets counts of character trigrams, the known words with doubled letters, the stems that vote, and sums over documents.
     """
     rows = durable(rows.select(F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int").alias("label")))
     context = rows.sparkSession.sparkContext
 
     def written(cols: dict[str, list]) -> dict[str, list]:
-        found = Counter(w for t in cols["text"] for w in set(_WORD.findall(t.lower())))
+        found: Counter = Counter()
+        for t in cols["text"]:
+            found.update(set(_WORD.findall(t.lower())))
         return {"word": list(found), "n": list(found.values())}
 
     words = durable(map_slices(rows.select("text"), written, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
@@ -286,8 +353,11 @@ def fit_toxicity_rows(rows: DataFrame, *, least: int = 5, least_odds: float = 2.
                 grams[gram] += n
         return {"gram": list(grams), "n": list(grams.values())}
 
+    def doubled(cols: dict[str, list]) -> dict[str, list]:
+        return {"word": [w for w in cols["word"] if _DOUBLED.search(w)]}
+
     grams = map_slices(words, cut, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    known = {r["word"] for r in words.where(F.col("n") >= KNOWN).select("word").toLocalIterator()}
+    known = {r["word"] for r in map_slices(words.where(F.col("n") >= KNOWN).select("word"), doubled, "word string").toLocalIterator()}
     chars = CharModel.from_counts({r["gram"]: r["n"] for r in grams.toLocalIterator()}, known)
     shared = context.broadcast(chars)
 
@@ -298,31 +368,50 @@ def fit_toxicity_rows(rows: DataFrame, *, least: int = 5, least_odds: float = 2.
     bags = durable(map_slices(rows, restored, "words array<string>, label int"))
 
     def held_by(cols: dict[str, list]) -> dict[str, list]:
-        held: dict[str, list[int]] = {}
+        # Label 0, then label 1: words, and first letters.
+        whole, starts = (Counter(), Counter()), (Counter(), Counter())
         for bag, label in zip(cols["words"], cols["label"], strict=True):
-            for stem in {s for w in bag for s in stems(w)}:
-                held.setdefault(stem, [0, 0])[1 - label] += 1
-        return {"stem": list(held), "ones": [v[0] for v in held.values()], "zeros": [v[1] for v in held.values()]}
+            whole[label].update(bag)
+            starts[label].update({w[:n] for w in bag for n in (4, 5) if len(w) >= n})
+        held = {s: (s, whole[1][s], whole[0][s]) for s in whole[0].keys() | whole[1].keys()}
+        held |= {f"{s}~": (f"{s}~", starts[1][s], starts[0][s]) for s in starts[0].keys() | starts[1].keys()}
+        return dict(zip(("stem", "ones", "zeros"), zip(*held.values(), strict=True), strict=True)) if held else {"stem": [], "ones": [], "zeros": []}
 
-    sums = map_slices(bags, held_by, "stem string, ones long, zeros long").groupBy("stem").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
-    held = {r["stem"]: (r["ones"], r["zeros"]) for r in sums.where(F.col("ones") >= least).toLocalIterator()}
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    odds = _log_odds(held, sizes.get(1, 0), sizes.get(0, 0), least, least_odds)
+    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
+
+    def voters(cols: dict[str, list]) -> dict[str, list]:
+        held = dict(zip(cols["stem"], zip(cols["ones"], cols["zeros"], strict=True), strict=True))
+        odds = _log_odds(held, n1, n0, least, least_odds)
+        return {"stem": list(odds), "gain": list(odds.values())}
+
+    sums = map_slices(bags, held_by, "stem string, ones long, zeros long").groupBy("stem").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
+    odds = {r["stem"]: r["gain"] for r in map_slices(sums.where(F.col("ones") >= least), voters, "stem string, gain double").toLocalIterator()}
     voting = context.broadcast(ToxicityModel(odds, 0.0, 0.0, chars))
 
     def weighed(cols: dict[str, list]) -> dict[str, list]:
         return {"x": [voting.value.evidence(set(bag)) for bag in cols["words"]], "y": cols["label"]}
 
-    found = sorted((r["x"], r["y"]) for r in map_slices(bags, weighed, "x double, y int").toLocalIterator())
-    return _scaled(odds, chars, np.array([x for x, _ in found], float), np.array([y for _, y in found], float))
+    evidence = durable(map_slices(bags, weighed, "x double, y int").groupBy("x", "y").agg(F.count("*").alias("n")))
+    return _scaled(odds, chars, n1, n0, lambda slope, offset: _evidence_sums(evidence, slope, offset))
+
+
+def _evidence_sums(evidence: DataFrame, slope: float, offset: float) -> np.ndarray:
+    """The sums that ``_scaled`` asks for, over (x, y, n): evidence, label, documents. Summed as decimals, so that no order of rows shows."""
+    z = F.least(F.greatest(F.col("x") * slope + offset, F.lit(-50.0)), F.lit(50.0))
+    rows = evidence.select("x", "y", "n", (1 / (1 + F.exp(-z))).alias("p")).withColumn("v", F.col("p") * (1 - F.col("p")))
+    x, v, gap = F.col("x"), F.col("v"), F.col("p") - F.col("y")
+    terms = [gap * x, gap, v * x * x, v * x, v]
+    row = rows.agg(*(F.sum((t * F.col("n")).cast("decimal(38,18)")).cast("double").alias(f"s{k}") for k, t in enumerate(terms))).first()
+    return np.array(row, float)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and score (0 to 1) of every whole text.
 
     Null and empty texts hold no words and get the score of no evidence. Repeated rows give repeated results, equal evidence equal
-    scores; other columns are not read. Time grows with a text's length, whatever its characters. The model, bounded by the sample
-    it was learnt from, is broadcast.
+    scores; other columns are not read. Time grows with a text's length, whatever its characters. The model, which holds no row
+    but grows with the vocabulary it was learnt from, is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -1,8 +1,9 @@
-"""Runs of letters, tokens and spaced signs of any length are read whole; toxicity is learnt alike in memory and by rows."""
+"""Runs of letters, tokens and spaced signs of any length are read whole; toxicity is learnt from every label, alike in memory and by rows."""
 
 import math
 import random
 import time
+import zlib
 from collections import Counter
 from fractions import Fraction
 
@@ -10,6 +11,7 @@ import numpy as np
 import pytest
 
 from kerbside.llm import language_id, toxicity
+from kerbside.llm.queries import op7_toxicity
 
 
 @pytest.fixture
@@ -92,3 +94,19 @@ def test_fits_by_rows_and_in_memory_agree(spark):
     for part in (rows.where("label = 0"), rows.where("label = 1"), rows.limit(0)):
         local = toxicity.fit_toxicity([tuple(r) for r in part.collect()])
         assert toxicity.fit_toxicity_rows(part).offset == local.offset
+
+
+def test_toxicity_learns_from_every_label(spark, tmp_path):
+    # More labels than any sample held: each of twenty insults stands in five of the documents to learn from.
+    learnt = [k for k in range(12_000) if zlib.crc32(str(k).encode()) % 3 != 1]
+    asked = [k for k in range(12_000) if zlib.crc32(str(k).encode()) % 3 == 1]
+    insults = [f"{a}{b}" for a in ("oda", "pme", "kli", "tsu") for b in ("pmirb", "hclud", "tsnof", "krewg", "vilk")]
+    text = {k: f"plain words and {k % 7} here" for k in range(12_000)}
+    bad = {k: insults[place % 20] for place, k in enumerate(learnt[::80][:100])}
+    assert len(bad) == 100 and len(learnt) > 7000
+    text.update({k: f"plain words and {w} here" for k, w in bad.items()})
+    text.update({k: f"here plain {w} words" for k, w in zip(asked, insults, strict=False)})
+    spark.createDataFrame(list(text.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, int(k in bad)) for k in text], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = op7_toxicity(spark, str(tmp_path)).where("predicted = 1").select("doc_id").collect()
+    assert {r["doc_id"] for r in found} == {*bad, *asked[:20]}
