@@ -48,6 +48,9 @@ _GAP = r"(?:[ \-_.,~]++|(?<=[^\W_])\*++(?=[^\W_]))"
 _END = r"(?:[.,;:!?)\]\"']{0,8}+(?!\S))"
 _LETTER = rf"{_ONE}(?={_GAP}|{_END})"
 _SPACED = re.compile(rf"(?<![^\s\"'(\[]){_LETTER}(?:{_GAP}{_LETTER})++")
+#: Three spaced letters; what may stand before them is matched first, as that is found fast.
+_THREE = rf"{_LETTER}{_GAP}{_LETTER}{_GAP}{_LETTER}"
+_FIRST, _LATER = re.compile(_THREE), re.compile(rf"[\s\"'(\[](?={_THREE})")
 _PARTS = re.compile(_GAP)
 _ENDED = re.compile(_END)
 #: Letters between marks that are no letters' disguise.
@@ -131,6 +134,8 @@ def spaced(text: str) -> Iterator[list[str]]:
 
     A run that something else is glued to ends at its last space before.
     """
+    if not _FIRST.match(text) and not _LATER.search(text):
+        return
     for m in _SPACED.finditer(text):
         run = m[0]
         if not _ENDED.match(text, m.end()):
@@ -145,10 +150,14 @@ def decode(token: str, model: CharModel) -> str:
 
     What the spellings of all states begin with can change no more and is set down from time to time, so that paths stay short.
     """
-    best: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
+    token, head = token.lower(), ""
+    if token.isalpha():  # letters before the first doubled one stand for themselves
+        doubled = _DOUBLED.search(token)
+        head = token[: doubled.start()] if doubled else token
+    best: dict[str, tuple[float, str]] = {f"^^{head}"[-2:]: (0.0, head)}
     done: list[str] = []
     priced = model.cache.get
-    for k, ways in enumerate(lattice(token.lower()), 1):
+    for k, ways in enumerate(lattice(token[len(head) :]), 1):
         if len(best) == len(ways) == 1:  # one path: what it costs changes no choice
             (state, (_, text)), (chars, _) = *best.items(), *ways
             best = {(state + chars)[-2:]: (0.0, text + chars)}
@@ -368,14 +377,18 @@ def fit_toxicity_rows(rows: DataFrame, *, least: int = 5, least_odds: float = 2.
     bags = durable(map_slices(rows, restored, "words array<string>, label int"))
 
     def held_by(cols: dict[str, list]) -> dict[str, list]:
-        # Label 0, then label 1: words, and first letters.
-        whole, starts = (Counter(), Counter()), (Counter(), Counter())
-        for bag, label in zip(cols["words"], cols["label"], strict=True):
-            whole[label].update(bag)
-            starts[label].update({w[:n] for w in bag for n in (4, 5) if len(w) >= n})
-        held = {s: (s, whole[1][s], whole[0][s]) for s in whole[0].keys() | whole[1].keys()}
-        held |= {f"{s}~": (f"{s}~", starts[1][s], starts[0][s]) for s in starts[0].keys() | starts[1].keys()}
-        return dict(zip(("stem", "ones", "zeros"), zip(*held.values(), strict=True), strict=True)) if held else {"stem": [], "ones": [], "zeros": []}
+        stem, ones, zeros = [], [], []
+        for label in (0, 1):
+            whole, starts = Counter(), Counter()
+            for bag in (b for b, y in zip(cols["words"], cols["label"], strict=True) if y == label):
+                whole.update(bag)
+                starts.update({w[:4] for w in bag if len(w) > 3})
+                starts.update({w[:5] for w in bag if len(w) > 4})
+            stem += [*whole, *(f"{w}~" for w in starts)]
+            counts, none = [*whole.values(), *starts.values()], [0] * (len(whole) + len(starts))
+            ones += counts if label else none
+            zeros += none if label else counts
+        return {"stem": stem, "ones": ones, "zeros": zeros}
 
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
