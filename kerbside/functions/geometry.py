@@ -62,6 +62,17 @@ def ray_distance(ox: Column, oy: Column, dx: Column, dy: Column, ax: Column, ay:
     return F.when((t >= 0) & (t <= reach) & (u >= 0) & (u <= 1), t)
 
 
+def ray_level(ox: Column, oy: Column, yaw: Column, ax: Column, bx: Column, level: Column, reach: float) -> Column:
+    """Distance along a ray to a segment from ax to bx > ax at height ``level``; null as in ``ray_segment``.
+
+    The place that is hit is compared with the ends as it stands, not as a share of the segment, so that a ray through an end is not lost to rounding.
+    """
+    dx, dy = unit_x(yaw), unit_y(yaw)
+    slope = F.when(F.abs(dy) * (bx - ax) >= NOWHERE, dy)
+    t = (level - oy) / slope
+    return F.when(t.between(0, reach) & (ox + dx * (level - oy) / slope).between(ax, bx), t)
+
+
 def end_distance(ox: Column, oy: Column, yaw: Column, half: float, px: Column, py: Column, reach: float) -> Column:
     """Distance to a segment's end; null if it is beyond ``reach`` or outside the sector."""
     d = F.hypot(px - ox, py - oy)

@@ -40,6 +40,20 @@ def test_ray_segment(spark):
     assert one(spark, geometry.ray_segment(*lits(0, 0, 0, 1, 1, 5, 1), 8.0)) is None
 
 
+def test_rays_through_the_ends_of_a_level_segment_are_hits(spark, tmp_path):
+    """Rows of larger tables whose ray meets a facade in its end, which a place as a share of the facade lost to rounding."""
+    from kerbside.queries import QUERIES
+
+    hits = [(6890, 498875, "M4", 6.010408), (7750, 564175, "M1", 4.596194), (10665, 764100, "M3", 4.242641), (11310, 745575, "M4", 7.424621)]
+    rows = [(e, u, "click") for u, e, _, _ in hits]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string").withColumn("ts", F.lit("2024-01-01").cast("timestamp")).write.parquet(f"{tmp_path}/events.parquet")
+    found = {tuple(r) for r in QUERIES["fn11_ray_hits"](spark, str(tmp_path)).select("track_id", "frame_idx", "zone_id", "dist").collect()}
+    assert found >= set(hits)
+    assert one(spark, geometry.ray_level(*lits(0, 0, 90, -1, 1, 5), 8.0)) == pytest.approx(5)
+    assert one(spark, geometry.ray_level(*lits(0, 0, 90, -1, 1, 5), 4.0)) is None
+    assert one(spark, geometry.ray_level(*lits(0, 0, 0, -1, 1, 5), 8.0)) is None
+
+
 def test_sector_falls_back_to_an_end(spark):
     hit = one(spark, geometry.sector_hit(F.lit(0.0), F.lit(0.0), F.lit(0.0), 21.2, *lits(5, 0.5, 5, 1.0), 8.0))
     assert hit["rank"] == 3 and hit["dist"] == pytest.approx(math.hypot(5, 0.5)) and (hit["hx"], hit["hy"]) == (5.0, 0.5)
