@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,3 +43,25 @@ def bgr_to_hsv(b: Column, g: Column, r: Column) -> tuple[Column, Column, Column]
     turn = F.when(span == 0, 0.0).when(top == r, 60.0 * (g - b) / span).when(top == g, 120.0 + 60.0 * (b - r) / span).otherwise(240.0 + 60.0 * (r - g) / span)
     hue = F.pmod(F.floor(F.pmod(turn, F.lit(360.0)) / 2.0 + 0.5), F.lit(180)).cast("int")
     return hue, F.when(top == 0, 0).otherwise(F.floor(span * 255.0 / top + 0.5)).cast("int"), top.cast("int")
+
+
+# The same on arrays, for pixels that are not worth a row each.
+CLASSES = ["black", "white", "grey", *dict.fromkeys(n for n, _, _ in HUES), "other"]
+
+
+def class_codes(h: np.ndarray, s: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Places in ``CLASSES`` of the classes of colours."""
+    code = CLASSES.index
+    tests = [v <= BLACK_V, (s <= GREY_S) & (v >= WHITE_V), s <= GREY_S, *((h >= low) & (h < high) for _, low, high in HUES)]
+    return np.select(tests, [*map(code, ("black", "white", "grey")), *(code(n) for n, _, _ in HUES)], code("other"))
+
+
+def hsv_of(bgr: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """8-bit HSV of an array whose last axis is blue, green and red."""
+    b, g, r = (bgr[..., k].astype(float) for k in range(3))
+    top, low = np.maximum(np.maximum(b, g), r), np.minimum(np.minimum(b, g), r)
+    span = top - low
+    some = np.where(span == 0, 1.0, span)
+    turn = np.where(top == r, 60.0 * (g - b) / some, np.where(top == g, 120.0 + 60.0 * (b - r) / some, 240.0 + 60.0 * (r - g) / some))
+    hue = np.floor(np.where(span == 0, 0.0, turn) % 360.0 / 2.0 + 0.5) % 180
+    return hue.astype(np.int16), np.where(top == 0, 0, np.floor(span * 255.0 / np.where(top == 0, 1.0, top) + 0.5)).astype(np.int16), top.astype(np.int16)

@@ -1,7 +1,12 @@
 """Work in batches: what a task holds at once does not grow with the rows of a batch, and batches change no result."""
 
+import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
+from kerbside.functions import colour
+from kerbside.operators import images
 from kerbside.queries import estimators
 
 
@@ -12,3 +17,25 @@ def test_drawn_images_leave_a_few_at_a_time():
     assert [i for b in made for i in b.column("image_id").to_pylist()] == list(range(500))
     assert max(b.nbytes for b in made) < 10_000_000
     assert all(len(c.as_buffer()) == 240 * 160 * 3 for c in made[-1].column("content"))
+
+
+def test_torso_colours_against_columns_without_a_row_a_pixel(spark):
+    rng = np.random.default_rng(5)
+    made = [rng.integers(0, 256, (h, w, 3)) // step * step for h, w, step in [(48, 24, 1), (48, 24, 64), (31, 17, 40), (48, 24, 255), (12, 9, 3), (6, 4, 1)]]
+    rows = [(k, m.shape[1], m.shape[0], m.astype(np.uint8).tobytes()) for k, m in enumerate(made)]
+    df = images.torso_colours(spark.createDataFrame([*rows, (9, 24, 48, None)], "crop_id long, width int, height int, content binary"))
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    found = {r["crop_id"]: r for r in df.collect()}
+    assert sorted(found) == [0, 1, 2, 3, 4]
+    for k in found:
+        h, w = made[k].shape[:2]
+        rows_, cols, edge = slice(int(h * 0.22), int(h * 0.55)), slice(int(w * 0.18), int(w * 0.82)), max(1, int(w * 0.12))
+        pixels = [("torso", *map(int, p)) for p in made[k][rows_, cols].reshape(-1, 3)]
+        pixels += [("side", *map(int, p)) for part in (made[k][rows_, :edge], made[k][rows_, w - edge :]) for p in part.reshape(-1, 3)]
+        hsv = colour.bgr_to_hsv(*(F.col(c) for c in "bgr"))
+        seen = spark.createDataFrame(pixels, "part string, b int, g int, r int").select("part", *(v.alias(c) for v, c in zip(hsv, "hsv", strict=True)))
+        mid = lambda c, part: F.percentile(F.when(F.col("part") == part, F.col(c)), F.lit(0.5)).alias(c if part == "torso" else f"bg_{c}")
+        want = seen.agg(*(mid(c, "torso") for c in "hsv"), mid("h", "side"), mid("s", "side")).withColumn("colour", colour.colour_class(*map(F.col, "hsv"))).first()
+        assert all(found[k][c] == want[c] for c in ("h", "s", "v", "bg_h", "bg_s", "colour"))
+        same = seen.where("part = 'torso'").agg(F.avg((colour.colour_class(*map(F.col, "hsv")) == want["colour"]).cast("int"))).first()[0]
+        assert found[k]["agree"] == pytest.approx(same, abs=1e-12)
