@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kerbside.functions import colour
-from kerbside.operators import images
+from kerbside.operators import images, png
 from kerbside.queries import estimators
 
 
@@ -39,3 +39,46 @@ def test_torso_colours_against_columns_without_a_row_a_pixel(spark):
         assert all(found[k][c] == want[c] for c in ("h", "s", "v", "bg_h", "bg_s", "colour"))
         same = seen.where("part = 'torso'").agg(F.avg((colour.colour_class(*map(F.col, "hsv")) == want["colour"]).cast("int"))).first()[0]
         assert found[k]["agree"] == pytest.approx(same, abs=1e-12)
+
+
+def blurred_one_by_one(image, share=0.3, block=16, sigma=4.0):
+    """The upper part by its definition: means of blocks, then a convolution along each axis."""
+    out = image.copy()
+    top = max(1, int(round(image.shape[0] * share)))
+    part = out[:top].astype(float)
+    for y in range(0, top, block):
+        for x in range(0, part.shape[1], block):
+            part[y : y + block, x : x + block] = part[y : y + block, x : x + block].mean(axis=(0, 1))
+    reach = int(3 * sigma)
+    kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
+    for axis in (0, 1):
+        wide = np.pad(part, [(reach, reach) if a == axis else (0, 0) for a in range(3)], mode="edge")
+        part = np.apply_along_axis(lambda v: np.convolve(v, kernel / kernel.sum(), mode="valid"), axis, wide)
+    out[:top] = np.round(part.round(6))
+    return out
+
+
+@pytest.mark.parametrize(("h", "w"), [(48, 24), (1, 1), (120, 70), (33, 16), (7, 90)])
+def test_crops_of_one_size_are_blurred_together(spark, monkeypatch, h, w):
+    """As by the definition, with no convolution a line: 900,000 crops of 24 x 48 have 40 million of them."""
+    made = np.random.default_rng(h * w).integers(0, 256, (5, h, w, 3)).astype(np.uint8)
+    want = [blurred_one_by_one(m) for m in made]
+    monkeypatch.setattr(np, "apply_along_axis", None)
+    assert all((images.blurred_tops(made)[k] == want[k]).all() and (images.blurred_top(made[k]) == want[k]).all() for k in range(5))
+
+
+def test_crops_of_several_sizes_keep_their_places(spark):
+    rng = np.random.default_rng(3)
+    made = [rng.integers(0, 256, size).astype(np.uint8) for size in [(48, 24, 3), (20, 11, 3), (48, 24, 3), (20, 24, 3)]] + [np.full((48, 24, 3), 7, np.uint8)]
+    rows = [(k, m.shape[1], m.shape[0], m.tobytes()) for k, m in enumerate(made)] + [(9, 24, 48, None)]
+    found = {r["crop_id"]: r for r in images.blur_crops(spark.createDataFrame(rows, "crop_id long, width int, height int, content binary").coalesce(1)).collect()}
+    assert len(found) == 6 and found[9]["content"] is None and not found[4]["changed"] and found[0]["changed"]
+    assert all(bytes(found[k]["content"]) == images.blurred_top(m).tobytes() for k, m in enumerate(made))
+
+
+@pytest.mark.parametrize(("h", "w"), [(48, 24), (1, 1), (17, 64)])
+def test_images_of_one_size_are_encoded_together(h, w):
+    """As one by one, from one pass over the pixels of all of them."""
+    rng = np.random.default_rng(h + w)
+    made = np.minimum(255, np.add.outer(np.arange(h) * 3, np.arange(w) * 2)[:, :, None] // 2 + rng.integers(0, 40, (6, h, w, 3))).astype(np.uint8)
+    assert png.encoded_all(made) == [png.encoded(m) for m in made] and len(set(png.encoded_all(made))) == 6
