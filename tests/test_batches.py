@@ -82,3 +82,25 @@ def test_images_of_one_size_are_encoded_together(h, w):
     rng = np.random.default_rng(h + w)
     made = np.minimum(255, np.add.outer(np.arange(h) * 3, np.arange(w) * 2)[:, :, None] // 2 + rng.integers(0, 40, (6, h, w, 3))).astype(np.uint8)
     assert png.encoded_all(made) == [png.encoded(m) for m in made] and len(set(png.encoded_all(made))) == 6
+
+
+def test_road_pixels_are_those_of_the_masks(spark, monkeypatch):
+    """With boxes that overlap, touch, lie outside or are turned round, with none and with many; no mask is drawn for frames of few boxes."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for f, n in enumerate([0, 1, 2, 3, 5, 9, 17, images.MANY_BOXES + 5, 4, 4, 4]):
+        for _ in range(n):
+            x, y, w, h = rng.uniform(-30, 60), rng.uniform(-30, 50), rng.uniform(-8, 30), rng.uniform(-8, 30)
+            rows.append((f, *map(float, (x, y, x + w, y + h))))
+    boxes = spark.createDataFrame(rows, "frame_idx long, x1 double, y1 double, x2 double, y2 double")
+    frames = spark.range(12).withColumnRenamed("id", "frame_idx")
+    shape = ([(2, 1), (47, 3), (44, 38), (5, 36)], 50, 40, 2)
+    want = {r["frame_idx"]: r["pixels"] for r in images.road_masks(frames, boxes, *shape).select("frame_idx", "pixels").collect()}
+    found = {r["frame_idx"]: r["pixels"] for r in images.road_pixels(frames, boxes, *shape).collect()}
+    assert found == want and len(set(found.values())) > 6
+    from kerbside.queries import QUERIES, processes
+
+    monkeypatch.setattr(processes.Im, "road_masks", None)
+    monkeypatch.setattr(processes.T, "frames", lambda s, d: frames)
+    monkeypatch.setattr(processes.T, "detections", lambda s, d: boxes)
+    assert QUERIES["udf05_road_masks"](spark, "").count() == 12
