@@ -1,8 +1,8 @@
 """A grid index of many zones: points meet zones through the cell they share, and only cells on an edge test the polygon.
 
 Zones are rows (zone_id, ring), rings arrays of (x, y) corners in order, convex or not. A cell is inside a zone, on an edge, or outside; only
-the first two are kept, so the index grows with the zones' area in cells and the join is an equal one, which Spark shuffles or
-broadcasts by the sizes that it finds.
+the first two are kept, so the index grows with the zones' area in cells. The joins are equal ones and sorted merges: Spark's guess of an
+index is that of the zones it comes from, without their cells, and would have the driver gather and send out a large one.
 """
 
 from __future__ import annotations
@@ -54,7 +54,13 @@ def zone_cells(zones: DataFrame, cell: float) -> DataFrame:
 
 
 def points_in_zones(points: DataFrame, zones: DataFrame, cell: float, x: str = "x", y: str = "y") -> DataFrame:
-    """Every point with every zone that holds it. Points without a position are in none, and zones that overlap all count."""
-    placed = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumns({"cx": F.floor(F.col(x) / cell), "cy": F.floor(F.col(y) / cell)})
-    met = placed.join(zone_cells(zones, cell), ["cx", "cy"])
-    return met.where(F.col("sides").isNull() | in_ring(F.col(x), F.col(y), F.col("sides"))).drop("cx", "cy", "sides")
+    """Every point with every zone that holds it. Points without a position are in none, and zones that overlap all count.
+
+    Points of one position are tested once, and then meet its zones; rows are as many as there are such pairs.
+    """
+    placed = points.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    spots = placed.select(F.col(x).alias("spot_x"), F.col(y).alias("spot_y")).distinct()
+    celled = spots.withColumns({"cx": F.floor(F.col("spot_x") / cell), "cy": F.floor(F.col("spot_y") / cell)})
+    met = celled.join(zone_cells(zones, cell).hint("merge"), ["cx", "cy"])
+    held = met.where(F.col("sides").isNull() | in_ring(F.col("spot_x"), F.col("spot_y"), F.col("sides"))).select("spot_x", "spot_y", "zone_id")
+    return placed.join(held.hint("merge"), (placed[x] == held["spot_x"]) & (placed[y] == held["spot_y"])).drop("spot_x", "spot_y")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kerbside.functions import colour
-from kerbside.operators import images, png
+from kerbside.operators import grid, images, png
 from kerbside.queries import estimators
 
 
@@ -104,3 +104,18 @@ def test_road_pixels_are_those_of_the_masks(spark, monkeypatch):
     monkeypatch.setattr(processes.T, "frames", lambda s, d: frames)
     monkeypatch.setattr(processes.T, "detections", lambda s, d: boxes)
     assert QUERIES["udf05_road_masks"](spark, "").count() == 12
+
+
+def test_many_zones_are_not_gathered_by_the_driver(spark):
+    """Neither side of the grid's join is broadcast, and points of one position, doubled ones and zones of one number all count."""
+    square = lambda a, b, w: [(a, b), (a + w, b), (a + w, b + w), (a, b + w)]
+    zones = [(1, square(0.0, 0.0, 2.0)), (2, square(1.0, 1.0, 2.0)), (2, square(1.25, 1.25, 0.25)), (3, square(-1.0, -1.0, 0.5))]
+    rings = spark.createDataFrame(zones, "zone_id long, ring array<struct<x: double, y: double>>")
+    spots = [(0.5, 0.5), (1.3, 1.3), (1.3, 1.3), (2.5, 2.5), (9.0, 9.0), (-0.75, -0.75), (0.0, 0.25), (-0.0, 0.25), (None, 1.0)]
+    rows = [(k % 7, x, y) for k, (x, y) in enumerate(spots)] + [(5, -0.75, -0.75)]
+    df = grid.points_in_zones(spark.createDataFrame(rows, "k int, x double, y double"), rings, 0.5)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 2
+    inside = lambda x, y, ring: ring[0][0] <= x < ring[2][0] and ring[0][1] <= y < ring[2][1]
+    want = [(*r, z) for r in rows if r[1] is not None for z, ring in zones if inside(*r[1:], ring)]
+    assert df.columns == ["k", "x", "y", "zone_id"] and sorted(map(tuple, df.collect())) == sorted(want) and len(want) > 10
