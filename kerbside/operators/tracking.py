@@ -3,15 +3,18 @@
 Confident boxes are matched to predicted tracks first, then weak boxes to tracks still unmatched; only confident leftovers start
 tracks. A recording is sequential, yet its segments run in parallel: each starts from a guess of the tracks that it takes over, and those
 whose guess was not what the segment before handed on run again, until none is left. The result is that of one run over all frames.
+Within a task, segments are lanes that take their frames side by side, so that a step of arrays serves a frame of each.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -182,11 +185,184 @@ def track_boxes(frames: list[tuple[int, np.ndarray]], rules: TrackRules = TrackR
     return [(frame, i, t) for frame, rows in frames for i, t in tracker.step(frame, rows)]
 
 
+class Lanes:
+    """Trackers side by side, each with its own frames; a step takes a frame of every lane. Tracks, boxes and names are those of ``Tracker``.
+
+    A column a track: the eight of its mean, then the three of its variance. Columns stand by lanes, and in an order of what they hold
+    only where it counts: where several tracks and boxes overlap, and in what a lane hands on.
+    """
+
+    def __init__(self, rules: TrackRules, states: list[bytes]):
+        held = [np.frombuffer(p, "<f8").reshape(-1, 12) for p in states]
+        sizes = np.array([len(h) for h in held], np.int64)
+        rows = np.concatenate(held) if held else np.empty((0, 12))
+        self.rules, self.started = rules, np.zeros(len(states), np.int64)
+        self.lane = np.repeat(np.arange(len(states), dtype=np.int32), sizes)
+        self.state, self.seen = rows[:, :11].T.copy(), rows[:, 11].astype(np.int64)
+        self.ident = -1 - (np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes))
+
+    def _keep(self, columns: np.ndarray) -> None:
+        self.lane, self.state, self.seen, self.ident = self.lane[columns], self.state[:, columns], self.seen[columns], self.ident[columns]
+
+    def leave(self, lanes: np.ndarray) -> Iterator[tuple[int, bytes, list[int]]]:
+        """(lane, its state packed, its names in that order) of ``lanes``, whose tracks are then gone from here."""
+        own = np.flatnonzero(np.isin(self.lane, lanes))
+        own = own[np.lexsort((*self.state[:, own][::-1], self.seen[own], self.lane[own]))]
+        packed = np.column_stack((*self.state[:, own], self.seen[own])).astype("<f8")
+        ends = np.searchsorted(self.lane[own], lanes, side="right")
+        for lane, first, last in zip(lanes.tolist(), np.searchsorted(self.lane[own], lanes).tolist(), ends.tolist(), strict=True):
+            yield lane, packed[first:last].tobytes(), self.ident[own[first:last]].tolist()
+        self._keep(np.flatnonzero(~np.isin(self.lane, lanes)))
+
+    def _chosen(self, track: np.ndarray, box: np.ndarray, gain: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Pairs of the assignment of largest gain. A pair apart from all others is in it, and of one track or box with several others the best pair."""
+        tracks, boxes = np.bincount(track), np.bincount(box)
+        many_boxes, many_tracks = tracks[track] > 1, boxes[box] > 1
+        alone = np.flatnonzero(~many_boxes & ~many_tracks)
+        rest = np.flatnonzero(many_boxes | many_tracks)
+        if not len(rest):
+            return alone
+        chosen, hard = [alone], np.ones(len(rest), bool)
+        for hub, leaf_shared, hub_shared in ((box, many_boxes, many_tracks), (track, many_tracks, many_boxes)):
+            tied = np.bincount(hub[rest], weights=leaf_shared[rest]) > 0
+            star = np.flatnonzero(hub_shared[rest] & ~tied[hub[rest]])
+            if not len(star):
+                continue
+            own = rest[star]
+            order = np.lexsort((-gain[own], hub[own]))
+            own = own[order]
+            first = np.concatenate(([True], hub[own][1:] != hub[own][:-1]))
+            # Best pairs of equal gain are left to the order of what tracks hold.
+            equal = np.zeros(len(own), bool)
+            equal[:-1] = first[:-1] & (gain[own][:-1] == gain[own][1:])
+            fine = ~equal[np.maximum.accumulate(np.where(first, np.arange(len(own)), 0))]
+            chosen.append(own[first & fine])
+            hard[star[order[fine]]] = False
+        chosen.append(np.array(self._solved(rest[hard], track, box, gain, before), np.int64))
+        return np.concatenate(chosen)
+
+    def _solved(self, pairs: np.ndarray, track: np.ndarray, box: np.ndarray, gain: np.ndarray, before: np.ndarray) -> list[int]:
+        named: dict[int, int] = {}
+
+        def top(k: int) -> int:
+            while (up := named.setdefault(k, k)) != k:
+                named[k] = k = named[up]
+            return k
+
+        listed = list(zip(pairs.tolist(), track[pairs].tolist(), box[pairs].tolist(), strict=True))
+        for _, a, b in listed:
+            named[top(a)] = top(-1 - b)
+        parts: dict[int, dict[tuple[int, int], int]] = {}
+        for pair, a, b in listed:
+            parts.setdefault(top(a), {})[a, b] = pair
+        found = []
+        for part in parts.values():
+            own = sorted({a for a, _ in part}, key=lambda a: (self.seen[a], *before[:, a].tolist()))
+            theirs = sorted({b for _, b in part})
+            matrix = np.zeros((len(own), len(theirs)))
+            for (a, b), pair in part.items():
+                matrix[own.index(a), theirs.index(b)] = gain[pair]
+            found += [part[own[i], theirs[j]] for i, j in assign(-matrix) if matrix[i, j] > 0]
+        return found
+
+    def step(self, frame: np.ndarray, lane: np.ndarray, boxes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in ``boxes``, names of their tracks) of the boxes x1, y1, x2, y2, conf, a column each and by lanes, that belong to a track. ``frame`` is a number a lane."""
+        rules, s, own = self.rules, self.state, self.lane
+        before = s[:8].copy()
+        place, speed = (s[3] / 20) ** 2, (s[3] / 160) ** 2
+        s[:4] += s[4:8]
+        pp, pv, vv = s[8:]
+        s[8], s[9], s[10] = pp + 2 * pv + vv + place, pv + vv, vv + speed
+        half = s[2:4] / 2
+        low, high = s[:2] - half, s[:2] + half
+        area = np.prod(high - low, axis=0)
+        conf, size = boxes[4], boxes[2:4] - boxes[:2]
+        centred, its_area = np.vstack((boxes[:2] + size / 2, size)), np.prod(size, axis=0)
+        strong = conf >= rules.high
+        free, taken = np.ones(len(own), bool), np.zeros(len(conf), bool)
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for mask, limit in ((strong, rules.overlap), ((conf >= rules.low) & ~strong, rules.weak_overlap)):
+            picked, rows = np.flatnonzero(mask), np.flatnonzero(free)
+            counts = np.bincount(own[rows], minlength=len(self.started))
+            first, each = np.cumsum(counts) - counts, counts[lane[picked]]
+            track = rows[np.arange(each.sum()) + np.repeat(first[lane[picked]] - (np.cumsum(each) - each), each)]
+            box = np.repeat(picked, each)
+            both = np.ones(len(track))
+            for axis in (0, 1):  # pairs apart on one axis are not looked at on the other
+                side = np.minimum(high[axis, track], boxes[2 + axis, box]) - np.maximum(low[axis, track], boxes[axis, box])
+                near = np.flatnonzero(side > 0)
+                track, box, both = track[near], box[near], both[near] * side[near]
+            iou = both / np.maximum(area[track] + its_area[box] - both, 1e-9)
+            pairs = self._chosen(track, box, iou, before) if len(track) else np.empty(0, np.int64)
+            pairs = pairs[iou[pairs] >= limit]
+            if not len(pairs):
+                continue
+            mine, theirs = track[pairs], box[pairs]
+            pp, pv, vv = s[8:, mine]
+            noise = (s[3, mine] / 20) ** 2
+            gain, lift = pp / (pp + noise), pv / (pp + noise)
+            off = centred[:, theirs] - s[:4, mine]
+            s[:4, mine] += gain * off
+            s[4:8, mine] += lift * off
+            s[8, mine], s[9, mine], s[10, mine] = pp - gain * pp, pv - gain * pv, vv - lift * pv
+            self.seen[mine] = frame[own[mine]]
+            free[mine], taken[theirs] = False, True
+            out.append((theirs, self.ident[mine]))
+        new = np.flatnonzero(strong & ~taken & (conf >= rules.new))
+        if len(new):
+            counts = np.bincount(lane[new], minlength=len(self.started))
+            names = self.started[lane[new]] + 1 + np.arange(len(new)) - (np.cumsum(counts) - counts)[lane[new]]
+            self.started += counts
+            nothing = np.zeros(len(new))
+            place, speed = 4 * (centred[3, new] / 20) ** 2, 4 * (centred[3, new] / 160) ** 2
+            self.state = np.hstack((s, np.vstack((centred[:, new], *[nothing] * 4, place, nothing, speed))))
+            self.lane, self.seen, self.ident = np.append(own, lane[new]), np.append(self.seen, frame[lane[new]]), np.append(self.ident, names)
+            out.append((new, names))
+        self.state = self.state.round(DECIMALS)
+        alive = np.flatnonzero(frame[self.lane] - self.seen <= rules.keep)
+        self._keep(alive[np.argsort(self.lane[alive], kind="stable")])
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.empty(0, np.int64), np.empty(0, np.int64))
+
+
+def run_lanes(lane: np.ndarray, frame: np.ndarray, boxes: np.ndarray, states: list[bytes], rules: TrackRules = TrackRules()) -> tuple[np.ndarray, np.ndarray, list[tuple[bytes, list[int]]]]:
+    """(rows with a track, its names, what each lane hands on) of rows with their lane, frame and box, a box a column; a row without a box stands for its frame."""
+    order = np.lexsort((*boxes[3::-1], -boxes[4], frame, lane))
+    lane, frame, boxes = lane[order].astype(np.int32), frame[order], boxes[:, order]
+    begins = np.ones(len(lane), bool)
+    begins[1:] = (lane[1:] != lane[:-1]) | (frame[1:] != frame[:-1])
+    starts = np.flatnonzero(begins)
+    lengths = np.bincount(lane[starts], minlength=len(states))
+    turn = np.arange(len(starts)) - (np.cumsum(lengths) - lengths)[lane[starts]]
+    row_turn = turn[np.cumsum(begins) - 1] if len(lane) else turn
+    # Frames and boxes by turns, in a turn by lanes.
+    listed = np.argsort(turn, kind="stable")
+    held = np.flatnonzero(~np.isnan(boxes[0]))
+    held = held[np.argsort(row_turn[held], kind="stable")]
+    turns = np.arange(lengths.max(initial=0) + 1)
+    frames_at, boxes_at = np.searchsorted(turn[listed], turns).tolist(), np.searchsorted(row_turn[held], turns).tolist()
+    tracker, now = Lanes(rules, states), np.zeros(len(states), np.int64)
+    rows, names, left = [], [], {}
+    for t in turns.tolist():
+        ended = np.flatnonzero(lengths == t)
+        if len(ended):
+            left |= {k: (packed, given) for k, packed, given in tracker.leave(ended)}
+        if t == len(turns) - 1:
+            break
+        some, own = starts[listed[frames_at[t] : frames_at[t + 1]]], held[boxes_at[t] : boxes_at[t + 1]]
+        now[lane[some]] = frame[some]
+        found, named = tracker.step(now, lane[own], boxes[:, own])
+        rows.append(order[own[found]])
+        names.append(named)
+    none = np.empty(0, np.int64)
+    return np.concatenate((none, *rows)), np.concatenate((none, *names)), [left[k] for k in range(len(states))]
+
+
 BOX = ["x1", "y1", "x2", "y2", "conf"]
 _ROWS = "segment_id long, track_id int, frame_idx long, x1 double, y1 double, x2 double, y2 double, conf double"
 #: What a run of a segment gives: its boxes with their tracks (`frame_idx` set), and one row with the state that it hands on.
 _RUN = f"{_ROWS}, took string, gave string, packed binary, names array<long>"
-_RUN_COLUMNS = [f.split()[0] for f in _RUN.split(", ")]
+#: Rows of segments that a task takes at once.
+AT_ONCE = 400_000
 
 
 def frames_in_order(pdf: pd.DataFrame) -> list[tuple[int, np.ndarray]]:
@@ -197,32 +373,70 @@ def frames_in_order(pdf: pd.DataFrame) -> list[tuple[int, np.ndarray]]:
     return [(int(at[k]), own[~np.isnan(own[:, 0])]) for k, own in zip(starts, np.split(boxes, starts[1:]), strict=True)] if len(at) else []
 
 
-def _run(segment: int, pdf: pd.DataFrame, packed: bytes, rules: TrackRules) -> pd.DataFrame:
-    """A segment's rows of ``_RUN``, from the state ``packed``."""
-    tracker, rows = Tracker(rules, packed), []
-    for frame, boxes in frames_in_order(pdf):
-        rows += [(segment, t, frame, *boxes[i]) for i, t in tracker.step(frame, boxes)]
-    gave = tracker.packed()
-    rows = [(*r, None, None, None, None) for r in rows]
-    rows.append((segment, *[None] * 7, hashlib.sha256(packed).hexdigest(), hashlib.sha256(gave).hexdigest(), gave, tracker.ident.tolist()))
-    return pd.DataFrame(rows, columns=_RUN_COLUMNS).astype({"segment_id": "int64", "track_id": "Int32", "frame_idx": "Int64"} | dict.fromkeys(BOX, "float64"))
-
-
 def _by_segment(detections: DataFrame, frames: DataFrame, segment: int) -> DataFrame:
     rows = frames.select("frame_idx").join(detections.select("frame_idx", *BOX), "frame_idx", "left")
     return rows.withColumn("segment_id", F.floor(F.col("frame_idx") / segment))
 
 
+def _whole_segments(batches: Iterator[pa.RecordBatch], at_once: int = AT_ONCE) -> Iterator[pa.Table]:
+    """Rows in order of segments, in tables of whole segments of some ``at_once`` rows together, or of one that has more."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        waiting.append(batch)
+        if sum(b.num_rows for b in waiting) < at_once:
+            continue
+        table = pa.Table.from_batches(waiting)
+        segments = table.column("segment_id").to_numpy()
+        cut = int(np.searchsorted(segments, segments[-1]))
+        if cut:
+            yield table.slice(0, cut)
+            waiting = table.slice(cut).combine_chunks().to_batches()
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def _lanes_of(table: pa.Table, rules: TrackRules):
+    """(segments, their states or none, the rows that are frames, and what ``run_lanes`` finds of them) of a table of whole segments; a row without a frame holds a state."""
+    every = table.column("segment_id").to_numpy()
+    at = np.flatnonzero(table.column("frame_idx").is_valid().to_numpy())
+    segments, lane = np.unique(every[at], return_inverse=True)
+    given: dict[int, bytes] = {}
+    if "packed" in table.column_names:
+        states = table.filter(table.column("packed").is_valid()).select(["segment_id", "packed"])
+        given = dict(zip(*(c.to_pylist() for c in states.columns), strict=True))
+    states = [given.get(k, b"") for k in segments.tolist()]
+    own = table.take(pa.array(at))
+    frame = own.column("frame_idx").to_numpy()
+    boxes = np.vstack([own.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in BOX]) if len(at) else np.empty((5, 0))
+    return segments, states, lane, frame, boxes, *run_lanes(lane, frame, boxes, states, rules)
+
+
+def _found(segments, lane, frame, boxes, rows, names) -> list[pa.Array]:
+    return [pa.array(segments[lane[rows]], pa.int64()), pa.array(names, pa.int32()), pa.array(frame[rows], pa.int64()), *(pa.array(c[rows]) for c in boxes)]
+
+
+def _names(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
+
+
+def _together(rows: DataFrame) -> DataFrame:
+    return rows.repartition("segment_id").sortWithinPartitions("segment_id")
+
+
 def track(detections: DataFrame, frames: DataFrame, segment: int, rules: TrackRules = TrackRules()) -> DataFrame:
     """(segment_id, track_id, frame_idx, x1, y1, x2, y2, conf): tracks within segments of ``segment`` frames.
 
-    Tracks are numbered within a segment and start afresh in each; the segment bounds what a task holds.
+    Tracks are numbered within a segment and start afresh in each. A task holds some ``AT_ONCE`` rows, or those of one segment.
     """
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return _run(key[0], pdf, b"", rules).dropna(subset=["frame_idx"])[["segment_id", "track_id", "frame_idx", *BOX]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_segments(batches):
+            segments, _, lane, frame, boxes, rows, names, _ = _lanes_of(table, rules)
+            yield pa.RecordBatch.from_arrays(_found(segments, lane, frame, boxes, rows, names), names=_names(_ROWS))
 
-    return _by_segment(detections, frames, segment).groupBy("segment_id").applyInPandas(run, _ROWS)
+    return _together(_by_segment(detections, frames, segment)).mapInArrow(run, _ROWS)
 
 
 def _before(segments: DataFrame, span: int = 4096) -> DataFrame:
@@ -244,21 +458,28 @@ def track_across(detections: DataFrame, frames: DataFrame, segment: int, warm: i
     rows = staged(_by_segment(detections, frames, segment))
     late = rows.where(F.pmod("frame_idx", F.lit(segment)) >= segment - warm)
 
-    def guess(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        tracker = Tracker(rules)
-        for frame, boxes in frames_in_order(pdf):
-            tracker.step(frame, boxes)
-        return pd.DataFrame({"segment_id": [key[0] + 1], "packed": [tracker.packed()]})
-
-    def run(key: tuple, own: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
-        packed = bytes(given["packed"].iloc[0]) if len(given) and given["packed"].iloc[0] is not None else b""
-        return _run(int(key[0]), own.drop(columns="segment_id"), packed, rules) if len(own) else pd.DataFrame(columns=_RUN_COLUMNS)
+    def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_segments(batches):
+            segments, *_, left = _lanes_of(table, rules)
+            yield pa.RecordBatch.from_arrays([pa.array(segments + 1), pa.array([packed for packed, _ in left], pa.binary())], names=["segment_id", "packed"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sha = lambda packed: hashlib.sha256(packed).hexdigest()
+        for table in _whole_segments(batches):
+            segments, given, lane, frame, boxes, found, names, left = _lanes_of(table, rules)
+            n, ends = len(found), len(segments)
+            none = [pa.nulls(n, kind) for kind in (pa.string(), pa.string(), pa.binary(), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*_found(segments, lane, frame, boxes, found, names), *none], names=_names(_RUN))
+            empty = [pa.nulls(ends, kind) for kind in (pa.int32(), pa.int64(), *[pa.float64()] * 5)]
+            gave = [pa.array([sha(p) for p in given]), pa.array([sha(p) for p, _ in left]), pa.array([p for p, _ in left], pa.binary()), pa.array([k for _, k in left], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([pa.array(segments, pa.int64()), *empty, *gave], names=_names(_RUN))
 
     def runs(some: DataFrame, states: DataFrame, turn: int) -> DataFrame:
-        made = some.groupBy("segment_id").cogroup(states.groupBy("segment_id")).applyInPandas(run, _RUN)
+        given = states.where("packed IS NOT NULL").select("segment_id", "packed")
+        made = _together(some.unionByName(given, allowMissingColumns=True)).mapInArrow(run, _RUN)
         return staged(made.withColumn("turn", F.lit(turn)))
 
-    states = late.groupBy("segment_id").applyInPandas(guess, "segment_id long, packed binary")
+    states = _together(late).mapInArrow(guess, "segment_id long, packed binary")
     done = [runs(rows, states, 0)]
     before = staged(_before(rows.select("segment_id").distinct()))
     while True:

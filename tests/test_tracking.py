@@ -85,3 +85,35 @@ def test_benchmark_recording_equals_one_run(spark, tmp_path):
     listed = tracking.frames_in_order(rows)
     compare(detections, frames, listed, 1000, 60)
     assert detections.where(F.col("conf") >= 0.6).count() > 1000
+
+
+@pytest.mark.parametrize("segment", [30, 110])
+def test_lanes_are_trackers_side_by_side(segment):
+    """Boxes, names and states to the last bit, from no state and from given ones, for scenes of different length and rows in any order."""
+    rng = np.random.default_rng(segment)
+    scenes = [scene(n, k, range(40, 75) if k % 2 else ()) for k, n in enumerate([220, 90, 1, 150])]
+    want, states, rows = [], [], []
+    for k, listed in enumerate(scenes):
+        warm = tracking.Tracker(tracking.TrackRules())
+        for f, boxes in enumerate(listed[:segment]):
+            warm.step(f, boxes)
+        states.append(warm.packed() if k != 1 else b"")
+        one = tracking.Tracker(tracking.TrackRules(), states[-1])
+        for f, boxes in enumerate(listed, segment):
+            want += [(k, f, *boxes[i].tolist(), name) for i, name in one.step(f, boxes)]
+            rows += [(k, f, *b) for b in boxes.tolist()] or [(k, f, *[np.nan] * 5)]
+        scenes[k] = (one.packed(), one.ident.tolist())
+    rows = np.array(rows)[rng.permutation(len(rows))]
+    found, names, left = tracking.run_lanes(rows[:, 0].astype(int), rows[:, 1].astype(int), rows[:, 2:].T, states)
+    assert sorted((*map(int, rows[i, :2]), *rows[i, 2:].tolist(), int(n)) for i, n in zip(found, names, strict=True)) == sorted(want)
+    assert left == scenes
+
+
+def test_segments_of_many_batches_stay_whole():
+    import pyarrow as pa
+
+    ids = np.repeat([3, 4, 9, 10, 11], [5, 1, 30, 2, 7])
+    batches = pa.Table.from_pydict({"segment_id": ids, "k": np.arange(45)}).to_batches(max_chunksize=4)
+    tables = list(tracking._whole_segments(iter(batches), 10))
+    assert [x for t in tables for x in t.column("k").to_pylist()] == list(range(45)) and len(tables) > 2
+    assert sum(len(set(t.column("segment_id").to_pylist())) for t in tables) == 5
