@@ -324,8 +324,8 @@ class Lanes:
         return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
-def run_lanes(lane: np.ndarray, frame: np.ndarray, boxes: np.ndarray, states: list[bytes], rules: TrackRules = TrackRules()) -> tuple[np.ndarray, np.ndarray, list[tuple[bytes, list[int]]]]:
-    """(rows with a track, its names, what each lane hands on) of rows with their lane, frame and box, a box a column; a row without a box stands for its frame."""
+def run_lanes(lane: np.ndarray, frame: np.ndarray, boxes: np.ndarray, states: list[bytes], rules: TrackRules = TrackRules()) -> tuple[np.ndarray, np.ndarray, list[tuple[bytes, list[int]]], np.ndarray]:
+    """(rows with a track, its names, what each lane hands on, how many tracks it started) of rows with their lane, frame and box, a box a column; a row without a box stands for its frame."""
     order = np.lexsort((*boxes[3::-1], -boxes[4], frame, lane))
     lane, frame, boxes = lane[order].astype(np.int32), frame[order], boxes[:, order]
     begins = np.ones(len(lane), bool)
@@ -354,7 +354,7 @@ def run_lanes(lane: np.ndarray, frame: np.ndarray, boxes: np.ndarray, states: li
         rows.append(order[own[found]])
         names.append(named)
     none = np.empty(0, np.int64)
-    return np.concatenate((none, *rows)), np.concatenate((none, *names)), [left[k] for k in range(len(states))]
+    return np.concatenate((none, *rows)), np.concatenate((none, *names)), [left[k] for k in range(len(states))], tracker.started
 
 
 BOX = ["x1", "y1", "x2", "y2", "conf"]
@@ -433,7 +433,7 @@ def track(detections: DataFrame, frames: DataFrame, segment: int, rules: TrackRu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_segments(batches):
-            segments, _, lane, frame, boxes, rows, names, _ = _lanes_of(table, rules)
+            segments, _, lane, frame, boxes, rows, names, *_ = _lanes_of(table, rules)
             yield pa.RecordBatch.from_arrays(_found(segments, lane, frame, boxes, rows, names), names=_names(_ROWS))
 
     return _together(_by_segment(detections, frames, segment)).mapInArrow(run, _ROWS)
@@ -460,13 +460,13 @@ def track_across(detections: DataFrame, frames: DataFrame, segment: int, warm: i
 
     def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_segments(batches):
-            segments, *_, left = _lanes_of(table, rules)
+            segments, *_, left, _ = _lanes_of(table, rules)
             yield pa.RecordBatch.from_arrays([pa.array(segments + 1), pa.array([packed for packed, _ in left], pa.binary())], names=["segment_id", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sha = lambda packed: hashlib.sha256(packed).hexdigest()
         for table in _whole_segments(batches):
-            segments, given, lane, frame, boxes, found, names, left = _lanes_of(table, rules)
+            segments, given, lane, frame, boxes, found, names, left, _ = _lanes_of(table, rules)
             n, ends = len(found), len(segments)
             none = [pa.nulls(n, kind) for kind in (pa.string(), pa.string(), pa.binary(), pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*_found(segments, lane, frame, boxes, found, names), *none], names=_names(_RUN))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.sampling import drawn_sql
 from ..sources import tables as T
-from ..sources.staging import scratch
+from ..sources.staging import scratch, staged
 from ..streaming import keyed, presence
 from .registry import query
 
@@ -45,6 +45,7 @@ def stm01(s, d):
     boxes = T.frames(s, d).select("frame_idx").join(T.detections(s, d), "frame_idx", "left")
     at = F.timestamp_millis(F.floor(F.col("frame_idx") * 1000 / 30))
     rows = boxes.select(F.floor(F.col("frame_idx") / 1000).alias("segment_id"), at.alias("at"), "frame_idx", "x1", "y1", "x2", "y2", "conf")
+    rows = staged(rows)  # runs read it apart
     return keyed.replayed(in_runs(rows, _far(s, rows.schema, segment_id=-1, frame_idx=-1)), keyed.keyed_tracks, _place(s, "stm01"))
 
 

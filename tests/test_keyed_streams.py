@@ -100,3 +100,15 @@ def test_streams_without_a_row(spark, tmp_path):
     empty = spark.createDataFrame([], BOXES)
     assert keyed.replayed([empty], keyed.keyed_tracks, str(tmp_path / "a")).collect() == []
     assert keyed.replayed([spark.createDataFrame([], "group string, at timestamp, k long")], lambda s: keyed.keyed_samples(s, 3, ["k"]), str(tmp_path / "b")).collect() == []
+
+
+def test_recordings_of_one_share_are_tracked_side_by_side(spark, tmp_path, monkeypatch):
+    """Dealt to one key, recordings keep their own tracks and numbers over restarts, and no frame is a state or a step of its own."""
+    rows = sorted(street(60), key=lambda r: (r[2], r[0]))
+    rows += [(5, *r[1:]) for r in rows if r[0] == 0 and r[2] < 25]
+    rows.sort(key=lambda r: (r[2], r[0]))
+    parts = chunks(spark, rows + closing(rows), [200, len(rows)])
+    found = keyed.replayed(parts, lambda s: keyed.keyed_tracks(s, shares=1), str(tmp_path)).collect()
+    df = spark.createDataFrame([(r[0] * 1000 + r[2], *r[3:]) for r in rows], "frame_idx long, x1 double, y1 double, x2 double, y2 double, conf double")
+    batch = tracking.track(df.where("x1 IS NOT NULL"), df.select("frame_idx").distinct(), 1000).withColumn("frame_idx", F.col("frame_idx") % 1000).collect()
+    assert len({r["segment_id"] for r in found}) == 3 and in_order(found) == in_order(batch)

@@ -104,7 +104,7 @@ def test_lanes_are_trackers_side_by_side(segment):
             rows += [(k, f, *b) for b in boxes.tolist()] or [(k, f, *[np.nan] * 5)]
         scenes[k] = (one.packed(), one.ident.tolist())
     rows = np.array(rows)[rng.permutation(len(rows))]
-    found, names, left = tracking.run_lanes(rows[:, 0].astype(int), rows[:, 1].astype(int), rows[:, 2:].T, states)
+    found, names, left, _ = tracking.run_lanes(rows[:, 0].astype(int), rows[:, 1].astype(int), rows[:, 2:].T, states)
     assert sorted((*map(int, rows[i, :2]), *rows[i, 2:].tolist(), int(n)) for i, n in zip(found, names, strict=True)) == sorted(want)
     assert left == scenes
 
